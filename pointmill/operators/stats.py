@@ -32,8 +32,13 @@ def label_distribution(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def first_rows(df: DataFrame, n: int, *order: str | Column) -> DataFrame:
-    """The first n rows in a stated order; a top-n per task, so no full sort."""
-    return df.orderBy(*order).limit(n)
+    """The first n rows in a stated order: a top-n per task, then one merge.
+
+    What is left is one partition anyway; coalesce(1) moves nothing, but keeps
+    later projections from getting between the sort and the limit, which would
+    turn the top-n into a full sort.
+    """
+    return df.orderBy(*order).limit(n).coalesce(1)
 
 
 def profile(df: DataFrame) -> DataFrame:

@@ -237,7 +237,8 @@ def oracles() -> dict[str, str]:
             (SELECT count(*) FROM v5) AS count_b, (SELECT count(*) FROM v5) AS count_current""",
         "counter_rate": f"WITH {RATES} SELECT * FROM rates",
         "cpu_usage": f"""WITH {RATES} SELECT instance, round(100 - avg(rate) * 100, 6) AS cpu_usage
-            FROM (SELECT instance, arg_max(rate, sample_ts) AS rate FROM rates WHERE mode = 'view' GROUP BY instance)
+            FROM (SELECT * FROM rates WHERE mode = 'view'
+                QUALIFY row_number() OVER (PARTITION BY instance ORDER BY sample_ts DESC) = 1)
             GROUP BY instance""",
         "latest_gauge": f"""WITH {METRICS} SELECT instance, mode, sample_ts, gauge FROM (
                 SELECT *, row_number() OVER (PARTITION BY instance, mode ORDER BY sample_ts DESC, event_id DESC) AS place
