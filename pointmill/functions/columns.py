@@ -5,8 +5,9 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# First value past the int range on either side; beyond it there is no voxel index.
-_INT_EDGE = float(2**31 + 1)
+# The largest double below one half. Added instead of 0.5 it takes exact halves up
+# (the sum rounds to the whole number) and nothing below a half with them.
+_HALF = 0.49999999999999994
 
 # Fixed values of the split hash: odd multipliers per axis, then one step of a
 # multiplicative generator modulo the prime 2^31 - 1.
@@ -22,11 +23,9 @@ def nearest_int(value: Column) -> Column:
     about ten times as much as this. NaN, NULL and values past the int range
     give NULL instead of an ANSI error.
     """
-    size = F.abs(value)
-    whole = F.floor(size)
-    sign = F.when(value < 0, -1).otherwise(1)
-    carry = F.when(size - whole >= 0.5, 1).otherwise(0)
-    return F.when(size < _INT_EDGE, sign * (whole + carry)).try_cast("int")
+    in_range = (value > -(2**31) - 0.5) & (value < 2**31 - 0.5)
+    whole = F.when(value < 0, F.ceil(value - _HALF)).otherwise(F.floor(value + _HALF))
+    return F.when(in_range, whole).cast("int")
 
 
 def packed(high: Column, low: Column) -> Column:

@@ -26,7 +26,12 @@ def slice_seconds(df: DataFrame, ts: str) -> float:
 
 
 def _slice(at: Column, seconds: float) -> Column:
-    return F.floor(at / F.lit(seconds * 1e6))
+    """Number of the slice; rows without a time come first, as NULL sorts.
+
+    Never NULL also for Spark: the joins on it then infer no NULL filter, which would
+    reach one side only and keep both sides from sharing a shuffle.
+    """
+    return F.coalesce(F.floor(at / F.lit(seconds * 1e6)), F.lit(-(2**63)))
 
 
 def running_total(
@@ -38,8 +43,7 @@ def running_total(
         {
             # As a struct, a series with a NULL in its keys equals itself in the join below.
             "_series": F.struct(*keys),
-            # Rows without a time sort first, as NULL does.
-            "_slice": F.coalesce(_slice(micros(F.col(ts)), width), F.lit(-(2**63))),
+            "_slice": _slice(micros(F.col(ts)), width),
         }
     )
     in_slice = Window.partitionBy("_series", "_slice").orderBy(ts, tie)

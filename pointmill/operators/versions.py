@@ -6,8 +6,9 @@ no shuffle. Version numbers come from the caller, who is the only writer.
 
 A chain of changes grows the plan, so a long-lived table is written out with
 save_versions and read back with load_versions. That layout is partitioned by
-the interval, which turns as-of reads into partition pruning. Every save goes to a
-new path; a path that is being read is never overwritten.
+the interval, which turns as-of reads into partition pruning. A save goes to a
+new path; a path that is being read is never overwritten. An append needs no
+save: append_saved adds a partition to what is there.
 """
 
 from collections.abc import Mapping
@@ -166,6 +167,11 @@ def save_versions(table: DataFrame, path: str) -> None:
     table.hint("rebalance", *[F.col(c) for c in INTERVAL]).write.partitionBy(*INTERVAL).parquet(path)
 
 
+def append_saved(rows: DataFrame, path: str, version: int) -> None:
+    """Append to a saved table: writes the new rows only, into their own partition."""
+    _opened(rows, version).write.mode("append").partitionBy(*INTERVAL).parquet(path)
+
+
 def load_versions(spark: SparkSession, path: str) -> DataFrame:
     table = spark.read.parquet(path)
     # While every row is current, valid_to has no value to infer its type from.

@@ -1,10 +1,14 @@
 """The registered queries as SQL over the given tables."""
 
 from pointmill.plans.queries import COMMITS, NEW_VOXEL, RATE_WINDOW_SECONDS
-from pointmill.plans.views import POINT_COLUMNS, RAW_COLUMNS
+from pointmill.plans.views import point_columns, raw_columns
 from pointmill.schema import VOXEL_ML_FEATURES
 
 
+POINT_COLUMNS = point_columns("round({} * 100)")
+RAW_COLUMNS = raw_columns("round({} * 100)")
+
+
 def _view(name: str, columns: dict[str, str]) -> str:
     body = ", ".join(f'{e} AS "{c}"' for c, e in columns.items())
     return f"{name} AS (SELECT {body} FROM lineitem)"

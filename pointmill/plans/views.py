@@ -16,32 +16,40 @@ from pointmill.operators.series import running_total, slice_seconds
 from pointmill.operators.voxels import voxel_features, voxelize
 from pointmill.operators.points import clean
 
-POINT_COLUMNS = {
-    "x": "l_quantity + round(l_discount * 100) / 16",
-    "y": "(l_partkey % 40) + round(l_tax * 100) / 8",
-    "z": "(l_suppkey % 10) - 5 + round(l_discount * 100) / 16",
-    "red": "CAST(l_partkey % 256 AS INT)",
-    "green": "CAST(l_orderkey % 256 AS INT)",
-    "blue": "CAST(l_suppkey % 256 AS INT)",
-    "intensity": "CAST(floor(l_extendedprice) AS DOUBLE) / 1024",
-    "timestamp": "CAST(l_orderkey AS DOUBLE)",
-    "scan_angle": "CAST((l_orderkey % 61) - 30 AS DOUBLE)",
-    "label": "l_linenumber - 1",
-}
-
-# The same points as a scanner file names and types them; the label has a fraction to cut off.
-RAW_COLUMNS = {
-    "x": POINT_COLUMNS["x"],
-    "y": POINT_COLUMNS["y"],
-    "z": POINT_COLUMNS["z"],
-    "red": "CAST(l_partkey % 256 AS SMALLINT)",
-    "green": "CAST(l_orderkey % 256 AS SMALLINT)",
-    "blue": "CAST(l_suppkey % 256 AS SMALLINT)",
-    "scalar_Intensity": POINT_COLUMNS["intensity"],
-    "scalar_GPSTime": POINT_COLUMNS["timestamp"],
-    "scalar_ScanAngleRank": POINT_COLUMNS["scan_angle"],
-    "scalar_Label": "CAST(l_linenumber - 1 AS FLOAT) + CAST(0.25 AS FLOAT)",
-}
+def point_columns(hundredths: str) -> dict[str, str]:
+    """SQL of each point column; hundredths is a template that turns {} into a whole number of hundredths."""
+    discount, tax = hundredths.format("l_discount"), hundredths.format("l_tax")
+    return {
+        "x": f"l_quantity + {discount} / 16",
+        "y": f"(l_partkey % 40) + {tax} / 8",
+        "z": f"(l_suppkey % 10) - 5 + {discount} / 16",
+        "red": "CAST(l_partkey % 256 AS INT)",
+        "green": "CAST(l_orderkey % 256 AS INT)",
+        "blue": "CAST(l_suppkey % 256 AS INT)",
+        "intensity": "CAST(floor(l_extendedprice) AS DOUBLE) / 1024",
+        "timestamp": "CAST(l_orderkey AS DOUBLE)",
+        "scan_angle": "CAST((l_orderkey % 61) - 30 AS DOUBLE)",
+        "label": "l_linenumber - 1",
+    }
+
+
+def raw_columns(hundredths: str) -> dict[str, str]:
+    """The same points as a scanner file names and types them; the label has a fraction to cut off."""
+    point = point_columns(hundredths)
+    return {
+        **{c: point[c] for c in "xyz"},
+        "red": "CAST(l_partkey % 256 AS SMALLINT)",
+        "green": "CAST(l_orderkey % 256 AS SMALLINT)",
+        "blue": "CAST(l_suppkey % 256 AS SMALLINT)",
+        "scalar_Intensity": point["intensity"],
+        "scalar_GPSTime": point["timestamp"],
+        "scalar_ScanAngleRank": point["scan_angle"],
+        "scalar_Label": "CAST(l_linenumber - 1 AS FLOAT) + CAST(0.25 AS FLOAT)",
+    }
+
+
+# Neither is negative, so this is round() without its BigDecimal.
+HUNDREDTHS = "floor({} * 100 + 0.5)"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,11 +57,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").selectExpr(*[f"{e} AS {c}" for c, e in POINT_COLUMNS.items()])
+    return table(spark, sf_dir, "lineitem").selectExpr(*[f"{e} AS {c}" for c, e in point_columns(HUNDREDTHS).items()])
 
 
 def raw_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").selectExpr(*[f"{e} AS {c}" for c, e in RAW_COLUMNS.items()])
+    return table(spark, sf_dir, "lineitem").selectExpr(*[f"{e} AS {c}" for c, e in raw_columns(HUNDREDTHS).items()])
 
 
 def clean_voxels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,27 +103,45 @@ _FILE_DTYPE = np.dtype(
 _PLY_NAMES = {"f8": "double", "f4": "float", "u1": "uchar"}
 
 
+_ROWS_PER_FILE = 1_000_000
+
+
 def write_ply_files(raw: DataFrame, path: str) -> None:
-    """Write raw points as binary PLY files, one per Arrow batch, for the scan to read."""
-    dtype, names = _FILE_DTYPE, _PLY_NAMES
+    """Write raw points as binary PLY files for the scan to read.
+
+    A task holds no more rows than go into one file, as the header wants their count.
+    """
+    dtype, names, rows_per_file = _FILE_DTYPE, _PLY_NAMES, _ROWS_PER_FILE
     properties = "".join(f"property {names[dtype[c].str[1:]]} {c}\n" for c in dtype.names)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs as pafs
         from pyspark import TaskContext
 
-        at = "file://" + path if path.startswith("/") else path
-        files, root = pafs.FileSystem.from_uri(at)
+        files, root = pafs.FileSystem.from_uri("file://" + path if path.startswith("/") else path)
         files.create_dir(root, recursive=True)
         part = TaskContext.get().partitionId()
-        for number, batch in enumerate(batches):
+        held, count, number = [], 0, 0
+
+        def flush() -> pa.RecordBatch:
+            header = f"ply\nformat binary_little_endian 1.0\nelement vertex {count}\n{properties}end_header\n"
+            # A retried task writes the same name again.
+            with files.open_output_stream(f"{root}/part-{part:05d}-{number:05d}.ply") as out:
+                out.write(header.encode())
+                for rows in held:
+                    out.write(rows.tobytes())
+            return pa.RecordBatch.from_pydict({"written": [count]})
+
+        for batch in batches:
             rows = np.empty(batch.num_rows, dtype=dtype)
             for name in dtype.names:
                 rows[name] = batch.column(name).to_numpy(zero_copy_only=False)
-            header = f"ply\nformat binary_little_endian 1.0\nelement vertex {len(rows)}\n{properties}end_header\n"
-            # A retried task writes the same name again.
-            with files.open_output_stream(f"{root}/part-{part:05d}-{number:05d}.ply") as out:
-                out.write(header.encode() + rows.tobytes())
-            yield pa.RecordBatch.from_pydict({"written": [len(rows)]})
+            held.append(rows)
+            count += len(rows)
+            if count >= rows_per_file:
+                yield flush()
+                held, count, number = [], 0, number + 1
+        if held:
+            yield flush()
 
     raw.mapInArrow(write, "written long").agg(F.sum("written")).collect()

@@ -49,7 +49,9 @@ _HEADER_STEP = 4096
 _HEADER_LIMIT = 1 << 20
 _BATCH_ROWS = 65536
 _READ_BYTES = 1 << 20
-_SPLIT_BYTES = 64 << 20
+# As for Spark's own file sources: the most a task reads, and what opening a file counts as.
+_SPLIT_BYTES = 128 << 20
+_OPEN_BYTES = 4 << 20
 
 
 @dataclass
@@ -67,13 +69,20 @@ class Header:
 
 
 @dataclass
-class Split(InputPartition):
+class Split:
     path: str
     start: int
     end: int
     take: int | None = None  # only the first `take` vertices of the file
 
 
+@dataclass
+class Splits(InputPartition):
+    """What one task reads: a range of a large file, or several small files."""
+
+    splits: list[Split]
+
+
 def parse_header(data: bytes, path: str) -> Header:
     """Read the header from the first bytes of a file. Raises on vertices without a fixed layout."""
     end = data.find(b"end_header")
@@ -215,51 +224,68 @@ class PlyReader(DataSourceReader):
         self.path = options["path"]
         self.limit = int(options["limit"]) if "limit" in options else None
         self.split_bytes = int(options.get("splitbytes", _SPLIT_BYTES))
+        self.parallelism = int(options.get("parallelism", 1))
         self.schema = to_arrow_schema(schema)
 
-    def partitions(self) -> list[Split]:
-        splits = []
+    def _files(self) -> Iterator[tuple[str, int, int | None]]:
+        """(path, bytes to read, vertices to take). With a limit, headers are read until it is reached."""
         left = self.limit
         for path, size in list_files(self.path):
-            take, end = None, size
-            if left is not None:
-                if left == 0:
-                    break
-                header = read_header(path)
-                take = min(left, header.count)
-                left -= take
-                if header.order:
-                    end = header.body + take * header.dtype.itemsize
-            splits += [
-                Split(path, at, min(at + self.split_bytes, end), take) for at in range(0, end, self.split_bytes)
-            ]
-        return splits or [Split("", 0, 0)]
-
-    def read(self, partition: Split) -> Iterator[pa.RecordBatch]:
-        if not partition.path:
-            return
-        header = read_header(partition.path)
+            if left is None:
+                yield path, size, None
+                continue
+            if left == 0:
+                return
+            header = read_header(path)
+            take = min(left, header.count)
+            left -= take
+            yield path, header.body + take * header.dtype.itemsize if header.order else size, take
+
+    def partitions(self) -> list[Splits]:
+        files = list(self._files())
+        share = sum(end + _OPEN_BYTES for _, end, _ in files) // self.parallelism
+        size = min(self.split_bytes, max(_OPEN_BYTES, share))
+        parts, room = [], 0
+        for path, end, take in files:
+            for at in range(0, end, size):
+                split = Split(path, at, min(at + size, end), take)
+                cost = split.end - split.start + _OPEN_BYTES
+                if cost > room or not parts:
+                    parts.append(Splits([]))
+                    room = size
+                parts[-1].splits.append(split)
+                room -= cost
+        return parts or [Splits([])]
+
+    def read(self, partition: Splits) -> Iterator[pa.RecordBatch]:
+        for split in partition.splits:
+            yield from self._read(split)
+
+    def _read(self, split: Split) -> Iterator[pa.RecordBatch]:
+        header = read_header(split.path)
         names = [name for name, _ in header.fields]
         missing = [f.name for f in self.schema if f.name not in names]
         if missing:
-            raise ValueError(f"{partition.path}: no vertex property {', '.join(missing)}")
-        fs, inner = _open(partition.path)
+            raise ValueError(f"{split.path}: no vertex property {', '.join(missing)}")
+        fs, inner = _open(split.path)
         with fs.open_input_file(inner) as file:
             if header.order:
-                batches = _binary_batches(file, header, partition, file.size())
+                batches = _binary_batches(file, header, split, file.size())
                 column = lambda data, name: data[name]
             else:
-                batches = _ascii_batches(file, header, partition)
+                batches = _ascii_batches(file, header, split)
                 column = lambda data, name: data[:, names.index(name)]
             for data in batches:
-                arrays = [
-                    pa.array(column(data, f.name).astype(f.type.to_pandas_dtype())) for f in self.schema
-                ]
+                arrays = [pa.array(column(data, f.name).astype(f.type.to_pandas_dtype())) for f in self.schema]
                 yield pa.RecordBatch.from_arrays(arrays, schema=self.schema)
 
 
 class PlyDataSource(DataSource):
-    """spark.read.format("ply"). Options: limit (first N vertices), splitBytes."""
+    """spark.read.format("ply").
+
+    Options: limit (first N vertices), splitBytes (the most a task reads),
+    parallelism (tasks to aim for while that keeps them above a few megabytes).
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -286,7 +312,7 @@ def read_ply(
     # Shipped with the job, so workers need no copy of this package.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(PlyDataSource)
-    reader = spark.read.format("ply")
+    reader = spark.read.format("ply").option("parallelism", spark.sparkContext.defaultParallelism)
     if schema is not None:
         reader = reader.schema(schema)
     if limit is not None:

@@ -2,10 +2,11 @@ import struct
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pointmill.operators.points import normalize_points
 from pointmill.plans import views
-from pointmill.sources.ply import parse_header, read_ply
+from pointmill.sources.ply import PlyReader, parse_header, read_ply
 from pointmill.workspace import scratch_path
 from tests.helpers import rows
 
@@ -29,6 +30,11 @@ def write(path, fmt, n, before=b"", before_header="", after=b"", after_header=""
     path.write_bytes(header(fmt, n, before_header, after_header) + before + body + after)
 
 
+def in_splits(spark, path, size):
+    read_ply(spark, str(path))  # registers the source
+    return spark.read.format("ply").option("splitBytes", size).load(str(path))
+
+
 FORMATS = ["binary_little_endian", "binary_big_endian", "ascii"]
 
 
@@ -36,8 +42,7 @@ FORMATS = ["binary_little_endian", "binary_big_endian", "ascii"]
 @pytest.mark.parametrize("split", [97, 1000, 1 << 20])
 def test_any_split_gives_the_same_rows(spark, tmp_path, fmt, split):
     write(tmp_path / "a.ply", fmt, 500)
-    read_ply(spark, str(tmp_path))
-    df = spark.read.format("ply").option("splitBytes", split).load(str(tmp_path))
+    df = in_splits(spark, tmp_path, split)
     assert df.schema.simpleString() == "struct<x:float,red:smallint,t:double,n:int>"
     assert sorted(map(tuple, df.collect()), key=lambda r: r[2]) == [vertex(i) for i in range(500)]
     if split < 1 << 20:
@@ -52,11 +57,25 @@ def test_other_elements_around_the_vertices(spark, tmp_path, fmt):
         tmp_path / "a.ply", fmt, 50, before, "element camera 1\nproperty int a\nproperty int b\n",
         after, "element face 1\nproperty list uchar int vertex_indices\n",
     )
-    read_ply(spark, str(tmp_path))
-    df = spark.read.format("ply").option("splitBytes", 300).load(str(tmp_path))
+    df = in_splits(spark, tmp_path, 300)
     assert sorted(map(tuple, df.collect()), key=lambda r: r[2]) == [vertex(i) for i in range(50)]
 
 
+def test_tasks_split_large_and_group_small_files(tmp_path):
+    schema = T.StructType([T.StructField("n", T.IntegerType())])
+    plan = lambda **o: PlyReader({"path": str(tmp_path), **o}, schema).partitions()
+    for i in range(40):
+        write(tmp_path / f"{i:02d}.ply", "binary_little_endian", 10)
+    assert [len(p.splits) for p in plan(parallelism="4")] == [10, 10, 10, 10]
+    (tmp_path / "large.ply").write_bytes(bytes(40 << 20))
+    parts = plan(parallelism="8")
+    assert 8 <= len(parts) <= 12
+    ranges = sorted((s.start, s.end) for p in parts for s in p.splits if s.path.endswith("large.ply"))
+    assert ranges[0][0] == 0 and ranges[-1][1] == 40 << 20
+    assert all(a[1] == b[0] for a, b in zip(ranges, ranges[1:]))
+    assert sum(len(p.splits) for p in parts) - len(ranges) == 40
+
+
 @pytest.mark.parametrize("fmt", FORMATS)
 def test_limit_takes_the_first_vertices(spark, tmp_path, fmt):
     write(tmp_path / "a.ply", fmt, 30)

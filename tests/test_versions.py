@@ -84,6 +84,15 @@ def test_saved_versions_prune_partitions(spark, five):
         ver.save_versions(five, path)
 
 
+def test_append_to_a_saved_table(spark, five):
+    path = scratch_path(spark, "versions")
+    ver.save_versions(five, path)
+    ver.append_saved(table(spark, ("y", 3.0)), path, 6)
+    saved = ver.load_versions(spark, path)
+    assert rows(ver.as_of_version(saved, 5)) == rows(ver.current(five))
+    assert rows(ver.current(saved).where("id = 'y'")) == [("y", 3.0)]
+
+
 def test_saved_table_without_closed_rows(spark):
     path = scratch_path(spark, "versions")
     ver.save_versions(ver.create_version(table(spark, ("a", 1.0))), path)
