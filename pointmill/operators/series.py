@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from pointmill.functions.columns import micros, packed
 
-_SLICE_ROWS = 500_000
+_SLICE_ROWS = 200_000
 
 
 def slice_seconds(df: DataFrame, ts: str) -> float:
