@@ -76,8 +76,10 @@ def current(table: DataFrame) -> DataFrame:
     return table.where(F.col("valid_to").isNull()).drop(*INTERVAL)
 
 
-def version_at(commits: DataFrame, timestamp: str) -> int:
-    """The latest version committed at or before a time. commits has one row per version."""
+def version_at(commits: DataFrame, timestamp: str | Column) -> int:
+    """The latest version committed at or before a time, a text or a Column such as
+    current_timestamp() - INTERVAL 5 MINUTES. commits has one row per version.
+    """
     at = F.lit(timestamp).cast(commits.schema["committed_at"].dataType)
     version = commits.where(F.col("committed_at") <= at).agg(F.max("version")).first()[0]
     if version is None:
@@ -85,7 +87,7 @@ def version_at(commits: DataFrame, timestamp: str) -> int:
     return version
 
 
-def as_of_timestamp(table: DataFrame, commits: DataFrame, timestamp: str) -> DataFrame:
+def as_of_timestamp(table: DataFrame, commits: DataFrame, timestamp: str | Column) -> DataFrame:
     return as_of_version(table, version_at(commits, timestamp))
 
 

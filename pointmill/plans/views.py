@@ -112,13 +112,14 @@ def write_ply_files(raw: DataFrame, path: str) -> None:
     A task holds no more rows than go into one file, as the header wants their count.
     """
     dtype, names, rows_per_file = _FILE_DTYPE, _PLY_NAMES, _ROWS_PER_FILE
+    uri = path if "://" in path else "file:///" + path.removeprefix("file:").lstrip("/")
     properties = "".join(f"property {names[dtype[c].str[1:]]} {c}\n" for c in dtype.names)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs as pafs
         from pyspark import TaskContext
 
-        files, root = pafs.FileSystem.from_uri("file://" + path if path.startswith("/") else path)
+        files, root = pafs.FileSystem.from_uri(uri)
         files.create_dir(root, recursive=True)
         part = TaskContext.get().partitionId()
         held, count, number = [], 0, 0

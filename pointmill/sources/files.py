@@ -27,6 +27,14 @@ def query_files(spark: SparkSession, select: str, path: str, fmt: str = "parquet
     return spark.sql(f"SELECT {select} FROM {fmt}.`{path}` {rest}")
 
 
+def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """Path, size and time of the files of a folder whose names match, hidden ones left out; no content is read."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    return found.select(
+        F.col("path").alias("file_path"), F.col("length").alias("file_size"), F.col("modificationTime").alias("modified_at")
+    )
+
+
 def file_inventory(df: DataFrame) -> DataFrame:
     """The files a DataFrame reads, with size, time and row count. Hidden files are not listed."""
     return df.groupBy(

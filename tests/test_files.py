@@ -54,6 +54,14 @@ def test_inventory(spark):
     assert names == {n: os.path.getsize(f"{path}/{n}") for n in os.listdir(path) if n.endswith(".parquet")}
 
 
+def test_listing_skips_hidden_files(spark, tmp_path):
+    for name in ("a.parquet", "b.json", ".c.parquet", "_d.parquet"):
+        (tmp_path / name).write_bytes(b"12345")
+    listed = files.list_files(spark, str(tmp_path))
+    assert {os.path.basename(r.file_path): r.file_size for r in listed.collect()} == {"a.parquet": 5, "b.json": 5}
+    assert files.list_files(spark, str(tmp_path), "*.parquet").count() == 1
+
+
 def test_compaction_merges_and_rolls(spark):
     small, big = scratch_path(spark, "many"), scratch_path(spark, "compact")
     spark.range(0, 1000, 1, 50).write.parquet(small)

@@ -62,6 +62,7 @@ def test_as_of_time(spark, five):
     log = commits(spark, *[("x", f"2024-01-01 0{i}:00:00") for i in range(5)])
     assert rows(ver.as_of_timestamp(five, log, "2024-01-01 01:59:59")) == rows(ver.as_of_version(five, 2))
     assert ver.version_at(log, "2024-01-01 02:00:00") == 3
+    assert ver.version_at(log, F.current_timestamp() - F.expr("INTERVAL 5 MINUTES")) == 5
     with pytest.raises(ValueError, match="no version"):
         ver.as_of_timestamp(five, log, "2023-12-31 23:00:00")
 
