@@ -18,11 +18,18 @@ _SLICE_ROWS = 200_000
 
 
 def slice_seconds(df: DataFrame, ts: str) -> float:
-    """Width of time slices that hold about _SLICE_ROWS rows if spread evenly. One pass over one column."""
-    n, low, high = df.agg(F.count(ts), F.min(micros(F.col(ts))), F.max(micros(F.col(ts)))).first()
-    if not n or high == low:
+    """Width of time slices that hold about _SLICE_ROWS rows. One pass over one column.
+
+    The rows are cut into tenths by time and the middle one of their spans
+    counts, so neither stray times far off nor a burst decides.
+    """
+    at = micros(F.col(ts))
+    n, marks = df.agg(F.count(ts), F.percentile_approx(at, [i / 10 for i in range(11)])).first()
+    if not n:
         return 1.0
-    return max((high - low) * _SLICE_ROWS / n, 1.0) / 1e6
+    spans = sorted(b - a for a, b in zip(marks, marks[1:]))
+    typical = spans[5] or (marks[-1] - marks[0]) / 10
+    return max(typical * _SLICE_ROWS * 10 / n, 1.0) / 1e6
 
 
 def _slice(at: Column, seconds: float) -> Column:
@@ -91,6 +98,46 @@ def _reset_corrected(samples: DataFrame) -> DataFrame:
     )
 
 
+def _with_window_start(steady: DataFrame, window_seconds: float, width: float) -> DataFrame:
+    """Add `first`, the time and steady value of the first sample in the window that ends at each sample.
+
+    Each sample leaves a probe at the start of its window. Probes and samples
+    meet in one window per (series, slice), latest first, where a probe takes
+    the sample seen last; with none left in the slice it takes the earliest of
+    the next slice that has one.
+    """
+
+    def row(place: Column, is_sample: bool) -> Column:
+        sample = F.when(F.lit(is_sample), F.struct("_at", "steady"))
+        fields = [F.col("_at"), F.col("value"), F.col("steady"), sample.alias("_sample")]
+        return F.struct(place.alias("_place"), F.lit(is_sample).alias("_is_sample"), *fields)
+
+    start = F.col("_at") - F.lit(int(window_seconds * 1e6))
+    placed = steady.select(
+        "_series", F.inline(F.array(row(F.col("_at"), True), row(start, False)))
+    ).withColumn("_slice", _slice(F.col("_place"), width))
+
+    # At the same place the sample comes first: the window includes its start.
+    so_far = Window.unboundedPreceding
+    in_slice = Window.partitionBy("_series", "_slice").orderBy(F.desc("_place"), F.desc("_is_sample"))
+    seen = F.last("_sample", ignorenulls=True).over(in_slice.rowsBetween(so_far, 0))
+
+    sample_at = F.when(F.col("_is_sample"), F.col("_at"))
+    later = Window.partitionBy("_series").orderBy(F.desc("_slice")).rowsBetween(so_far, -1)
+    following = (
+        placed.groupBy("_series", "_slice")
+        .agg(F.min(sample_at).alias("_at"), F.min_by("steady", sample_at).alias("steady"))
+        .withColumn("_earliest", F.when(F.col("_at").isNotNull(), F.struct("_at", "steady")))
+        .select("_series", "_slice", F.last("_earliest", ignorenulls=True).over(later).alias("_next"))
+    )
+    return (
+        placed.withColumn("_seen", seen)
+        .where(~F.col("_is_sample"))
+        .join(following, ["_series", "_slice"])
+        .select("_series", "_at", "value", "steady", F.coalesce("_seen", "_next").alias("first"))
+    )
+
+
 def counter_rate(
     df: DataFrame,
     keys: Sequence[str],
@@ -107,55 +154,24 @@ def counter_rate(
     extrapolated to the window's edges. A value below the one before it is a
     reset, after which the counter started from 0. A window with one sample has
     rate NULL. Samples of one series at the same instant count once: the one
-    with the highest tie, else the highest value. Samples without a time or a
-    value are no samples.
+    with the highest tie, a whole number, else the highest value. Samples
+    without a time or a value are no samples.
     """
     width = seconds or slice_seconds(df, ts)
-    series = F.struct(*keys).alias("_series")
+    order = F.coalesce(F.col(tie), F.lit(-(2**63))) if tie else F.col(value)
     samples = (
         df.where(F.col(ts).isNotNull() & F.col(value).isNotNull())
-        .groupBy(series, micros(F.col(ts)).alias("_at"))
-        .agg(F.max_by(value, tie or value).alias("value"))
+        .groupBy(F.struct(*keys).alias("_series"), micros(F.col(ts)).alias("_at"))
+        .agg(F.max_by(value, order).alias("value"))
         .withColumn("_slice", _slice(F.col("_at"), width))
     )
-    steady = _reset_corrected(samples)
-
-    # Each sample looks for the first sample at or after the start of its
-    # window: it leaves a probe there, and probes and samples are met in time
-    # order, latest first.
-    start = F.col("_at") - F.lit(int(window_seconds * 1e6))
-    found = F.struct("_at", "steady")
-    nothing = F.lit(None)
-    pairs = F.array(
-        F.struct(F.col("_at").alias("_place"), F.lit(1).alias("_rank"), found.alias("_sample"), nothing.cast("bigint").alias("_at"), F.col("value"), F.col("steady")),
-        F.struct(start.alias("_place"), F.lit(0).alias("_rank"), F.when(F.lit(False), found).alias("_sample"), F.col("_at"), F.col("value"), F.col("steady")),
-    )
-    placed = steady.select("_series", F.inline(pairs)).withColumn("_slice", _slice(F.col("_place"), width))
-    latest_first = Window.partitionBy("_series", "_slice").orderBy(F.desc("_place"), F.desc("_rank"))
-    seen = F.last("_sample", ignorenulls=True).over(latest_first.rowsBetween(Window.unboundedPreceding, 0))
-
-    following = Window.partitionBy("_series").orderBy("_slice").rowsBetween(1, Window.unboundedFollowing)
-    next_slice = (
-        placed.groupBy("_series", "_slice")
-        .agg(
-            F.min(F.when(F.col("_rank") == 1, F.col("_place"))).alias("_n_at"),
-            F.min_by("steady", F.when(F.col("_rank") == 1, F.col("_place"))).alias("_n_steady"),
-        )
-        .withColumn("_n", F.when(F.col("_n_at").isNotNull(), F.struct(F.col("_n_at").alias("_at"), F.col("_n_steady").alias("steady"))))
-        .select("_series", "_slice", F.first("_n", ignorenulls=True).over(following).alias("_next"))
-    )
-    first = F.coalesce(F.col("_seen"), F.col("_next"))
-    elapsed = F.col("_at") - first["_at"]
-    return (
-        placed.withColumn("_seen", seen)
-        .where(F.col("_rank") == 0)
-        .join(next_slice, ["_series", "_slice"])
-        .select(
-            *[F.col("_series")[k].alias(k) for k in keys],
-            F.timestamp_micros("_at").alias(ts),
-            F.col("value").alias(value),
-            F.try_divide(F.col("steady") - first["steady"], elapsed / F.lit(1e6)).alias("rate"),
-        )
+    increase = F.col("steady") - F.col("first")["steady"]
+    elapsed = (F.col("_at") - F.col("first")["_at"]) / F.lit(1e6)
+    return _with_window_start(_reset_corrected(samples), window_seconds, width).select(
+        *[F.col("_series")[k].alias(k) for k in keys],
+        F.timestamp_micros("_at").alias(ts),
+        F.col("value").alias(value),
+        F.try_divide(increase, elapsed).alias("rate"),
     )
 
 

@@ -92,8 +92,18 @@ def test_running_total_keeps_rows_without_a_time(spark):
 
 def test_slices_follow_the_row_count(spark):
     df = spark.range(2_000_000).select(F.timestamp_seconds("id").alias("ts"))
-    assert abs(series.slice_seconds(df, "ts") - series._SLICE_ROWS) < 2
+    width = series.slice_seconds(df, "ts")
+    assert width == pytest.approx(series._SLICE_ROWS, rel=0.01)
+    stray = spark.createDataFrame([(datetime(1970, 1, 1),), (datetime(2200, 1, 1),)], "ts timestamp")
+    burst = df.where("ts < '1970-01-03'").crossJoin(spark.range(2)).select("ts")
+    assert series.slice_seconds(df.union(stray).union(burst), "ts") == pytest.approx(width, rel=0.3)
     assert series.slice_seconds(df.where("false"), "ts") == 1.0
+    assert 0 < series.slice_seconds(stray.union(stray).limit(1), "ts") < 1
+
+
+def test_samples_without_a_tie(spark):
+    df = samples(spark, [(1, "a", 0, None, 3), (1, "a", 0, 4, 5), (1, "a", 1, None, 6)])
+    assert rows(series.counter_rate(df, KEYS, "ts", "value", 9, "id"), "value", "rate") == [(5, None), (6, 1.0)]
 
 
 def test_cpu_usage(spark):
