@@ -124,6 +124,8 @@ def _open(path: str) -> tuple[pafs.FileSystem, str]:
     """The file system of a path and the path within it."""
     if path.startswith("file:"):
         path = "/" + path[len("file:") :].lstrip("/")
+    if path.startswith("s3a:"):
+        path = "s3:" + path[len("s3a:") :]
     return pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
 
 

@@ -37,21 +37,23 @@ def read_points_stream(
 
 
 def write_points_stream(
-    points: DataFrame, path: str, checkpoint: str, every: str | None = None, fmt: str = "json"
+    points: DataFrame,
+    path: str,
+    checkpoint: str,
+    every: str | None = None,
+    fmt: str = "json",
+    max_records: int | None = None,
 ) -> StreamingQuery:
-    """Append to files, a batch every interval; without one, take what is there and stop.
+    """Append to files, a batch every interval ("5 seconds"); without one, take what is there and stop.
 
     The checkpoint holds the read positions, so a restart neither loses nor
-    repeats rows. The interval is also how often files are rolled.
+    repeats rows. Files are rolled with every batch and after max_records.
     """
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    return (
-        points.writeStream.format(fmt)
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start(path)
-    )
+    writer = points.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
+    if max_records:
+        writer = writer.option("maxRecordsPerFile", max_records)
+    return writer.trigger(**trigger).start(path)
 
 
 def clean_stream(points: DataFrame) -> DataFrame:
@@ -70,10 +72,11 @@ def stream_clean(
     every: str | None = None,
     per_trigger: int | None = None,
     fmt: str = "json",
+    max_records: int | None = None,
 ) -> StreamingQuery:
     """Clean a JSON folder into another folder."""
     points = read_points_stream(spark, source, per_trigger=per_trigger)
-    return write_points_stream(clean_stream(points), target, checkpoint, every, fmt)
+    return write_points_stream(clean_stream(points), target, checkpoint, every, fmt, max_records)
 
 
 def debug_stream(points: DataFrame, checkpoint: str | None = None, table: str | None = None) -> StreamingQuery:

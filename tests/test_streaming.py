@@ -3,7 +3,7 @@ import json
 import pytest
 
 from pointmill.operators.points import clean
-from pointmill.sources.files import read_points_json
+from pointmill.sources.files import file_inventory, read_points_json
 from pointmill.streaming import clean as streams
 from tests.helpers import DEFAULTS, points, rows
 
@@ -67,6 +67,13 @@ def test_uncommitted_files_are_not_read(spark, paths):
     assert rows(read_points_json(spark, paths[1]), "x") == [(1.0,)]
 
 
+def test_files_are_rolled(spark, paths):
+    land(paths[0], "a.json", *[{"x": float(i)} for i in range(25)])
+    run(spark, paths, max_records=10)
+    listed = file_inventory(read_points_json(spark, paths[1])).collect()
+    assert sorted(r.row_count for r in listed) == [5, 10, 10]
+
+
 def test_interval_trigger(spark, paths):
     land(paths[0], "a.json", {"x": 1.0})
     query = streams.stream_clean(spark, str(paths[0]), paths[1], paths[2], every="1 second", fmt="parquet")
@@ -94,6 +101,12 @@ def test_source_needs_one_of_path_and_kafka(spark):
         streams.read_points_stream(spark)
 
 
+def test_kafka_is_left_to_its_package(spark):
+    options = {"kafka.bootstrap.servers": "nowhere:1", "subscribe": "points"}
+    with pytest.raises(Exception, match="(?i)kafka"):
+        streams.read_points_stream(spark, kafka=options, per_trigger=100)
+
+
 def test_message_decoding_is_shared_with_the_stream(spark):
     df = points(spark, {"x": 1.0}, {"label": 0})
     assert streams.clean_stream(df.selectExpr("*", "CAST(NULL AS STRING) AS _corrupt")).count() == 1
