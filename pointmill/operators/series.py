@@ -16,6 +16,9 @@ from pointmill.functions.columns import micros, packed
 
 _SLICE_ROWS = 200_000
 
+# The most slices a rate window may span; wider slices are used beyond that.
+_WINDOW_SLICES = 10_000
+
 
 def slice_seconds(df: DataFrame, ts: str) -> float:
     """Width of time slices that hold about _SLICE_ROWS rows. One pass over one column.
@@ -69,42 +72,48 @@ def running_total(
     )
 
 
-def _reset_corrected(samples: DataFrame) -> DataFrame:
-    """Add `steady`: the counter plus everything lost in resets so far. Input: _series, _slice, _at, value."""
+def _reset_corrected(samples: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Samples with `steady`, the counter plus everything lost in resets so far, and one row per slice.
+
+    Input: _series, _slice, _at, value. The slice rows hold what resets took
+    before the slice's first sample (_carried), and that sample (_at, steady).
+    """
     in_slice = Window.partitionBy("_series", "_slice").orderBy("_at")
     previous = F.lag("value").over(in_slice)
     lost = F.when(F.col("value") < previous, previous).otherwise(0)
     rows = samples.withColumn("_lost", lost)
 
     by_slice = Window.partitionBy("_series").orderBy("_slice")
-    ends = rows.groupBy("_series", "_slice").agg(
-        F.min_by("value", "_at").alias("_first"),
-        F.max_by("value", "_at").alias("_last"),
-        F.sum("_lost").alias("_inside"),
-    )
     last_before = F.lag("_last").over(by_slice)
     at_border = F.when(F.col("_first") < last_before, last_before).otherwise(0)
-    carried = (
-        ends.withColumn("_border", at_border)
+    slices = (
+        rows.groupBy("_series", "_slice")
+        .agg(
+            F.min("_at").alias("_at"),
+            F.min_by("value", "_at").alias("_first"),
+            F.max_by("value", "_at").alias("_last"),
+            F.sum("_lost").alias("_inside"),
+        )
+        .withColumn("_border", at_border)
         .withColumn("_carried", F.sum(F.col("_inside") + F.col("_border")).over(by_slice) - F.col("_inside"))
-        .select("_series", "_slice", "_carried")
+        .select("_series", "_slice", "_at", "_carried", (F.col("_first") + F.col("_carried")).alias("steady"))
     )
     so_far = F.sum("_lost").over(in_slice.rowsBetween(Window.unboundedPreceding, 0))
-    return (
+    steady = (
         rows.withColumn("_lost", so_far)
-        .join(carried, ["_series", "_slice"])
-        .withColumn("steady", F.col("value") + F.col("_lost") + F.col("_carried"))
-        .drop("_lost", "_carried")
+        .join(slices.select("_series", "_slice", "_carried"), ["_series", "_slice"])
+        .select("_series", "_at", "value", (F.col("value") + F.col("_lost") + F.col("_carried")).alias("steady"))
     )
+    return steady, slices
 
 
-def _with_window_start(steady: DataFrame, window_seconds: float, width: float) -> DataFrame:
+def _with_window_start(steady: DataFrame, slices: DataFrame, window_seconds: float, width: float) -> DataFrame:
     """Add `first`, the time and steady value of the first sample in the window that ends at each sample.
 
     Each sample leaves a probe at the start of its window. Probes and samples
     meet in one window per (series, slice), latest first, where a probe takes
-    the sample seen last; with none left in the slice it takes the earliest of
-    the next slice that has one.
+    the sample seen last; with none left in the slice it takes the first sample
+    of the next slice that has one.
     """
 
     def row(place: Column, is_sample: bool) -> Column:
@@ -118,22 +127,21 @@ def _with_window_start(steady: DataFrame, window_seconds: float, width: float) -
     ).withColumn("_slice", _slice(F.col("_place"), width))
 
     # At the same place the sample comes first: the window includes its start.
-    so_far = Window.unboundedPreceding
-    in_slice = Window.partitionBy("_series", "_slice").orderBy(F.desc("_place"), F.desc("_is_sample"))
-    seen = F.last("_sample", ignorenulls=True).over(in_slice.rowsBetween(so_far, 0))
-
-    sample_at = F.when(F.col("_is_sample"), F.col("_at"))
-    later = Window.partitionBy("_series").orderBy(F.desc("_slice")).rowsBetween(so_far, -1)
-    following = (
-        placed.groupBy("_series", "_slice")
-        .agg(F.min(sample_at).alias("_at"), F.min_by("steady", sample_at).alias("steady"))
-        .withColumn("_earliest", F.when(F.col("_at").isNotNull(), F.struct("_at", "steady")))
-        .select("_series", "_slice", F.last("_earliest", ignorenulls=True).over(later).alias("_next"))
+    latest_first = Window.partitionBy("_series", "_slice").orderBy(F.desc("_place"), F.desc("_is_sample"))
+    seen = F.last("_sample", ignorenulls=True).over(latest_first.rowsBetween(Window.unboundedPreceding, 0))
+
+    # A slice's first sample serves the slices before it, back to the last one
+    # with samples of its own, and no further than a window reaches.
+    before = F.lag("_slice").over(Window.partitionBy("_series").orderBy("_slice"))
+    reach = int(window_seconds / width) + 1
+    served = F.sequence(F.greatest(before, F.col("_slice") - reach), F.col("_slice") - 1)
+    following = slices.withColumn("_served", served).select(
+        "_series", F.explode("_served").alias("_slice"), F.struct("_at", "steady").alias("_next")
     )
     return (
         placed.withColumn("_seen", seen)
         .where(~F.col("_is_sample"))
-        .join(following, ["_series", "_slice"])
+        .join(following, ["_series", "_slice"], "left")
         .select("_series", "_at", "value", "steady", F.coalesce("_seen", "_next").alias("first"))
     )
 
@@ -157,7 +165,7 @@ def counter_rate(
     with the highest tie, a whole number, else the highest value. Samples
     without a time or a value are no samples.
     """
-    width = seconds or slice_seconds(df, ts)
+    width = max(seconds or slice_seconds(df, ts), window_seconds / _WINDOW_SLICES)
     order = F.coalesce(F.col(tie), F.lit(-(2**63))) if tie else F.col(value)
     samples = (
         df.where(F.col(ts).isNotNull() & F.col(value).isNotNull())
@@ -167,7 +175,7 @@ def counter_rate(
     )
     increase = F.col("steady") - F.col("first")["steady"]
     elapsed = (F.col("_at") - F.col("first")["_at"]) / F.lit(1e6)
-    return _with_window_start(_reset_corrected(samples), window_seconds, width).select(
+    return _with_window_start(*_reset_corrected(samples), window_seconds, width).select(
         *[F.col("_series")[k].alias(k) for k in keys],
         F.timestamp_micros("_at").alias(ts),
         F.col("value").alias(value),

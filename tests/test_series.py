@@ -101,6 +101,16 @@ def test_slices_follow_the_row_count(spark):
     assert 0 < series.slice_seconds(stray.union(stray).limit(1), "ts") < 1
 
 
+@pytest.mark.parametrize("window", [3, 90, 5000])
+def test_rate_over_gaps(spark, window):
+    pick = random.Random(window)
+    times = sorted(pick.sample(range(200), 30) + pick.sample(range(4000, 4100), 30) + [9000, 9001])
+    data = [(1, "a", s, n, pick.randrange(100)) for n, s in enumerate(times)]
+    for width in (0.5, 7.0, 100.0):
+        got = series.counter_rate(samples(spark, data), KEYS, "ts", "value", window, "id", width)
+        assert [r.rate for r in got.orderBy("ts").collect()] == pytest.approx([r[4] for r in brute_rate(data, window)])
+
+
 def test_samples_without_a_tie(spark):
     df = samples(spark, [(1, "a", 0, None, 3), (1, "a", 0, 4, 5), (1, "a", 1, None, 6)])
     assert rows(series.counter_rate(df, KEYS, "ts", "value", 9, "id"), "value", "rate") == [(5, None), (6, 1.0)]
