@@ -150,7 +150,8 @@ _PROFILE = " UNION ALL ".join(
         FROM points"""
     for c in POINT_COLUMNS
 )
-_INDEX = "(SELECT label, CAST(dense_rank() OVER (ORDER BY label) - 1 AS INT) AS label_index FROM (SELECT DISTINCT label FROM cleaned))"
+_INDEX = """(SELECT label, CAST(dense_rank() OVER (ORDER BY label) - 1 AS INT) AS label_index
+    FROM (SELECT DISTINCT label FROM cleaned))"""
 _VOXEL_COLUMNS = "voxel_x, voxel_y, voxel_z"
 
 

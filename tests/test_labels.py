@@ -84,7 +84,10 @@ def separable(spark):
         *[(F.pmod(F.hash("id", F.lit(s)), F.lit(40)) - 20).cast("int").alias(k) for s, k in enumerate(VOXEL)],
         (F.pmod(F.hash("id", F.lit(9)), F.lit(100)) / 2).alias("avg_intensity"),
         F.lit(7).cast("long").alias("point_count"),
-        *[F.pmod(F.hash("id", F.lit(20 + i)), F.lit(256)).cast("int").alias(f"avg_{c}") for i, c in enumerate(("red", "green", "blue"))],
+        *[
+            F.pmod(F.hash("id", F.lit(20 + i)), F.lit(256)).cast("int").alias(f"avg_{c}")
+            for i, c in enumerate(("red", "green", "blue"))
+        ],
     )
     label = F.when(F.col("voxel_z") > 3, 7).when(F.col("avg_intensity") > 25, 4).otherwise(2)
     df = df.withColumn("majority_label", label)
