@@ -1,5 +1,6 @@
 """Where jobs put the files they write for themselves."""
 
+import re
 import tempfile
 from uuid import uuid4
 
@@ -14,7 +15,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="pointmill-")
     return f"{root.rstrip('/')}/pointmill/{name}-{uuid4().hex}"

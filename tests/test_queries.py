@@ -4,10 +4,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from pointmill.plans.oracles import oracles
+from pointmill.plans.queries import QUERIES
 from tests.helpers import canonical
 
 TABLES = ["nation", "orders", "lineitem", "events"]
-ORACLES = entry_module.oracle_sql()
+ORACLES = oracles()
 
 
 @pytest.fixture(scope="module")
@@ -20,14 +22,20 @@ def duck(sf_dir):
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, duck, sf_dir, name):
-    result = entry_module.queries()[name](spark, sf_dir)
+    result = QUERIES[name](spark, sf_dir)
     answer = duck.execute(ORACLES[name])
     names = [c[0] for c in answer.description]
     assert canonical(result.columns, result.collect()) == canonical(names, answer.fetchall())
 
 
 def test_only_the_classifier_has_no_sql():
-    assert set(entry_module.queries()) - set(ORACLES) == {"classify_voxels", "model_quality"}
+    assert set(QUERIES) - set(ORACLES) == {"classify_voxels", "model_quality"}
+
+
+def test_entry_registers_every_query():
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(ORACLES) <= set(entry_module.oracle_sql())
+    assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
 
 
 def test_entry(spark):
