@@ -4,8 +4,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pointmill.llm import ngram_join
+from pointmill.llm import decontaminate, ngram_join, quality, secret_ledger
 from pointmill.plans.views import table
+from pointmill.workspace import scratch_path
+
+
+def op1_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_ledger.secret_scan(table(spark, sf_dir, "documents"), scratch_path(spark, "ledger"))
+
+
+def op8_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,5 +26,8 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_ledger": op1_secret_ledger,
+    "op8_quality_scores": op8_quality_scores,
+    "op9_decontamination": op9_decontamination,
     "op10_ngram_jaccard": op10_ngram_jaccard,
 }
