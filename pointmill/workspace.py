@@ -1,21 +1,40 @@
-"""Where jobs put the files they write for themselves."""
+"""Where jobs put the files they write for themselves, and how tasks open files."""
 
 import re
 import tempfile
 from uuid import uuid4
 
+from pyarrow import fs as pafs
 from pyspark.sql import SparkSession
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme: one without is on the default file system, as for Spark's own readers."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    where = hadoop.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toString()
+
+
+def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a qualified path and the path in it, for use in tasks."""
+    scheme, _, rest = uri.partition(":")
+    if not rest:
+        raise ValueError(f"a path with a scheme is wanted, not {uri}")
+    if scheme == "file":
+        return pafs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return pafs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", uri))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder the cluster names in spark.checkpoint.dir.
+    """A new path in the shared folder the cluster names in spark.checkpoint.dir, with its scheme.
 
     Executors must all reach it, so a machine-local folder is used only on a
-    local master with the setting unset.
+    local master with the setting unset. Nothing is removed here: the folder is
+    the caller's to clear once the results that were read from it are no longer needed.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="pointmill-")
-    return f"{root.rstrip('/')}/pointmill/{name}-{uuid4().hex}"
+    return qualified(spark, f"{root.rstrip('/')}/pointmill/{name}-{uuid4().hex}")
