@@ -2,9 +2,10 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pointmill.llm import decontaminate, ngram_join, quality, secret_ledger
+from pointmill.llm import bitpack, decontaminate, ngram_join, packing, quality, secret_ledger
 from pointmill.plans.views import table
 from pointmill.workspace import scratch_path
 
@@ -13,6 +14,14 @@ def op1_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_ledger.secret_scan(table(spark, sf_dir, "documents"), scratch_path(spark, "ledger"))
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pieces_report(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op7_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitpack.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op8_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -27,6 +36,8 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_ledger": op1_secret_ledger,
+    "op2_packing": op2_packing,
+    "op7_bit_packing": op7_bit_packing,
     "op8_quality_scores": op8_quality_scores,
     "op9_decontamination": op9_decontamination,
     "op10_ngram_jaccard": op10_ngram_jaccard,
