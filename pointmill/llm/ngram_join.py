@@ -25,8 +25,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast, TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import Broadcast
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pointmill.llm.common import LOWER, Numbered, components, hash64, mix, parallelism, saved, union_find
@@ -38,13 +38,13 @@ _RANGES = 16
 
 @dataclass(frozen=True)
 class Settings:
-    """n: words of an n-gram. percent: the least Jaccard index. slots: of the count table and, eightfold, bits of
-    the bitmap. cell_grams: n-grams a cell holds about."""
+    """n: words of an n-gram. percent: the least Jaccard index. slots: of the count table and of
+    the bitmap, a power of two. cell_grams: n-grams a cell holds about."""
 
     n: int = 3
     percent: int = 90
     slots: int = 1 << 22
-    cell_grams: int = 1_500_000
+    cell_grams: int = 1_000_000
 
 
 def ngram_sets(texts: list[bytes | None], n: int, words: Numbered) -> list[np.ndarray]:
@@ -80,10 +80,10 @@ def _class_of(grams: np.ndarray) -> int:
 
 
 def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
-    words = Numbered(hash64)
+    words = Numbered(hash64, 150_000)
     for batch in batches:
-        for start in range(0, batch.num_rows, 2000):
-            part = batch.slice(start, 2000)
+        for start in range(0, batch.num_rows, 400):  # words are Python objects: only few texts' at a time
+            part = batch.slice(start, 400)
             yield part, ngram_sets(part.column("text").cast(pa.binary()).to_pylist(), n, words)
 
 
@@ -91,7 +91,7 @@ def _counted(values: Iterator[np.ndarray], slots: int) -> Iterator[tuple[int, by
     """Counts of slots as rows (segment, positions, counts)."""
     counts = np.zeros(slots, np.int32)
     for x in values:
-        counts += np.bincount((x & np.uint64(slots - 1)).astype(np.int64), minlength=slots).astype(np.int32)
+        np.add.at(counts, (x & np.uint64(slots - 1)).astype(np.int64), 1)
     for k, part in enumerate(counts.reshape(-1, _SEGMENT)):
         at = np.flatnonzero(part)
         if len(at):
@@ -166,7 +166,7 @@ def _prefixes(texts: DataFrame, counts: Broadcast, settings: Settings, bitmap: B
     n, percent = settings.n, settings.percent
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = Numbered(lambda _: None, 1_000_000)
+        seen = Numbered(lambda _: None, 300_000)
         for _, sets in _sets(batches, n):
             grams, names = [], []
             for x in sets:
