@@ -96,3 +96,25 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         now = saved(smallest.selectExpr("u", "m AS v").unionAll(smaller).distinct(), name)
     roots = now.selectExpr("v AS vertex", "v AS component").distinct()
     return roots.unionAll(now.selectExpr("u AS vertex", "v AS component"))
+
+
+def resolved(rows: DataFrame, linked: DataFrame, name: str) -> DataFrame:
+    """(id, class, n_links, component_id) of each of rows (id, class, ...), whose further columns stay.
+
+    rows of one class are equal and link with each other; linked (class, root, n_links) holds links between classes, as edges and
+    as numbers of rows, which add up. component_id is the smallest id of the component. A row without a class links with nothing.
+    """
+    groups = components(linked.selectExpr("class AS a", "root AS b"), name)
+    degree = linked.groupBy("class").agg(F.sum("n_links").alias("degree"))
+    each = rows.where("class IS NOT NULL").groupBy("class").agg(F.min("id").alias("least"), F.count("*").alias("copies"))
+    each = each.join(degree, "class", "left").join(groups.withColumnRenamed("vertex", "class"), "class", "left")
+    each = saved(each.withColumn("component", F.coalesce("component", "class")), f"{name}_classes")
+    lowest = each.groupBy("component").agg(F.min("least").alias("lowest"))
+    each = each.join(lowest, "component").select("class", "copies", "degree", "lowest")
+    lone = F.col("class").isNull()
+    joined = rows.join(each, "class", "left")
+    return joined.select(
+        *rows.columns,
+        F.when(lone, 0).otherwise(F.coalesce("degree", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"),
+        F.when(lone, F.col("id")).otherwise(F.col("lowest")).alias("component_id"),
+    )

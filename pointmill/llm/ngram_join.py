@@ -29,7 +29,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pointmill.llm.common import LOWER, Numbered, components, hash64, mix, parallelism, saved, union_find
+from pointmill.llm.common import LOWER, Numbered, hash64, mix, parallelism, resolved, saved, union_find
 
 #: Slots of one row of the count table; its rows are summed apart.
 _SEGMENT = 1 << 14
@@ -363,22 +363,8 @@ def jaccard_join(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     sets, counts = classes(texts, settings)
     linked = links(texts, sets, counts, settings)
-    groups = components(linked.selectExpr("class AS a", "root AS b"), "ngram_components")
-    degree = linked.groupBy("class").agg(F.sum("n_links").alias("degree"))
-    each = sets.where("class IS NOT NULL").groupBy("class").agg(F.min("id").alias("least"), F.count("*").alias("copies"))
-    each = each.join(degree, "class", "left").join(groups.withColumnRenamed("vertex", "class"), "class", "left")
-    each = saved(each.withColumn("component", F.coalesce("component", "class")), "joined_classes")
-    lowest = each.groupBy("component").agg(F.min("least").alias("component_id"))
-    each = each.join(lowest, "component").select("class", "copies", "degree", "component_id")
-    rows = sets.join(each, "class", "left")
-    lone = F.col("class").isNull()
-    out = rows.select(
-        F.col("id").alias(id_column),
-        F.col("n_grams").alias("n_shingles"),
-        F.when(lone, F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
-        F.when(lone, 0).otherwise(F.coalesce("degree", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"),
-        F.col("class"),
-    )
+    rows = resolved(sets, linked, "ngram_components")
+    out = rows.select(F.col("id").alias(id_column), F.col("n_grams").alias("n_shingles"), "component_id", "n_links", "class")
     return out.withColumn("representative", F.col(id_column).eqNullSafe(F.col("component_id")))
 
 
