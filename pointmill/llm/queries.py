@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pointmill.llm import bitpack, decontaminate, ngram_join, packing, quality, secret_ledger
+from pointmill.llm import arc, bitpack, decontaminate, license_join, metric_join, ngram_join, packing, quality, secret_ledger, token_counts
 from pointmill.plans.views import table
 from pointmill.workspace import scratch_path
 
@@ -18,6 +18,22 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pieces_report(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_metric_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metric_join.range_join(table(spark, sf_dir, "embeddings"))
+
+
+def op4_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_join.license_scan(table(spark, sf_dir, "documents"))
+
+
+def op5_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op7_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitpack.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -37,6 +53,10 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_ledger": op1_secret_ledger,
     "op2_packing": op2_packing,
+    "op3_metric_range_join": op3_metric_range_join,
+    "op4_license_join": op4_license_join,
+    "op5_arc_to_warc": op5_arc_to_warc,
+    "op6_token_counts": op6_token_counts,
     "op7_bit_packing": op7_bit_packing,
     "op8_quality_scores": op8_quality_scores,
     "op9_decontamination": op9_decontamination,
