@@ -1,3 +1,112 @@
-"""The registered queries as SQL, where SQL can express them."""
+"""The registered queries as SQL, where SQL can express them.
 
-ORACLES: dict[str, str] = {}
+Packing, bit packing, the classifier and word pieces cannot be: they rest on a tokenizer, a
+trained model or an automaton. Tests hold them against brute force instead.
+"""
+
+from pointmill.llm.license_join import PHRASES, TEMPLATES
+from pointmill.llm.secret_ledger import BASE, RULES
+
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+_COMPONENTS = """reached(a, b) AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b
+), roots AS (SELECT a, least(a, min(b)) AS component_id FROM reached GROUP BY a),
+degrees AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)"""
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _secrets() -> str:
+    kinds = []
+    for number, rule in enumerate(RULES):
+        pattern = _quoted(rule.pattern)
+        kinds.append(f"""SELECT doc_id, {number} AS k, {_quoted(rule.kind)} AS kind, pos,
+  length(gaps[pos]) AS gap, length(found[pos]) AS size, length(least_of[pos]) >= {rule.least} AS counts
+FROM (SELECT doc_id, gaps, found, least_of, unnest(range(1, len(found) + 1)) AS pos FROM (SELECT doc_id,
+  string_split_regex(coalesce(text, ''), {pattern}) AS gaps,
+  regexp_extract_all(coalesce(text, ''), {pattern}) AS found,
+  regexp_extract_all(coalesce(text, ''), {pattern}, {rule.group}) AS least_of FROM documents))""")
+    base = ", ".join(_quoted(r.kind) for r in BASE)
+    written = "string_agg(kind || ':' || (stop - size) || ':' || stop, ',' ORDER BY stop - size, k)"
+    counts = ", ".join(f"count(*) FILTER (kind = {_quoted(r.kind)}) AS n_{r.kind}" for r in BASE)
+    return f"""WITH matches AS ({" UNION ALL ".join(kinds)}),
+spans AS (SELECT * FROM (SELECT *, sum(gap + size) OVER (PARTITION BY doc_id, kind ORDER BY pos) AS stop FROM matches) WHERE counts),
+per AS (SELECT doc_id, {counts}, {written} FILTER (kind IN ({base})) AS base_spans, {written} AS spans, count(*) AS n_spans FROM spans GROUP BY doc_id)
+SELECT d.doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in BASE)},
+  sha256(coalesce(base_spans, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_spans, 0) AS n_spans
+FROM documents d LEFT JOIN per USING (doc_id)"""
+
+
+def _licenses() -> str:
+    phrases = " UNION ALL ".join(
+        f"SELECT doc_id, pos - 1 AS pos, {_quoted(label)} AS label FROM places WHERE list_aggregate(list_slice(w, pos, pos + {len(p.split()) - 1}), 'string_agg', ' ') = {_quoted(p)}"
+        for p, label in PHRASES.items()
+    )
+    templates = ", ".join(f"({_quoted(label)}, {sorted(set(t.split()))!r}::VARCHAR[])" for t, label in TEMPLATES.items())
+    return rf"""WITH words AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+places AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS pos FROM words),
+base AS ({phrases}),
+based AS (SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word FROM base GROUP BY doc_id),
+templates(label, t) AS (VALUES {templates}),
+blocks AS (SELECT doc_id, block, list_distinct(regexp_extract_all(line, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS b
+  FROM (SELECT doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS block FROM (SELECT doc_id, string_split({_LOWERED}, chr(10)) AS l FROM documents))),
+found AS (SELECT doc_id, block, label, len(list_intersect(b, t)) / len(t) AS score FROM blocks, templates WHERE 100 * len(list_intersect(b, t)) >= 80 * len(t)),
+labels AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels,
+  string_agg(DISTINCT label, ',' ORDER BY label) FILTER (of_base) AS base_labels
+  FROM (SELECT doc_id, label, TRUE AS of_base FROM base UNION ALL SELECT doc_id, label, FALSE FROM found) GROUP BY doc_id),
+best AS (SELECT doc_id, max(score) AS best, count(DISTINCT block) AS n_blocks FROM found GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+  coalesce(labels, '') AS labels, CAST(CASE WHEN n_base > 0 THEN 1 ELSE coalesce(best, 0) END AS DOUBLE) AS score, coalesce(n_blocks, 0) AS n_blocks
+FROM words LEFT JOIN based USING (doc_id) LEFT JOIN labels USING (doc_id) LEFT JOIN best USING (doc_id)"""
+
+
+_VECTORS = f"""WITH RECURSIVE raw AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (SELECT vec_id, e FROM raw WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(e, e) > 0),
+links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM ok x JOIN ok y ON x.vec_id <> y.vec_id AND list_cosine_similarity(x.e, y.e) >= 0.9),
+{_COMPONENTS}
+SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, vec_id) AS component_id, vec_id = coalesce(component_id, vec_id) AS kept
+FROM raw LEFT JOIN roots ON roots.a = vec_id LEFT JOIN degrees ON degrees.a = vec_id"""
+
+_ARCHIVE = """WITH hashed AS (SELECT page_id, coalesce(html, '') AS html, upper(sha1(coalesce(html, ''))) AS h FROM pages),
+digests AS (SELECT page_id, html, list_aggregate(list_transform(range(0, 8), lambda i: list_aggregate(list_transform([15, 10, 5, 0],
+  lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((CAST('0x' || substr(h, i * 5 + 1, 5) AS BIGINT) >> s) & 31 AS BIGINT) + 1, 1)), 'string_agg', '')), 'string_agg', '') AS d FROM hashed),
+first AS (SELECT html, min(page_id) AS first_id FROM digests GROUP BY html)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, d AS payload_digest, CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM digests JOIN first USING (html)"""
+
+_BENCHMARK = rf"""WITH words AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+item_words AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+windows AS (SELECT DISTINCT item, size, list_slice(w, pos, pos + size - 1) AS win
+  FROM (SELECT item, w, least(13, len(w)) AS size, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS pos FROM item_words WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT size FROM windows),
+places AS (SELECT doc_id, size, pos, list_slice(w, pos, pos + size - 1) AS win
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS pos FROM words, sizes WHERE len(w) >= size)),
+hits AS (SELECT doc_id, pos, p.size AS size, item FROM places p JOIN windows v ON p.size = v.size AND p.win = v.win),
+hit_words AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(pos, pos + size)) AS place FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hits GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM words LEFT JOIN hit_words USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+_JACCARD = rf"""WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all({_LOWERED}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+grams AS (SELECT DISTINCT doc_id, list_slice(w, pos, pos + 2) AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS pos FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM grams x JOIN grams y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id),
+links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * common >= 90 * (x.n + y.n - common)),
+{_COMPONENTS}
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, doc_id) AS component_id, coalesce(n_links, 0) AS n_links
+FROM words LEFT JOIN sizes USING (doc_id) LEFT JOIN roots ON roots.a = doc_id LEFT JOIN degrees ON degrees.a = doc_id"""
+
+ORACLES: dict[str, str] = {
+    "op1_secret_ledger": _secrets(),
+    "op3_metric_range_join": _VECTORS,
+    "op4_license_join": _licenses(),
+    "op5_arc_to_warc": _ARCHIVE,
+    "op9_decontamination": _BENCHMARK,
+    "op10_ngram_jaccard": _JACCARD,
+}

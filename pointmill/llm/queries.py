@@ -11,7 +11,7 @@ from pointmill.workspace import scratch_path
 
 
 def op1_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_ledger.secret_scan(table(spark, sf_dir, "documents"), scratch_path(spark, "ledger"))
+    return secret_ledger.secret_scan(table(spark, sf_dir, "documents"), scratch_path(spark, "ledger")).drop("blob")
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,7 +27,7 @@ def op4_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return arc.round_trip(table(spark, sf_dir, "pages"))
+    return arc.round_trip(table(spark, sf_dir, "pages")).drop("url", "date")
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,11 +43,12 @@ def op8_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
 
 
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.jaccard_join(table(spark, sf_dir, "documents"), settings=ngram_join.Settings(n=3, percent=90))
+    joined = ngram_join.jaccard_join(table(spark, sf_dir, "documents"), settings=ngram_join.Settings(n=3, percent=90))
+    return joined.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -1,0 +1,129 @@
+"""Queries against their SQL, or against brute force where there is none."""
+
+import os
+import zlib
+from collections import defaultdict
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pyarrow.parquet as pq
+import pytest
+from tokenizers import Tokenizer, models, pre_tokenizers
+
+import corpus_pipeline
+from pointmill.llm.oracles import ORACLES
+from pointmill.llm.queries import QUERIES
+from pointmill.llm.token_counts import pieces_of
+from tests.helpers import canonical
+
+TABLES = ["documents", "embeddings", "pages", "benchmark", "labels"]
+
+
+@pytest.fixture(scope="module")
+def duck(sf_dir):
+    connection = duckdb.connect()
+    for table in TABLES:
+        path = f"{sf_dir}/{table}.parquet"
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{path + '/*.parquet' if os.path.isdir(path) else path}'")
+    return connection
+
+
+@pytest.fixture(scope="module")
+def texts(sf_dir):
+    return {r["doc_id"]: r["text"] or "" for r in pq.read_table(f"{sf_dir}/documents.parquet").to_pylist()}
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_sql(spark, duck, sf_dir, name):
+    result = QUERIES[name](spark, sf_dir)
+    answer = duck.execute(ORACLES[name])
+    names = [c[0] for c in answer.description]
+    assert canonical(result.columns, result.collect()) == canonical(names, answer.fetchall())
+
+
+def test_every_operator_has_a_query():
+    numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
+    assert numbers == list(range(1, 11))
+
+
+def encoded(texts, vocabulary, end):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
+    tokenizer.encode_special_tokens = True
+    found = tokenizer.encode_batch(list(texts.values()), add_special_tokens=False)
+    return {k: np.array([*e.ids, end], "<u4") for k, e in zip(texts, found, strict=True)}
+
+
+def test_packing(spark, sf_dir, texts):
+    want = encoded(texts, "word_bpe_49k.json", 1)
+    pieces, sequences = defaultdict(list), defaultdict(list)
+    for r in QUERIES["op2_packing"](spark, sf_dir).collect():
+        pieces[r.doc_id].append(r)
+        sequences[r.sequence_id].append(r)
+        ids = want[r.doc_id]
+        assert r.doc_tokens == len(ids) and r.length > 0
+        assert r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes())
+    assert pieces.keys() == want.keys()
+    for name, each in pieces.items():
+        at = 0
+        for r in sorted(each, key=lambda r: r.start):
+            assert r.start == at
+            at += r.length
+        assert at == len(want[name])
+    padding = 0
+    for each in sequences.values():
+        at = 0
+        for r in sorted(each, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= 2048
+        padding += 2048 - at if at & (at - 1) else 0
+    assert padding <= 0.01 * sum(map(len, want.values()))
+
+
+def test_bit_packing(spark, sf_dir, texts):
+    want, at = encoded(texts, "byte_bpe_50k.json", 2), 0
+    found = {r.doc_id: r for r in QUERIES["op7_bit_packing"](spark, sf_dir).collect()}
+    assert found.keys() == want.keys()
+    for name in sorted(want):
+        r, ids = found[name], want[name]
+        assert (r.start, r.n_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(ids.tobytes()))
+        at += len(ids)
+
+
+def test_token_counts(spark, sf_dir, texts):
+    starts, continues = pieces_of(public_tokenizers.path("piece_bpe_32k.model"))
+    vocabulary = {p: k for k, p in enumerate(["[UNK]", *sorted(starts), *("##" + p for p in sorted(continues))])}
+    tokenizer = Tokenizer(models.WordPiece(vocabulary, unk_token="[UNK]", max_input_chars_per_word=10**6))
+    tokenizer.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    want = {k: len(e.ids) for k, e in zip(texts, tokenizer.encode_batch(list(texts.values()), add_special_tokens=False), strict=True)}
+    assert {r.doc_id: r.n_tokens for r in QUERIES["op6_token_counts"](spark, sf_dir).collect()} == want
+
+
+def test_quality_on_held_out_rows(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    labels = {r["doc_id"]: r["quality"] for r in pq.read_table(f"{sf_dir}/labels.parquet").to_pylist()}
+    rows = QUERIES["op8_quality_scores"](spark, sf_dir).collect()
+    assert len(rows) == pq.read_table(f"{sf_dir}/documents.parquet").num_rows
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
+    held = [(labels[r.doc_id], r.predicted) for r in rows if r.held_out and r.doc_id in labels]
+    good, bad = [p for q, p in held if q == 1], [p for q, p in held if q == 0]
+    assert np.mean(good) > 0.95 and np.mean(bad) < 0.15
+
+
+def test_pipeline(spark, sf_dir, texts):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    columns, left = docs.columns, set(texts)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        from pointmill.llm.common import saved
+
+        docs = saved(stage(spark, docs, sf_dir), "stage")
+        assert docs.columns == columns
+        now = [r.doc_id for r in docs.select("doc_id").collect()]
+        assert len(now) == len(set(now)) and set(now) <= left
+        if name == "secret scans":
+            assert set(now) == left
+        left = set(now)
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).collect()
+    assert {r.doc_id for r in packed} == left
