@@ -8,25 +8,21 @@ from pyspark.sql import functions as F
 from pointmill.functions.columns import bucket
 from pointmill.schema import VOXEL
 
-# A class is an output of the network, so there cannot be many.
-_MAX_CLASSES = 1024
-
-
 SCALED = "_scaled"
 
 
-def scale(df: DataFrame, columns: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
+def scale(df: DataFrame, columns: Sequence[str], fit_on: Column | None = None) -> DataFrame:
     """Add <column>_scaled, shifted and scaled to mean 0 and population deviation 1.
 
-    The moments come from fit_on, df itself when it is not given. They are one
-    row of a single aggregate, used as a scalar subquery. A column without
-    variance becomes 0; NULL stays NULL.
+    The moments come from the rows where fit_on is true, all rows when it is not given. They are
+    one row of a single aggregate over df itself, used as a scalar subquery, so df's own shuffle
+    serves both. A column without variance becomes 0; NULL stays NULL.
     """
-    fitted = df if fit_on is None else fit_on
-    moments = fitted.agg(
+    fitted = lambda c: F.col(c) if fit_on is None else F.when(fit_on, F.col(c))
+    moments = df.agg(
         F.struct(
-            *[F.avg(c).alias(f"{c}_mean") for c in columns],
-            *[F.stddev_pop(c).alias(f"{c}_std") for c in columns],
+            *[F.avg(fitted(c)).alias(f"{c}_mean") for c in columns],
+            *[F.stddev_pop(fitted(c)).alias(f"{c}_std") for c in columns],
         )
     ).scalar()
 
@@ -38,16 +34,23 @@ def scale(df: DataFrame, columns: Sequence[str], fit_on: DataFrame | None = None
 
 
 def label_classes(df: DataFrame, label: str = "label") -> list[int]:
-    """The distinct labels in ascending order. Fails past _MAX_CLASSES; never cut short."""
-    rows = df.where(F.col(label).isNotNull()).select(label).distinct().limit(_MAX_CLASSES + 1).collect()
-    if len(rows) > _MAX_CLASSES:
-        raise ValueError(f"{label} has more than {_MAX_CLASSES} values; not a class label")
-    return sorted(row[0] for row in rows)
+    """The distinct labels in ascending order, for what needs one column or output for each."""
+    return sorted(row[0] for row in df.where(F.col(label).isNotNull()).select(label).distinct().collect())
 
 
-def encode_labels(df: DataFrame, classes: Sequence[int], label: str = "label", out: str = "label_index") -> DataFrame:
-    """Add the position of the label among the classes; NULL for a label that is none of them."""
-    place = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col(label))
+def encode_labels(
+    df: DataFrame, labels: DataFrame | Sequence[int], label: str = "label", out: str = "label_index", of: str | None = None
+) -> DataFrame:
+    """Add the position of the label among the distinct ones of labels, in ascending order; NULL if it is none of them.
+
+    labels: a table, whose distinct labels become a scalar subquery, or the sorted labels themselves.
+    of: their column in the table, if not label.
+    """
+    if isinstance(labels, DataFrame):
+        known = labels.agg(F.array_sort(F.collect_set(of or label)).alias("labels")).scalar()
+    else:
+        known = F.array(*[F.lit(c) for c in labels])
+    place = F.array_position(known, F.col(label))
     return df.withColumn(out, F.when(place > 0, (place - 1).cast("int")))
 
 

@@ -12,6 +12,7 @@ save: append_saved adds a partition to what is there.
 """
 
 from collections.abc import Mapping
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -49,7 +50,10 @@ def update_where(table: DataFrame, condition: Column, sets: Mapping[str, Column]
     """Close the current rows that match and add their changed copies.
 
     Each matching row is turned into two by a generator, so the table is read once.
+    sets names columns of the table other than the interval.
     """
+    if unknown := set(sets) - (set(table.columns) - set(INTERVAL)):
+        raise ValueError(f"not columns that an update can set: {', '.join(sorted(unknown))}")
     types = {f.name: f.dataType for f in table.schema.fields}
     closed = {"valid_to": F.lit(version)}
     changed = {"valid_from": F.lit(version), **sets}
@@ -68,7 +72,10 @@ def in_version(version: int | Column) -> Column:
     return (F.col("valid_from") <= version) & (F.col("valid_to").isNull() | (F.col("valid_to") > version))
 
 
-def as_of_version(table: DataFrame, version: int) -> DataFrame:
+def as_of_version(table: DataFrame, version: int, commits: DataFrame | None = None) -> DataFrame:
+    """The rows of a version. With commits, one row per version, an unknown version is an error."""
+    if commits is not None and commits.where(F.col("version") == version).isEmpty():
+        raise ValueError(f"no version {version}")
     return table.where(in_version(version)).drop(*INTERVAL)
 
 
@@ -96,6 +103,7 @@ def snapshots(table: DataFrame, commits: DataFrame) -> DataFrame:
 
     commits: version, operation, committed_at. The table is counted in one
     pass with a map-side combine; the running total sees one row per version.
+    A version that the table holds but commits does not has no operation and time.
     """
     ends = F.array(
         F.struct(F.col("valid_from").alias("version"), F.lit(1).alias("added"), F.lit(0).alias("deleted")),
@@ -112,7 +120,7 @@ def snapshots(table: DataFrame, commits: DataFrame) -> DataFrame:
     )
     by_version = Window.orderBy("version")
     number = lambda c: F.coalesce(F.col(c), F.lit(0).cast("long"))
-    known = commits.join(counts, "version", "left").withColumns({c: number(c) for c in ("added", "deleted")})
+    known = commits.join(counts, "version", "full").withColumns({c: number(c) for c in ("added", "deleted")})
     total = F.sum(F.col("added") - F.col("deleted")).over(by_version)
     text = lambda c: c.cast("string")
     return known.select(
@@ -128,6 +136,18 @@ def snapshots(table: DataFrame, commits: DataFrame) -> DataFrame:
     )
 
 
+_COMMIT = "version int, operation string, committed_at timestamp_ntz"
+
+
+def record_commit(spark: SparkSession, path: str, version: int, operation: str, committed_at: datetime) -> None:
+    """Add a version to the commits kept as Parquet under path. Versions have one writer."""
+    spark.createDataFrame([(version, operation, committed_at)], _COMMIT).coalesce(1).write.mode("append").parquet(path)
+
+
+def read_commits(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(_COMMIT).parquet(path)
+
+
 def history(commits: DataFrame) -> DataFrame:
     """Which version became current when, oldest first."""
     return commits.select(
@@ -170,8 +190,15 @@ def save_versions(table: DataFrame, path: str) -> None:
 
 
 def append_saved(rows: DataFrame, path: str, version: int) -> None:
-    """Append to a saved table: writes the new rows only, into their own partition."""
-    _opened(rows, version).write.mode("append").partitionBy(*INTERVAL).parquet(path)
+    """Append to a saved table: writes the new rows only, into their own partition.
+
+    Columns are matched by name and cast to the saved types; the saved columns must all be there and no others.
+    """
+    saved = [f for f in load_versions(rows.sparkSession, path).schema if f.name not in INTERVAL]
+    if {f.name for f in saved} != set(rows.columns) or len(rows.columns) != len(saved):
+        raise ValueError(f"the columns are not those of the saved table: {', '.join(rows.columns)}")
+    typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in saved])
+    _opened(typed, version).write.mode("append").partitionBy(*INTERVAL).parquet(path)
 
 
 def load_versions(spark: SparkSession, path: str) -> DataFrame:

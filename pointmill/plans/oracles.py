@@ -1,6 +1,6 @@
 """The registered queries as SQL over the given tables."""
 
-from pointmill.plans.queries import COMMITS, NEW_VOXEL, RATE_WINDOW_SECONDS
+from pointmill.plans.queries import COMMITS, LINE_ORDER, NEW_VOXEL, RATE_WINDOW_SECONDS
 from pointmill.plans.views import point_columns, raw_columns
 from pointmill.schema import VOXEL_ML_FEATURES
 
@@ -198,9 +198,11 @@ def oracles() -> dict[str, str]:
         ),
         "compact": voxel_table,
         "partitioned_table": f"{voxel_table} WHERE majority_label IN (2, 3)",
+        "partitioned_table_whole": voxel_table,
         "append_table": voxel_table,
         "ply_scan": normalized,
-        "ply_limit": f"WITH {POINTS} SELECT least(count(*), 5000) AS row_count FROM points",
+        "ply_scan_ascii": normalized,
+        "ply_limit": normalized.replace("FROM lineitem", f"FROM (SELECT * FROM lineitem ORDER BY {', '.join(LINE_ORDER)} LIMIT 5000)", 1),
         "stream_clean": clean,
         "class_names": f"""WITH {POINTS} SELECT label, n_name AS class_name, count(*) AS row_count
             FROM points LEFT JOIN nation ON label = n_nationkey GROUP BY label, n_name""",
@@ -226,6 +228,8 @@ def oracles() -> dict[str, str]:
         "version_as_of": version(2),
         "version_as_of_ts": version(3),
         "version_as_of_saved": version(1),
+        "version_append_saved": version(5),
+        "version_history": f"WITH {LOG} SELECT committed_at AS made_current_at, version, parent, added FROM log",
         "version_replace": f"""WITH {VERSIONS}, cleaned AS (SELECT * FROM points WHERE label <> 0),
             {_features("cleaned", "replacement")}
             SELECT *, 1 AS valid_from, CASE WHEN mean_intensity < 5 THEN 3 WHEN mean_z > 2 THEN 4 ELSE 6 END AS valid_to

@@ -1,6 +1,7 @@
 """The registered queries: each operator over the given tables."""
 
 from collections.abc import Callable
+from datetime import datetime
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,9 +28,13 @@ COMMITS = [
     (5, "append", "2024-01-01 04:00:00"),
 ]
 
+# Rows that these do not tell apart are the same point.
+LINE_ORDER = [f"l_{c}" for c in "orderkey linenumber partkey suppkey quantity extendedprice discount tax".split()]
+
+# A row of decimals for a table of doubles.
 NEW_VOXEL = (
-    "'new_voxel_1' AS voxel_id, 100.0 AS mean_x, 200.0 AS mean_y, 150.0 AS mean_z, 25.0 AS mean_intensity, "
-    "50.0 AS mean_brightness, 0.3 AS mean_blue_norm, 0.4 AS mean_green_norm, 0.3 AS mean_red_norm"
+    "'added' AS voxel_id, -7.5 AS mean_x, 12.25 AS mean_y, 3.0 AS mean_z, 18.75 AS mean_intensity, "
+    "61.5 AS mean_brightness, 0.25 AS mean_blue_norm, 0.5 AS mean_green_norm, 0.125 AS mean_red_norm"
 )
 
 
@@ -168,10 +173,16 @@ def partitioned_table(spark, sf_dir):
     return spark.table(name).where("majority_label IN (2, 3)")
 
 
+def partitioned_table_whole(spark, sf_dir):
+    name = f"voxels_{uuid4().hex}"
+    files.save_voxels(views.clean_voxels(spark, sf_dir), name, scratch_path(spark, "voxels"))
+    return spark.table(name)
+
+
 def append_table(spark, sf_dir):
     name = f"voxels_{uuid4().hex}"
     rows = views.clean_voxels(spark, sf_dir)
-    files.save_voxels(rows.where("voxel_z < 0"), name, scratch_path(spark, "voxels"), partition=None)
+    files.save_voxels(rows.where("voxel_z < 0"), name, scratch_path(spark, "voxels"))
     files.append_rows(rows.where("voxel_z >= 0"), name)
     return spark.table(name)
 
@@ -182,10 +193,18 @@ def ply_scan(spark, sf_dir):
     return pts.normalize_points(read_ply(spark, path))
 
 
+def ply_scan_ascii(spark, sf_dir):
+    path = scratch_path(spark, "ply")
+    views.write_ply_files(views.raw_points(spark, sf_dir), path, ascii=True)
+    return pts.normalize_points(read_ply(spark, path))
+
+
 def ply_limit(spark, sf_dir):
+    """The first points of a scan whose files hold the points in the order of their keys."""
     path = scratch_path(spark, "ply")
-    views.write_ply_files(views.raw_points(spark, sf_dir), path)
-    return stats.row_count(read_ply(spark, path, limit=5000, schema="x double"))
+    ordered = views.table(spark, sf_dir, "lineitem").repartitionByRange(*LINE_ORDER).sortWithinPartitions(*LINE_ORDER)
+    views.write_ply_files(views.as_raw_points(ordered), path)
+    return pts.normalize_points(read_ply(spark, path, limit=5000))
 
 
 def stream_clean(spark, sf_dir):
@@ -226,8 +245,11 @@ def class_report(spark, sf_dir):
 # Versions
 
 def commits(spark: SparkSession) -> DataFrame:
-    rows = spark.createDataFrame(COMMITS, "version int, operation string, committed_at string")
-    return rows.withColumn("committed_at", F.col("committed_at").cast("timestamp_ntz"))
+    """The commits, written one by one as their changes would be, and read back."""
+    path = scratch_path(spark, "commits")
+    for version, operation, at in COMMITS:
+        versions.record_commit(spark, path, version, operation, datetime.fromisoformat(at))
+    return versions.read_commits(spark, path)
 
 
 def versioned(spark: SparkSession, sf_dir: str, upto: int = 5) -> DataFrame:
@@ -265,7 +287,7 @@ def version_update(spark, sf_dir):
 
 
 def version_as_of(spark, sf_dir):
-    return versions.as_of_version(versioned(spark, sf_dir), 2)
+    return versions.as_of_version(versioned(spark, sf_dir), 2, commits(spark))
 
 
 def version_as_of_ts(spark, sf_dir):
@@ -278,6 +300,20 @@ def version_as_of_saved(spark, sf_dir):
     return versions.as_of_version(versions.load_versions(spark, path), 1)
 
 
+def version_append_saved(spark, sf_dir):
+    """A saved table after a row of other number types was appended to it."""
+    path = scratch_path(spark, "versions")
+    versions.save_versions(versioned(spark, sf_dir, 4), path)
+    versions.append_saved(spark.sql(f"SELECT {NEW_VOXEL}"), path, 5)
+    return versions.current(versions.load_versions(spark, path))
+
+
+def version_history(spark, sf_dir):
+    """Which versions of the table became current when, with the rows each added."""
+    added = versioned(spark, sf_dir).groupBy(F.col("valid_from").alias("version")).agg(F.count("*").alias("added"))
+    return versions.history(commits(spark)).join(added, "version", "left").fillna(0, "added")
+
+
 def version_replace(spark, sf_dir):
     """The whole interval table after a replacement by the features of clean points."""
     rows = voxels.voxel_features(pts.clean(views.points(spark, sf_dir)))
@@ -335,22 +371,21 @@ def scale_features(spark, sf_dir):
 
 
 def scale_features_train(spark, sf_dir):
-    rows = views.clean_voxels(spark, sf_dir)
-    train, _ = feat.split(rows)
-    return _scaled(feat.scale(rows, VOXEL_ML_FEATURES, fit_on=train))
-
-
-def _encoded(spark, sf_dir):
-    classes = feat.label_classes(pts.clean(views.points(spark, sf_dir)))
-    return feat.encode_labels(views.clean_voxels(spark, sf_dir), classes, "majority_label"), classes
+    rows = feat.with_split(views.clean_voxels(spark, sf_dir))
+    return _scaled(feat.scale(rows, VOXEL_ML_FEATURES, fit_on=~F.col("is_test")))
 
 
 def encode_labels(spark, sf_dir):
-    return _encoded(spark, sf_dir)[0].select(*VOXEL, "majority_label", "label_index")
+    labels = pts.clean(views.points(spark, sf_dir))
+    coded = feat.encode_labels(views.clean_voxels(spark, sf_dir), labels, "majority_label", of="label")
+    return coded.select(*VOXEL, "majority_label", "label_index")
 
 
 def one_hot(spark, sf_dir):
-    coded, classes = _encoded(spark, sf_dir)
+    """A column for each majority label; the list of columns has to be known, so it is fetched from the voxels."""
+    rows = views.clean_voxels(spark, sf_dir)
+    classes = feat.label_classes(rows, "majority_label")
+    coded = feat.encode_labels(rows, classes, "majority_label")
     return feat.one_hot(coded, classes).select(*VOXEL, *[f"class_{i}" for i in range(len(classes))])
 
 
@@ -367,8 +402,8 @@ def _trained(spark, sf_dir):
     path = scratch_path(spark, "training")
     feat.with_split(views.clean_voxels(spark, sf_dir)).write.parquet(path)
     rows = spark.read.parquet(path)
-    scaled = feat.scale(rows, VOXEL_ML_FEATURES, fit_on=rows.where("NOT is_test"))
-    model = classifier.train_classifier(scaled.where("NOT is_test"), max_iter=20)
+    scaled = feat.scale(rows, VOXEL_ML_FEATURES, fit_on=~F.col("is_test"))
+    model = classifier.train_classifier(scaled.where("NOT is_test"))
     return model, classifier.classify(model, scaled.where("is_test"))
 
 
@@ -389,10 +424,10 @@ QUERIES: dict[str, Query] = {
         profile_points, row_count, distinct_voxels, intensity_stats, height_stats, high_intensity,
         height_band, height_band_count, top_voxels, label_distribution,
         json_roundtrip, parquet_roundtrip, sql_on_files, glob_scan, file_inventory, compact,
-        partitioned_table, append_table, ply_scan, ply_limit, stream_clean,
+        partitioned_table, partitioned_table_whole, append_table, ply_scan, ply_scan_ascii, ply_limit, stream_clean,
         class_names, label_overlay, accuracy, confusion, class_report,
         version_current, version_append, version_delete, version_update, version_as_of,
-        version_as_of_ts, version_as_of_saved, version_replace, version_log, version_bounds,
+        version_as_of_ts, version_as_of_saved, version_append_saved, version_history, version_replace, version_log, version_bounds,
         version_count, version_compare,
         counter_rate, cpu_usage, latest_gauge,
         scale_features, scale_features_train, encode_labels, one_hot, split_voxels,

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pointmill.operators.points import clean
 from pointmill.operators.series import running_total, slice_seconds
 from pointmill.operators.voxels import voxel_features, voxelize
+from pointmill.workspace import file_system
 
 def point_columns(hundredths: str) -> dict[str, str]:
     """SQL of each point column; hundredths is a template that turns {} into a whole number of hundredths."""
@@ -60,8 +61,12 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").selectExpr(*[f"{e} AS {c}" for c, e in point_columns(HUNDREDTHS).items()])
 
 
+def as_raw_points(lineitem: DataFrame) -> DataFrame:
+    return lineitem.selectExpr(*[f"{e} AS {c}" for c, e in raw_columns(HUNDREDTHS).items()])
+
+
 def raw_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").selectExpr(*[f"{e} AS {c}" for c, e in raw_columns(HUNDREDTHS).items()])
+    return as_raw_points(table(spark, sf_dir, "lineitem"))
 
 
 def clean_voxels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,31 +111,31 @@ _PLY_NAMES = {"f8": "double", "f4": "float", "u1": "uchar"}
 _ROWS_PER_FILE = 1_000_000
 
 
-def write_ply_files(raw: DataFrame, path: str) -> None:
-    """Write raw points as binary PLY files for the scan to read.
+def write_ply_files(raw: DataFrame, path: str, ascii: bool = False) -> None:
+    """Write raw points as PLY files, binary or ascii, for the scan to read. path has a scheme.
 
     A task holds no more rows than go into one file, as the header wants their count.
     """
     dtype, names, rows_per_file = _FILE_DTYPE, _PLY_NAMES, _ROWS_PER_FILE
-    uri = path if "://" in path else "file:///" + path.removeprefix("file:").lstrip("/")
+    form = "ascii" if ascii else "binary_little_endian"
     properties = "".join(f"property {names[dtype[c].str[1:]]} {c}\n" for c in dtype.names)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs as pafs
         from pyspark import TaskContext
 
-        files, root = pafs.FileSystem.from_uri(uri)
+        files, root = file_system(path)
         files.create_dir(root, recursive=True)
         part = TaskContext.get().partitionId()
         held, count, number = [], 0, 0
 
         def flush() -> pa.RecordBatch:
-            header = f"ply\nformat binary_little_endian 1.0\nelement vertex {count}\n{properties}end_header\n"
+            header = f"ply\nformat {form} 1.0\nelement vertex {count}\n{properties}end_header\n"
             # A retried task writes the same name again.
             with files.open_output_stream(f"{root}/part-{part:05d}-{number:05d}.ply") as out:
                 out.write(header.encode())
                 for rows in held:
-                    out.write(rows.tobytes())
+                    text = ascii and "".join(" ".join(map(repr, row)) + "\n" for row in rows.tolist())
+                    out.write(text.encode() if ascii else rows.tobytes())
             return pa.RecordBatch.from_pydict({"written": [count]})
 
         for batch in batches:

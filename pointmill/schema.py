@@ -2,6 +2,7 @@
 
 from pyspark.sql import types as T
 
+# Columns and types of points, of voxel keys and of the classifier's inputs.
 POINT = T.StructType(
     [
         T.StructField("x", T.DoubleType()),

@@ -70,7 +70,17 @@ def save_voxels(df: DataFrame, table: str, path: str | None = None, partition: s
 
 
 def append_rows(df: DataFrame, table: str) -> None:
-    df.write.mode("append").saveAsTable(table)
+    """Append to a table of save_voxels; columns are matched by name.
+
+    As when the table is made, each partition gets its own tasks, so a task does not write a file for every label.
+    """
+    spark = df.sparkSession
+    columns = spark.table(table).columns
+    if set(columns) != set(df.columns) or len(columns) != len(df.columns):
+        raise ValueError(f"the columns are not those of {table}: {', '.join(df.columns)}")
+    partition = [F.col(c.name) for c in spark.catalog.listColumns(table) if c.isPartition]
+    rows = df.select(*columns)
+    (rows.hint("rebalance", *partition) if partition else rows).write.insertInto(table)
 
 
 def write_kafka(df: DataFrame, servers: str, topic: str) -> None:

@@ -5,11 +5,13 @@ the vertices that start in its byte range, so one large file is read by many
 tasks and many files cost the driver nothing but their names.
 
 Binary vertices have a fixed stride, so any byte range can be read on its own.
-Ascii lines can be split the same way if the vertices are all the file holds;
-if other elements follow, lines cannot be told apart from the middle of the
-file and one task streams it.
+For ascii files read_ply counts the lines of each byte range in tasks first. The
+sums tell each range the number of its first line, so every file is split, and one
+with fewer or more lines than its header says is an error. Without these counts
+(spark.read.format("ply") by itself) one task streams an ascii file.
 """
 
+import json
 import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -23,6 +25,9 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from pointmill import workspace
+from pointmill.workspace import file_system
+
 # PLY scalar type -> numpy type without byte order.
 SCALARS = {
     "char": "i1", "int8": "i1",
@@ -46,7 +51,6 @@ SPARK_TYPES = {
 BYTE_ORDERS = {"binary_little_endian": "<", "binary_big_endian": ">", "ascii": ""}
 
 _HEADER_STEP = 4096
-_HEADER_LIMIT = 1 << 20
 _BATCH_ROWS = 65536
 _READ_BYTES = 1 << 20
 # As for Spark's own file sources: the most a task reads, and what opening a file counts as.
@@ -61,7 +65,7 @@ class Header:
     count: int
     body: int  # offset of the first vertex (ascii: of the first body line)
     lines_before: int  # ascii: body lines of elements before the vertices
-    alone: bool  # no other element in the file
+    lines: int  # ascii: body lines of all elements
 
     @property
     def dtype(self) -> np.dtype:
@@ -74,6 +78,7 @@ class Split:
     start: int
     end: int
     take: int | None = None  # only the first `take` vertices of the file
+    first: int | None = None  # ascii: number of the first line that starts in the range; None if one task reads all
 
 
 @dataclass
@@ -117,25 +122,16 @@ def parse_header(data: bytes, path: str) -> Header:
             raise ValueError(f"{path}: element {name} before vertex has list properties")
         else:
             body += number * sum(np.dtype(kind).itemsize for _, kind in properties)
-    return Header(order, fields, count, body, lines_before, len(elements) == 1)
-
-
-def _open(path: str) -> tuple[pafs.FileSystem, str]:
-    """The file system of a path and the path within it."""
-    if path.startswith("file:"):
-        path = "/" + path[len("file:") :].lstrip("/")
-    if path.startswith("s3a:"):
-        path = "s3:" + path[len("s3a:") :]
-    return pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
+    return Header(order, fields, count, body, lines_before, sum(number for _, number, _ in elements))
 
 
 def list_files(path: str) -> list[tuple[str, int]]:
     """(path, size) of a file, or of the visible .ply files under a folder."""
-    fs, inner = _open(path)
+    fs, inner = file_system(path)
     info = fs.get_file_info(inner)
     if info.type == pafs.FileType.NotFound:
         raise FileNotFoundError(path)
-    root = path[: len(path) - len(inner)] if "://" in path else ""
+    root = path[: len(path) - len(inner)] if path.endswith(inner) else f"{path.partition(':')[0]}://"
     if info.type == pafs.FileType.File:
         found = [info]
     else:
@@ -148,11 +144,12 @@ def list_files(path: str) -> list[tuple[str, int]]:
 
 
 def read_header(path: str) -> Header:
-    fs, inner = _open(path)
+    fs, inner = file_system(path)
     with fs.open_input_file(inner) as file:
-        data = b""
-        while b"end_header" not in data[:-2] and len(data) < _HEADER_LIMIT:
-            more = file.read(_HEADER_STEP)
+        data = file.read(_HEADER_STEP)
+        # A file of another kind shows in its first bytes; a header may be of any length.
+        while data.startswith(b"ply") and b"end_header" not in data[:-2]:
+            more = file.read(len(data))
             if not more:
                 break
             data += more
@@ -193,33 +190,93 @@ def _lines(file: pa.NativeFile, start: int, end: int) -> Iterator[bytes]:
             at += len(line) + 1
 
 
-def _ascii_batches(file: pa.NativeFile, header: Header, split: Split) -> Iterator[np.ndarray]:
-    whole = split.take is not None or not header.alone
-    if whole and split.start > 0:
-        return
-    wanted = header.count if split.take is None else min(header.count, split.take)
-    if whole or split.start <= header.body:
-        lines = _lines(file, header.body, sys.maxsize if whole else split.end)
+def _range_lines(file: pa.NativeFile, header: Header, split: Split) -> Iterator[bytes]:
+    """The lines of the body, empty ones left out, whose first byte lies in the split."""
+    if split.first is None or split.start <= header.body:
+        lines = _lines(file, header.body, sys.maxsize if split.first is None else split.end)
     else:
         # One byte back: a line that starts exactly at the split is then skipped to, not over.
         lines = _lines(file, split.start - 1, split.end)
         next(lines, None)
-    batch, seen = [], 0
-    for number, line in enumerate(lines):
-        if whole and number < header.lines_before:
-            continue
-        if whole and seen == wanted:
+    return (line for line in lines if line.strip())
+
+
+def _check_lines(path: str, found: int, header: Header) -> None:
+    if found != header.lines:
+        raise ValueError(f"{path}: {'shorter' if found < header.lines else 'longer'} than its header says")
+
+
+def _ascii_batches(file: pa.NativeFile, header: Header, split: Split) -> Iterator[np.ndarray]:
+    if split.first is None and split.start > 0:
+        return
+    wanted = header.count if split.take is None else min(header.count, split.take)
+    low, high = header.lines_before, header.lines_before + wanted
+    number = (split.first or 0) - 1
+    batch = []
+
+    def parsed() -> np.ndarray:
+        rows = np.loadtxt(batch, dtype="f8", ndmin=2)
+        if rows.shape[1] != len(header.fields):
+            raise ValueError(f"{split.path}: {rows.shape[1]} values in a line for {len(header.fields)} properties")
+        return rows
+
+    for number, line in enumerate(_range_lines(file, header, split), number + 1):
+        if number >= high and split.first is not None:
             break
-        if line.strip():
-            batch.append(tuple(float(word) for word in line.split()))
-            seen += 1
+        if low <= number < high:
+            batch.append(line)
         if len(batch) == _BATCH_ROWS:
-            yield np.array(batch, dtype="f8")
+            yield parsed()
             batch = []
     if batch:
-        yield np.array(batch, dtype="f8")
-    if whole and seen < wanted:
-        raise ValueError(f"{split.path}: shorter than its header says")
+        yield parsed()
+    if split.first is None:
+        _check_lines(split.path, number + 1, header)
+
+
+def _ranges(files: list[tuple[str, int]], size: int) -> list[tuple[str, int, int]]:
+    return [(path, at, min(at + size, end)) for path, end in files for at in range(0, end, size)]
+
+
+def count_lines(spark: SparkSession, files: list[tuple[str, int]], size: int) -> dict[str, list[int]]:
+    """For each ascii file, the number of the first line of each range of size bytes; one row per range comes to the driver.
+
+    A file whose lines are not as many as its header says is an error.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for path, start, end in zip(*(batch.column(c).to_pylist() for c in ("path", "start", "stop")), strict=True):
+                header = read_header(path)
+                if header.order:
+                    continue
+                fs, inner = file_system(path)
+                with fs.open_input_file(inner) as file:
+                    rows.append((path, start, sum(1 for _ in _range_lines(file, header, Split(path, start, end, first=0))), header.lines))
+            names = ["path", "start", "lines", "wanted"]
+            yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows], schema=schema)
+
+    schema = pa.schema([("path", pa.string()), ("start", pa.int64()), ("lines", pa.int64()), ("wanted", pa.int64())])
+    ranges = _ranges(files, size)
+    if not ranges:
+        return {}
+    tasks = spark.createDataFrame(ranges, "path string, start long, stop long").repartition(min(len(ranges), 4 * spark.sparkContext.defaultParallelism))
+    found = sorted(tasks.mapInArrow(count, "path string, start long, lines long, wanted long").collect())
+    firsts: dict[str, list[int]] = {}
+    sums: dict[str, int] = {}
+    for r in found:
+        firsts.setdefault(r.path, []).append(sums.get(r.path, 0))
+        sums[r.path] = sums.get(r.path, 0) + r.lines
+    for path, wanted in {r.path: r.wanted for r in found}.items():
+        if sums[path] != wanted:
+            raise ValueError(f"{path}: {'shorter' if sums[path] < wanted else 'longer'} than its header says")
+    return firsts
+
+
+def split_size(sizes: list[int], most: int, parallelism: int) -> int:
+    share = sum(size + _OPEN_BYTES for size in sizes) // parallelism
+    return min(most, max(_OPEN_BYTES, share))
 
 
 class PlyReader(DataSourceReader):
@@ -229,11 +286,12 @@ class PlyReader(DataSourceReader):
         self.split_bytes = int(options.get("splitbytes", _SPLIT_BYTES))
         self.parallelism = int(options.get("parallelism", 1))
         self.schema = to_arrow_schema(schema)
+        self.known = json.loads(options["listed"]) if "listed" in options else None
 
     def _files(self) -> Iterator[tuple[str, int, int | None]]:
         """(path, bytes to read, vertices to take). With a limit, headers are read until it is reached."""
         left = self.limit
-        for path, size in list_files(self.path):
+        for path, size in list_files(self.path) if self.known is None else self.known["files"]:
             if left is None:
                 yield path, size, None
                 continue
@@ -246,12 +304,14 @@ class PlyReader(DataSourceReader):
 
     def partitions(self) -> list[Splits]:
         files = list(self._files())
-        share = sum(end + _OPEN_BYTES for _, end, _ in files) // self.parallelism
-        size = min(self.split_bytes, max(_OPEN_BYTES, share))
+        size = split_size([end for _, end, _ in files], self.split_bytes, self.parallelism)
         parts, room = [], 0
+        if self.known is not None:
+            size = self.known["size"]
         for path, end, take in files:
-            for at in range(0, end, size):
-                split = Split(path, at, min(at + size, end), take)
+            firsts = self.known["firsts"].get(path) if self.known is not None else None
+            for k, at in enumerate(range(0, end, size)):
+                split = Split(path, at, min(at + size, end), take, firsts[k] if firsts else None)
                 cost = split.end - split.start + _OPEN_BYTES
                 if cost > room or not parts:
                     parts.append(Splits([]))
@@ -270,7 +330,7 @@ class PlyReader(DataSourceReader):
         missing = [f.name for f in self.schema if f.name not in names]
         if missing:
             raise ValueError(f"{split.path}: no vertex property {', '.join(missing)}")
-        fs, inner = _open(split.path)
+        fs, inner = file_system(split.path)
         with fs.open_input_file(inner) as file:
             if header.order:
                 batches = _binary_batches(file, header, split, file.size())
@@ -295,7 +355,8 @@ class PlyDataSource(DataSource):
         return "ply"
 
     def schema(self) -> T.StructType:
-        files = list_files(self.options["path"])
+        known = json.loads(self.options["listed"])["files"] if "listed" in self.options else None
+        files = list_files(self.options["path"]) if known is None else known
         if not files:
             raise ValueError(f"no .ply files under {self.options['path']}")
         fields = read_header(files[0][0]).fields
@@ -306,7 +367,11 @@ class PlyDataSource(DataSource):
 
 
 def read_ply(
-    spark: SparkSession, path: str, limit: int | None = None, schema: str | T.StructType | None = None
+    spark: SparkSession,
+    path: str,
+    limit: int | None = None,
+    schema: str | T.StructType | None = None,
+    split_bytes: int = _SPLIT_BYTES,
 ) -> DataFrame:
     """The vertices of a PLY file, or of all PLY files under a folder.
 
@@ -314,8 +379,14 @@ def read_ply(
     """
     # Shipped with the job, so workers need no copy of this package.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    cloudpickle.register_pickle_by_value(workspace)
     spark.dataSource.register(PlyDataSource)
-    reader = spark.read.format("ply").option("parallelism", spark.sparkContext.defaultParallelism)
+    path = workspace.qualified(spark, path)
+    found = list_files(path)
+    parallelism = spark.sparkContext.defaultParallelism
+    size = split_size([n for _, n in found], split_bytes, parallelism)
+    listed = {"files": found, "size": size, "firsts": count_lines(spark, found, size)}
+    reader = spark.read.format("ply").option("parallelism", parallelism).option("listed", json.dumps(listed))
     if schema is not None:
         reader = reader.schema(schema)
     if limit is not None:

@@ -1,3 +1,4 @@
+import pytest
 import os
 
 from pyspark.sql import functions as F
@@ -92,10 +93,23 @@ def test_append(spark):
     spark.sql("DROP TABLE voxels_b")
 
 
+def test_append_to_a_partitioned_table(spark):
+    df = spark.createDataFrame([(i, i % 3) for i in range(30)], "voxel_x int, majority_label int")
+    path = scratch_path(spark, "voxels")
+    files.save_voxels(df, "voxels_c", path)
+    files.append_rows(df.select("majority_label", "voxel_x").repartition(8), "voxels_c")
+    assert spark.table("voxels_c").groupBy("majority_label").count().where("count <> 20").isEmpty()
+    assert spark.table("voxels_c").where("majority_label <> voxel_x % 3").isEmpty()
+    assert files.file_inventory(spark.read.parquet(path)).count() <= 6
+    with pytest.raises(ValueError, match="columns are not those"):
+        files.append_rows(df.withColumnRenamed("voxel_x", "x"), "voxels_c")
+    spark.sql("DROP TABLE voxels_c")
+
+
 def test_scratch_paths_are_new_and_shared(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
-    assert a != b and a.startswith(root)
+    assert a != b and a.startswith(f"file:{root}")
 
 
 def test_keys_survive_parquet(spark):

@@ -38,7 +38,7 @@ def test_scaling(spark):
     df = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0), (None, 5.0)], "a double, b double")
     out = feat.scale(df, ["a", "b"])
     assert rows(out, "a_scaled", "b_scaled") == [(-1.0, 0.0), (1.0, 0.0), (None, 0.0)]
-    other = feat.scale(df, ["a"], fit_on=df.where("a = 1"))
+    other = feat.scale(df, ["a"], fit_on=F.col("a") == 1)
     assert rows(other, "a_scaled") == [(0.0,), (0.0,), (None,)]
 
 
@@ -58,9 +58,20 @@ def test_encoding_is_by_value(spark):
     assert rows(feat.encode_labels(points(spark, {"label": 5}), classes), "label_index") == [(None,)]
 
 
-def test_too_many_classes_is_an_error(spark):
-    with pytest.raises(ValueError, match="more than 1024"):
-        feat.label_classes(spark.range(1025).withColumnRenamed("id", "label"))
+def test_many_labels_are_encoded_by_a_table(spark):
+    df = spark.range(3000).select((F.col("id") * 2).cast("int").alias("label"))
+    coded = feat.encode_labels(df, df)
+    assert coded.where("label_index <> label / 2").isEmpty() and coded.where("label_index IS NULL").isEmpty()
+    other = df.withColumnRenamed("label", "kind")
+    assert rows(feat.encode_labels(points(spark, {"label": 4}, {"label": 5}), other, of="kind"), "label_index") == [(2,), (None,)]
+
+
+def test_fitted_scaling_reads_its_input_once(spark, sf_dir):
+    df = feat.with_split(views.clean_voxels(spark, sf_dir))
+    df = feat.scale(df, VOXEL_ML_FEATURES, fit_on=~F.col("is_test"))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in plan or plan.count("FileScan") == 1
 
 
 def test_split_is_stable_and_near_its_share(spark):
@@ -96,7 +107,8 @@ def separable(spark):
 
 def test_classifier_learns_saves_and_reloads(spark, separable, tmp_path):
     train, test = feat.split(separable)
-    scaled = lambda df: feat.scale(df, VOXEL_ML_FEATURES, fit_on=train)
+    marked = feat.scale(feat.with_split(separable), VOXEL_ML_FEATURES, fit_on=~F.col("is_test"))
+    scaled = lambda df: marked.where("is_test" if df is test else "NOT is_test")
     model = classifier.train_classifier(scaled(train), max_iter=60)
     assert classifier.model_classes(model) == [2, 4, 7]
     scored = classifier.classify(model, scaled(test))

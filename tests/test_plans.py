@@ -6,7 +6,7 @@ import pytest
 
 from pointmill.plans.queries import QUERIES
 
-WITH_PYTHON_SCAN = {"ply_scan", "ply_limit"}
+WITH_PYTHON_SCAN = {"ply_scan", "ply_scan_ascii", "ply_limit"}
 # Training and scoring by Spark ML; its vector functions are JVM UDFs.
 TRAINED = {"classify_voxels", "model_quality"}
 

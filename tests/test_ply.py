@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pointmill import workspace
 from pointmill.operators.points import normalize_points
 from pointmill.plans import views
 from pointmill.sources.ply import PlyReader, parse_header, read_ply
@@ -31,8 +32,7 @@ def write(path, fmt, n, before=b"", before_header="", after=b"", after_header=""
 
 
 def in_splits(spark, path, size):
-    read_ply(spark, str(path))  # registers the source
-    return spark.read.format("ply").option("splitBytes", size).load(str(path))
+    return read_ply(spark, str(path), split_bytes=size)
 
 
 FORMATS = ["binary_little_endian", "binary_big_endian", "ascii"]
@@ -63,7 +63,7 @@ def test_other_elements_around_the_vertices(spark, tmp_path, fmt):
 
 def test_tasks_split_large_and_group_small_files(tmp_path):
     schema = T.StructType([T.StructField("n", T.IntegerType())])
-    plan = lambda **o: PlyReader({"path": str(tmp_path), **o}, schema).partitions()
+    plan = lambda **o: PlyReader({"path": f"file://{tmp_path}", **o}, schema).partitions()
     for i in range(40):
         write(tmp_path / f"{i:02d}.ply", "binary_little_endian", 10)
     assert [len(p.splits) for p in plan(parallelism="4")] == [10, 10, 10, 10]
@@ -135,6 +135,58 @@ def test_short_file_is_an_error(spark, tmp_path):
         read_ply(spark, str(tmp_path)).collect()
 
 
+@pytest.mark.parametrize("split", [97, 1 << 20])
+@pytest.mark.parametrize("said", [3, 12])
+def test_ascii_file_with_other_lines_than_its_header_says(spark, tmp_path, split, said):
+    write(tmp_path / "a.ply", "ascii", 6)
+    data = (tmp_path / "a.ply").read_bytes()
+    (tmp_path / "a.ply").write_bytes(data.replace(b"element vertex 6", b"element vertex %d" % said))
+    with pytest.raises(ValueError, match="longer" if said < 6 else "shorter"):
+        in_splits(spark, tmp_path, split).collect()
+    with pytest.raises(Exception, match="longer" if said < 6 else "shorter"):
+        spark.read.format("ply").load(f"file://{tmp_path}").collect()
+
+
+def test_ascii_files_with_further_elements_and_limits_are_split(spark, tmp_path):
+    write(tmp_path / "a.ply", "ascii", 500, b"1\n\n2\n", "element camera 2\nproperty int a\n", b"3 0 1 2\n", "element face 1\nproperty list uchar int v\n")
+    df = in_splits(spark, tmp_path, 400)
+    assert sorted(map(tuple, df.collect()), key=lambda r: r[2]) == [vertex(i) for i in range(500)]
+    assert df.select(F.spark_partition_id()).distinct().count() > 5
+    some = read_ply(spark, str(tmp_path), limit=300, split_bytes=400)
+    assert sorted(map(tuple, some.collect()), key=lambda r: r[2]) == [vertex(i) for i in range(300)]
+    assert some.select(F.spark_partition_id()).distinct().count() > 3
+
+
+def test_header_of_any_length(spark, tmp_path):
+    write(tmp_path / "a.ply", "binary_little_endian", 5, b"", "comment " + "x" * (2 << 20) + "\n")
+    assert read_ply(spark, str(tmp_path)).count() == 5
+    (tmp_path / "a.ply").write_bytes(bytes(1 << 20))
+    with pytest.raises(Exception, match="no PLY header"):
+        read_ply(spark, str(tmp_path)).collect()
+
+
+def test_lines_with_too_few_values(spark, tmp_path):
+    (tmp_path / "a.ply").write_bytes(header("ascii", 2) + b"1 2 3 4\n1 2 3\n")
+    with pytest.raises(Exception, match="columns"):
+        read_ply(spark, str(tmp_path)).collect()
+
+
+def test_paths_get_the_default_file_system(spark, tmp_path):
+    assert workspace.qualified(spark, str(tmp_path)) == f"file:{tmp_path}"
+    conf = spark._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    conf.set("fs.defaultFS", "viewfs://one/")
+    conf.set("fs.viewfs.mounttable.one.link./x", f"file://{tmp_path}")
+    try:
+        assert workspace.qualified(spark, "/x/y") == "viewfs://one/x/y"
+    finally:
+        conf.set("fs.defaultFS", before)
+    files, inner = workspace.file_system(f"file:{tmp_path}/a")
+    assert files.type_name == "local" and inner == f"{tmp_path}/a"
+    with pytest.raises(ValueError):
+        workspace.file_system("/no/scheme")
+
+
 def test_written_points_come_back(spark, sf_dir):
     raw = views.raw_points(spark, sf_dir)
     path = scratch_path(spark, "ply")

@@ -1,3 +1,5 @@
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,6 +96,41 @@ def test_append_to_a_saved_table(spark, five):
     assert rows(ver.current(saved).where("id = 'y'")) == [("y", 3.0)]
 
 
+def test_append_to_a_saved_table_casts_and_checks(spark, five):
+    path = scratch_path(spark, "versions")
+    ver.save_versions(five, path)
+    ver.append_saved(spark.sql("SELECT 100.0 AS v, 'y' AS id"), path, 6)
+    assert rows(ver.current(ver.load_versions(spark, path)).where("id = 'y'"), "id", "v") == [("y", 100.0)]
+    for wrong in ("SELECT 'z' AS id", "SELECT 'z' AS id, 1.0 AS v, 2 AS w", "SELECT 'z' AS id, 1.0 AS value"):
+        with pytest.raises(ValueError, match="not those of the saved table"):
+            ver.append_saved(spark.sql(wrong), path, 7)
+
+
+def test_wrong_updates_and_versions_are_errors(spark, five):
+    for sets in ({"nope": F.lit(1)}, {"valid_from": F.lit(1)}):
+        with pytest.raises(ValueError, match="cannot|not columns"):
+            ver.update_where(five, F.lit(True), sets, 9)
+    path = scratch_path(spark, "commits")
+    for version in (1, 3):
+        ver.record_commit(spark, path, version, "create", datetime(2024, 1, version))
+    known = ver.read_commits(spark, path)
+    assert ver.as_of_version(five, 3, known).count() == ver.as_of_version(five, 3).count()
+    for version in (0, 2, 99):
+        with pytest.raises(ValueError, match="no version"):
+            ver.as_of_version(five, version, known)
+
+
+def test_log_keeps_versions_without_a_commit(spark):
+    t = ver.create_version(table(spark, ("a", 1.0), ("b", 1.0)))
+    t = ver.append_version(t, table(spark, ("c", 1.0)), 2)
+    t = ver.append_version(t, table(spark, ("d", 1.0)), 3)
+    path = scratch_path(spark, "commits")
+    for version in (1, 3):
+        ver.record_commit(spark, path, version, "append", datetime(2024, 1, version))
+    log = {r.version: (r.operation, r.total) for r in ver.version_log(t, ver.read_commits(spark, path)).collect()}
+    assert log == {1: ("append", 2), 2: (None, 3), 3: ("append", 4)}
+
+
 def test_saved_table_without_closed_rows(spark):
     path = scratch_path(spark, "versions")
     ver.save_versions(ver.create_version(table(spark, ("a", 1.0))), path)
