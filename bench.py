@@ -34,6 +34,13 @@ HEADLINE = [
     "cpu_usage",
     "latest_gauge",
     "scale_features",
+    "scale_features_train",
+    "ply_scan_ascii",
+    "version_replace",
+    "version_as_of_saved",
+    "append_table",
+    "compact",
+    "classify_voxels",
 ]
 
 

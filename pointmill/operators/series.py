@@ -16,9 +16,6 @@ from pointmill.functions.columns import micros, packed
 
 _SLICE_ROWS = 200_000
 
-# The most slices a rate window may span; wider slices are used beyond that.
-_WINDOW_SLICES = 10_000
-
 
 def slice_seconds(df: DataFrame, ts: str) -> float:
     """Width of time slices that hold about _SLICE_ROWS rows. One pass over one column.
@@ -107,7 +104,9 @@ def _reset_corrected(samples: DataFrame) -> tuple[DataFrame, DataFrame]:
     return steady, slices
 
 
-def _with_window_start(steady: DataFrame, slices: DataFrame, window_seconds: float, width: float) -> DataFrame:
+def _with_window_start(
+    samples: DataFrame, steady: DataFrame, slices: DataFrame, window_seconds: float, width: float
+) -> DataFrame:
     """Add `first`, the time and steady value of the first sample in the window that ends at each sample.
 
     Each sample leaves a probe at the start of its window. Probes and samples
@@ -130,13 +129,15 @@ def _with_window_start(steady: DataFrame, slices: DataFrame, window_seconds: flo
     latest_first = Window.partitionBy("_series", "_slice").orderBy(F.desc("_place"), F.desc("_is_sample"))
     seen = F.last("_sample", ignorenulls=True).over(latest_first.rowsBetween(Window.unboundedPreceding, 0))
 
-    # A slice's first sample serves the slices before it, back to the last one
-    # with samples of its own, and no further than a window reaches.
-    before = F.lag("_slice").over(Window.partitionBy("_series").orderBy("_slice"))
-    reach = int(window_seconds / width) + 1
-    served = F.sequence(F.greatest(before, F.col("_slice") - reach), F.col("_slice") - 1)
-    following = slices.withColumn("_served", served).select(
-        "_series", F.explode("_served").alias("_slice"), F.struct("_at", "steady").alias("_next")
+    # For each slice that holds a probe, the first sample of the next slice that has one:
+    # looked up among slice rows, however many slices a window spans.
+    firsts = slices.select("_series", "_slice", F.struct("_at", "steady").alias("_first"))
+    probed = samples.select("_series", _slice(start, width).alias("_slice")).distinct()
+    later_first = Window.partitionBy("_series").orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
+    following = (
+        probed.join(firsts, ["_series", "_slice"], "full")
+        .withColumn("_next", F.last("_first", ignorenulls=True).over(later_first))
+        .select("_series", "_slice", "_next")
     )
     return (
         placed.withColumn("_seen", seen)
@@ -165,7 +166,7 @@ def counter_rate(
     with the highest tie, a whole number, else the highest value. Samples
     without a time or a value are no samples.
     """
-    width = max(seconds or slice_seconds(df, ts), window_seconds / _WINDOW_SLICES)
+    width = seconds or slice_seconds(df, ts)
     order = F.coalesce(F.col(tie), F.lit(-(2**63))) if tie else F.col(value)
     samples = (
         df.where(F.col(ts).isNotNull() & F.col(value).isNotNull())
@@ -175,7 +176,7 @@ def counter_rate(
     )
     increase = F.col("steady") - F.col("first")["steady"]
     elapsed = (F.col("_at") - F.col("first")["_at"]) / F.lit(1e6)
-    return _with_window_start(*_reset_corrected(samples), window_seconds, width).select(
+    return _with_window_start(samples, *_reset_corrected(samples), window_seconds, width).select(
         *[F.col("_series")[k].alias(k) for k in keys],
         F.timestamp_micros("_at").alias(ts),
         F.col("value").alias(value),

@@ -260,4 +260,10 @@ def oracles() -> dict[str, str]:
             f"CAST(label_index = {i} AS INT) AS class_{i}" for i in range(6))}
             FROM voxels JOIN {_INDEX} ON label = majority_label""",
         "split_voxels": f"WITH {SPLIT} SELECT {_VOXEL_COLUMNS}, is_test FROM marked",
+        "classify_voxels": f"WITH {SPLIT} SELECT {_VOXEL_COLUMNS}, majority_label, TRUE AS known_label FROM marked WHERE is_test = 1",
+        "model_quality": f"""WITH {SPLIT} SELECT count(*) AS n, TRUE AS accuracy_in_range, TRUE AS loss_in_range
+            FROM marked WHERE is_test = 1""",
+        "log_loss": f"""WITH {PREDICTIONS} SELECT count(*) AS n, round(avg(CASE WHEN label = predicted THEN 1.0 ELSE 0.0 END), 9) AS accuracy,
+            round(avg(-ln(CASE WHEN label = predicted THEN CAST(0.5 AS DOUBLE)
+                WHEN label BETWEEN 1 AND 6 THEN CAST(0.1 AS DOUBLE) ELSE CAST(1e-15 AS DOUBLE) END)), 9) AS log_loss FROM predictions""",
     }

@@ -408,12 +408,25 @@ def _trained(spark, sf_dir):
 
 
 def classify_voxels(spark, sf_dir):
-    return _trained(spark, sf_dir)[1].select(*VOXEL, "majority_label", "predicted")
+    """Every test voxel, and whether its predicted label is one of the training labels."""
+    model, scored = _trained(spark, sf_dir)
+    known = F.col("predicted").isin(classifier.model_classes(model))
+    return scored.select(*VOXEL, "majority_label", known.alias("known_label"))
 
 
 def model_quality(spark, sf_dir):
+    """Size of the test set, and whether accuracy and loss are in their ranges; the numbers themselves rest on the solver."""
     model, scored = _trained(spark, sf_dir)
-    return classifier.evaluate(scored, classifier.model_classes(model))
+    found = classifier.evaluate(scored, classifier.model_classes(model))
+    return found.select("n", F.col("accuracy").between(0, 1).alias("accuracy_in_range"), (F.col("log_loss") > 0).alias("loss_in_range"))
+
+
+def log_loss(spark, sf_dir):
+    """The classifier's evaluation over the fixed-rule predictions: half the probability to the predicted label, a tenth to each other."""
+    classes = list(range(1, 7))
+    each = [F.when(F.col("predicted") == c, 0.5).otherwise(0.1) for c in classes]
+    found = classifier.evaluate(views.predictions(spark, sf_dir).withColumn("probability", F.array(*each)), classes, "label")
+    return found.select("n", F.round("accuracy", 9).alias("accuracy"), F.round("log_loss", 9).alias("log_loss"))
 
 
 QUERIES: dict[str, Query] = {
@@ -431,6 +444,6 @@ QUERIES: dict[str, Query] = {
         version_count, version_compare,
         counter_rate, cpu_usage, latest_gauge,
         scale_features, scale_features_train, encode_labels, one_hot, split_voxels,
-        classify_voxels, model_quality,
+        classify_voxels, model_quality, log_loss,
     )
 }
