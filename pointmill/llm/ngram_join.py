@@ -1,23 +1,24 @@
 """Set-similarity self-join of documents on the Jaccard index of their word n-grams.
 
-Rare-first prefix filtering: n-grams are ordered by how many documents hold them, so
-two sets similar enough share an n-gram among the first few of each (the prefix).
+Rare-first prefix filtering: with n-grams in one order for all, two sets similar enough
+share an n-gram among the first few of each (the prefix). The order begins with n-grams that one
+text alone has, so most texts have nothing to share and leave the join early:
 
-- The order comes from a table of counts with a fixed number of slots, over every
-  document. N-grams that share a slot count as one: that can cost time, never a link.
 - Equal sets form one class and are joined once, whatever their number.
-- Prefix n-grams that two classes share are found by a minimum and a maximum per
-  n-gram, with map-side combine. A bitmap of fixed size keeps the others out of the
-  next shuffle.
+- A fixed share of all n-grams, by digest, is tested: one aggregate finds those that a single class
+  has. A class whose prefix they fill links with nothing. The others are suspects.
+- Their sets are written once. Their other n-grams are ordered by how many suspects hold
+  them, from a table of counts of fixed size, and prefixes are what is left of their length.
+  N-grams that share a slot of the table count as one: that can cost time, never a link.
 - Classes go to cells by the most shared n-gram of their prefix. A cell that would
   grow too large is split; a class also goes, as a guest, to each lower cell where it
   shares a prefix n-gram, and many guests are split too. So a pair meets in one task
   only, each set travels a few times at most, and no pairs are written.
-- Inside a cell, pairs from shared prefix n-grams pass the length, positional and
-  suffix filters and are verified once on whole sets. A cell returns the number of
-  links and one edge for each linked class.
+- Inside a cell n-grams are ordered by the cell's own counts. Pairs from shared prefix n-grams pass
+  the length, positional and suffix filters and are verified once on whole sets. A cell returns
+  the number of links and one edge for each linked class.
 
-Sets are held as 64-bit digests of n-grams, classes as a 64-bit digest and size.
+Sets are held as 64-bit digests of n-grams, classes as a 64-bit digest.
 """
 
 from collections.abc import Iterator
@@ -25,7 +26,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,14 +38,19 @@ _RANGES = 16
 
 @dataclass(frozen=True)
 class Settings:
-    """n: words of an n-gram. percent: the least Jaccard index. slots: of the count table and of
-    the bitmap, a power of two. cell_grams: n-grams a cell holds about."""
+    """n: words of an n-gram. percent: the least Jaccard index. slots: of the count table, a power of two; the filter of
+    suspects has four times as many bits. cell_grams: n-grams a cell holds about."""
 
     n: int = 3
     percent: int = 90
     slots: int = 1 << 22
     cell_grams: int = 1_000_000
 
+    @property
+    def tested(self) -> np.uint64:
+        """Digests below this are tested: nearly twice the share that a prefix takes of a set."""
+        return np.uint64(min(2**64 - 1, int(2**64 * 0.018 * (100 - self.percent))))
+
 
 def ngram_sets(texts: list[bytes | None], n: int, words: Numbered) -> list[np.ndarray]:
     """Distinct n-gram digests of each text, ascending; a text of fewer words is one n-gram, one of none has none."""
@@ -87,19 +92,20 @@ def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[pa.Record
             yield part, ngram_sets(part.column("text").cast(pa.binary()).to_pylist(), n, words)
 
 
-def _counted(values: Iterator[np.ndarray], slots: int) -> Iterator[tuple[int, bytes, bytes]]:
-    """Counts of slots as rows (segment, positions, counts)."""
+def _counted(values: Iterator[np.ndarray], slots: int) -> Iterator[pa.RecordBatch]:
+    """Counts of slots as rows (segment, at, n)."""
     counts = np.zeros(slots, np.int32)
     for x in values:
         np.add.at(counts, (x & np.uint64(slots - 1)).astype(np.int64), 1)
-    for k, part in enumerate(counts.reshape(-1, _SEGMENT)):
+    for k in range(slots // _SEGMENT):
+        part = counts[k * _SEGMENT : (k + 1) * _SEGMENT]
         at = np.flatnonzero(part)
         if len(at):
-            yield k, at.astype("<u2").tobytes(), part[at].astype("<i4").tobytes()
+            yield pa.RecordBatch.from_pydict({"segment": pa.array([k], pa.int32()), "at": [at.astype("<u2").tobytes()], "n": [part[at].astype("<i4").tobytes()]})
 
 
 def _summed(parts: DataFrame, slots: int) -> np.ndarray:
-    """The sum of all tasks' counts. The driver receives slots numbers, however large the input."""
+    """The sum of all tasks' counts, as logarithms. The driver receives slots numbers, however large the input."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -122,85 +128,106 @@ def _least_shared(size: np.ndarray | int, percent: int):
     return (size * percent + 99) // 100
 
 
-def _rare_first(grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    return grams[np.lexsort((grams, counts[(grams & np.uint64(len(counts) - 1)).astype(np.int64)]))]
+def _pairs(grams: list[np.ndarray], names: list[int], *more: np.ndarray) -> pa.RecordBatch:
+    classes = np.repeat(np.array(names, np.int64), [len(x) for x in grams])
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(grams).view(np.int64)), pa.array(classes), *map(pa.array, more)], ["gram", "class", "place"][: 2 + len(more)])
 
 
-def classes(texts: DataFrame, settings: Settings) -> tuple[DataFrame, Broadcast]:
-    """(id, n_grams, class) of each row of (id, text), and the count table, from one reading of the texts."""
-    n, slots, id_type = settings.n, settings.slots, texts.schema["id"].dataType.simpleString()
+def classes(texts: DataFrame, settings: Settings) -> DataFrame:
+    """(id, n_grams, class) of each row of (id, text); class is NULL without n-grams."""
+    n, kind = settings.n, texts.schema["id"].dataType.simpleString()
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def values() -> Iterator[np.ndarray]:
-            for batch, sets in _sets(batches, n):
-                size = batch.num_rows
-                none = pa.nulls(size, pa.binary())
-                sizes = pa.array([len(x) for x in sets], pa.int64())
-                names = pa.array([_class_of(x) if len(x) else None for x in sets], pa.int64())
-                held.append(pa.RecordBatch.from_arrays([batch.column("id"), sizes, names, pa.nulls(size, pa.int32()), none, none], out_names))
-                yield np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-
-        out_names = ["id", "n_grams", "class", "segment", "at", "n"]
-        rows = list(_counted(values(), slots))
-        yield from held
-        for start in range(0, len(rows), 32):
-            segment, at, count = zip(*rows[start : start + 32], strict=True)
-            k = len(segment)
-            ids = held[0].column("id").type
-            yield pa.RecordBatch.from_arrays(
-                [pa.nulls(k, ids), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.array(segment, pa.int32()), pa.array(at, pa.binary()), pa.array(count, pa.binary())],
-                out_names,
-            )
-
-    schema = f"id {id_type}, n_grams long, class long, segment int, at binary, n binary"
-    both = saved(texts.mapInArrow(read, schema), "ngram_sets")
-    counts = _summed(both.where("segment IS NOT NULL").select("segment", "at", "n"), slots)
-    spark = texts.sparkSession
-    return both.where("segment IS NULL").select("id", "n_grams", "class"), spark.sparkContext.broadcast(counts)
-
-
-def _prefixes(texts: DataFrame, counts: Broadcast, settings: Settings, bitmap: Broadcast | None = None) -> DataFrame:
-    """(gram, class) of the prefixes; a class once in a task. bitmap: only grams it may hold."""
-    n, percent = settings.n, settings.percent
+        for batch, sets in _sets(batches, n):
+            sizes = pa.array([len(x) for x in sets], pa.int64())
+            names = pa.array([_class_of(x) if len(x) else None for x in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), sizes, names], ["id", "n_grams", "class"])
+
+    return saved(texts.mapInArrow(read, f"id {kind}, n_grams long, class long"), "ngram_classes")
+
+
+def suspects(texts: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+    """(class, n_grams, copies, left) of the classes that can have links; left: what the grams of their own leave of the prefix's length."""
+    n, percent, tested = settings.n, settings.percent, settings.tested
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = Numbered(lambda _: None, 300_000)
-        for _, sets in _sets(batches, n):
+        for _, found in _sets(batches, n):
             grams, names = [], []
-            for x in sets:
-                name = _class_of(x)
-                if not len(x) or name in seen:
-                    continue
-                seen[name]
-                prefix = _rare_first(x, counts.value)[: len(x) - _least_shared(len(x), percent) + 1]
-                if bitmap is not None:
-                    prefix = prefix[bitmap.value[(prefix & np.uint64(len(bitmap.value) - 1)).astype(np.int64)]]
-                grams.append(prefix)
-                names.append(np.full(len(prefix), name, np.int64))
+            for x in found:
+                if len(x) and (name := _class_of(x)) not in seen:
+                    seen[name]
+                    grams.append(x[: np.searchsorted(x, tested)])
+                    names.append(name)
             if grams:
-                flat = np.concatenate(grams).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(np.concatenate(names))], ["gram", "class"])
+                yield _pairs(grams, names)
+
+    ends = texts.mapInArrow(read, "gram long, class long").groupBy("gram").agg(F.min("class").alias("lo"), F.max("class").alias("hi"))
+    own = ends.where("lo = hi").groupBy(F.col("lo").alias("class")).agg(F.count("*").alias("own"))
+    known = sets.where("class IS NOT NULL").groupBy("class").agg(F.first("n_grams").alias("n_grams"), F.count("*").alias("copies"))
+    prefix = F.expr(f"n_grams - (n_grams * {percent} + 99) DIV 100 + 1")
+    left = (prefix - F.coalesce("own", F.lit(0))).alias("left")
+    return saved(known.join(own, "class", "left").select("class", "n_grams", "copies", left).where("left > 0"), "suspects")
+
 
-    return texts.mapInArrow(read, "gram long, class long")
+def _suspect_sets(texts: DataFrame, known: DataFrame, settings: Settings) -> DataFrame:
+    """(class, key, grams) of rows whose class is a suspect's, and of few others; key tells rows apart."""
+    n, bits = settings.n, 4 * settings.slots
 
+    def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _counted((b.column("class").to_numpy().view(np.uint64) for b in batches), bits)
 
-def _shared_prefixes(texts: DataFrame, counts: Broadcast, settings: Settings) -> DataFrame:
-    """Distinct (gram, class) of prefix grams that two classes share at least."""
-    slots = settings.slots
-    ends = _prefixes(texts, counts, settings).groupBy("gram").agg(F.min("class").alias("lo"), F.max("class").alias("hi"))
-    shared = saved(ends.where("lo <> hi").select("gram"), "shared_grams")
+    marks = _summed(known.select("class").mapInArrow(names, "segment int, at binary, n binary"), bits) > 0
+    held = texts.sparkSession.sparkContext.broadcast(np.packbits(marks, bitorder="little"))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = Numbered(lambda _: None, 300_000)
+        for batch, found in _sets(batches, n):
+            out = []
+            for k, x in enumerate(found):
+                if len(x) and (name := _class_of(x)) not in seen:
+                    seen[name]
+                    bit = name & (bits - 1)
+                    if held.value[bit >> 3] >> (bit & 7) & 1:
+                        out.append((name, k, x.tobytes()))
+            if out:
+                which, at, grams = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(which, pa.int64()), batch.column("key").take(pa.array(at)), pa.array(grams, pa.binary())], ["class", "key", "grams"])
+
+    keyed = texts.select(F.monotonically_increasing_id().alias("key"), "text")
+    return saved(keyed.mapInArrow(read, "class long, key long, grams binary"), "suspect_sets")
+
+
+def _shared_prefixes(held: DataFrame, known: DataFrame, settings: Settings) -> DataFrame:
+    """Distinct (gram, class) of prefix grams that two suspects share at least."""
+    slots, percent, tested = settings.slots, settings.percent, settings.tested
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = list(_counted((b.column("gram").to_numpy().view(np.uint64) for b in batches), slots))
-        if rows:
-            segment, at, n = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(segment, pa.int32()), pa.array(at, pa.binary()), pa.array(n, pa.binary())], ["segment", "at", "n"])
+        yield from _counted((np.frombuffer(b"".join(b.column("grams").to_pylist()), np.uint64) for b in batches), slots)
 
-    bits = _summed(shared.mapInArrow(count, "segment int, at binary, n binary"), slots) > 0
-    found = _prefixes(texts, counts, settings, texts.sparkSession.sparkContext.broadcast(bits))
-    return saved(found.join(shared, "gram").distinct(), "postings")
+    counts = held.sparkSession.sparkContext.broadcast(_summed(held.mapInArrow(count, "segment int, at binary, n binary"), slots))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 400):
+                part = batch.slice(start, 400)
+                prefixes, places = [], []
+                for raw in part.column("grams").to_pylist():
+                    x = np.frombuffer(raw, np.uint64)
+                    seen = counts.value[(x & np.uint64(slots - 1)).astype(np.int64)]
+                    size, others = len(x) - _least_shared(len(x), percent) + 1, int((x >= tested).sum())
+                    # Tested grams come last. Which of them are the class's own is not known here, so all or none go along.
+                    ordered = x[np.lexsort((x, seen, x < tested))]
+                    prefixes.append(ordered[:size] if size <= others else ordered)
+                    places.append(np.minimum(np.arange(len(prefixes[-1])), others))
+                if prefixes:
+                    yield _pairs(prefixes, part.column("class").to_pylist(), np.concatenate(places))
+
+    prefixes = held.mapInArrow(read, "gram long, class long, place long")
+    prefixes = prefixes.join(known.select("class", "left"), "class").where("place < left").select("gram", "class")
+    prefixes = saved(prefixes, "prefixes")
+    shared = prefixes.groupBy("gram").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("gram")
+    return saved(prefixes.join(saved(shared, "shared_grams"), "gram").distinct(), "postings")
 
 
 def _cells(postings: DataFrame, sizes: DataFrame, settings: Settings) -> DataFrame:
@@ -234,11 +261,11 @@ def _suffix_counts(ranks: np.ndarray, most: int) -> np.ndarray:
     return np.bincount(ranks * _RANGES // max(1, most), minlength=_RANGES)[:_RANGES]
 
 
-def cell_links(sets: list[np.ndarray], home: np.ndarray, chunk: int, counts: np.ndarray, percent: int):
-    """Pairs (i, j) of linked sets of one cell, arrays for each i. Two guests never pair; two at home do in chunk 0."""
-    grams, inverse = np.unique(np.concatenate(sets), return_inverse=True)
+def cell_links(sets: list[np.ndarray], home: np.ndarray, chunk: int, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Pairs (i, j) of linked sets of one cell, an array of j for each i. Two guests never pair; two at home do in chunk 0."""
+    grams, inverse, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     rank = np.empty(len(grams), np.int64)
-    rank[np.lexsort((grams, counts[(grams & np.uint64(len(counts) - 1)).astype(np.int64)]))] = np.arange(len(grams))
+    rank[np.argsort(often, kind="stable")] = np.arange(len(grams))
     sizes = np.array([len(x) for x in sets])
     starts = np.concatenate([[0], np.cumsum(sizes)])
     flat = rank[inverse]
@@ -290,40 +317,21 @@ def cell_links(sets: list[np.ndarray], home: np.ndarray, chunk: int, counts: np.
             yield i, linked
 
 
-def links(texts: DataFrame, sets: DataFrame, counts: Broadcast, settings: Settings) -> DataFrame:
+def links(texts: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
     """(class, root, n_links): for each class with a link in a cell, one edge and its links there, copies counted."""
-    n, percent = settings.n, settings.percent
-    known = sets.where("class IS NOT NULL").groupBy("class").agg(
-        F.min("id").alias("id"), F.first("n_grams").alias("n_grams"), F.count("*").alias("copies")
-    )
-    postings = _shared_prefixes(texts, counts, settings)
-    known = saved(known.join(postings.select("class").distinct(), "class", "left_semi"), "classes")
+    percent = settings.percent
+    known = suspects(texts, sets, settings)
+    held = _suspect_sets(texts, known, settings)
+    postings = _shared_prefixes(held, known, settings)
+    known = known.join(postings.select("class").distinct(), "class", "left_semi")
     cells = _cells(postings, known.select("class", "n_grams"), settings)
+    keys = held.groupBy("class").agg(F.min("key").alias("key"))
     goes = cells.groupBy("class").agg(F.collect_list(F.struct("cell", "chunk", "home")).alias("cells"))
-    goes = saved(known.join(goes, "class").select("id", "class", "copies", "cells"), "goes")
-    there = texts.alias("t").join(goes.alias("g").hint("shuffle_hash"), F.expr("t.id <=> g.id"))
-    there = there.select("t.text", "g.class", "g.copies", "g.cells")
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, found in _sets(batches, n):
-            rows = zip(*(batch.column(c).to_pylist() for c in ("class", "copies", "cells")), found, strict=True)
-            out = [
-                (x["cell"], x["chunk"], x["home"], name, copies, grams.tobytes())
-                for name, copies, cells, grams in rows
-                if _class_of(grams) == name
-                for x in cells
-            ]
-            if out:
-                kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)],
-                    ["cell", "chunk", "home", "class", "copies", "grams"],
-                )
+    goes = saved(goes.join(known, "class").join(keys, "class").select("class", "key", "copies", "cells"), "goes")
+    sent = held.join(goes.hint("shuffle_hash"), ["class", "key"]).select("class", "copies", "grams", F.inline("cells"))
 
     def join(table: pa.Table) -> pa.Table:
-        # Repeated rows have the same class: one of them goes on.
-        names, at = np.unique(table.column("class").to_numpy(), return_index=True)
-        table = table.take(pa.array(at))
+        names = table.column("class").to_numpy()
         found = [np.frombuffer(x, np.uint64) for x in table.column("grams").to_pylist()]
         home = table.column("home").to_numpy().astype(bool)
         copies = table.column("copies").to_numpy()
@@ -331,7 +339,7 @@ def links(texts: DataFrame, sets: DataFrame, counts: Broadcast, settings: Settin
         root = np.arange(len(names))
         pending: list[tuple[np.ndarray, np.ndarray]] = []
         if len(names) > 1:
-            for i, j in cell_links(found, home, table.column("chunk")[0].as_py(), counts.value, percent):
+            for i, j in cell_links(found, home, table.column("chunk")[0].as_py(), percent):
                 degree[i] += copies[j].sum()
                 degree[j] += copies[i]
                 pending.append((np.full(len(j), i), j))
@@ -339,7 +347,6 @@ def links(texts: DataFrame, sets: DataFrame, counts: Broadcast, settings: Settin
         kept = degree > 0
         return pa.table({"class": names[kept], "root": names[root][kept], "n_links": degree[kept]})
 
-    sent = there.mapInArrow(send, "cell long, chunk long, home boolean, class long, copies long, grams binary")
     return saved(sent.groupBy("cell", "chunk").applyInArrow(join, "class long, root long, n_links long"), "links")
 
 
@@ -361,8 +368,8 @@ def jaccard_join(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     """
     settings = settings or Settings()
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    sets, counts = classes(texts, settings)
-    linked = links(texts, sets, counts, settings)
+    sets = classes(texts, settings)
+    linked = links(texts, sets, settings)
     rows = resolved(sets, linked, "ngram_components")
     out = rows.select(F.col("id").alias(id_column), F.col("n_grams").alias("n_shingles"), "component_id", "n_links", "class")
     return out.withColumn("representative", F.col(id_column).eqNullSafe(F.col("component_id")))
