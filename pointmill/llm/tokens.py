@@ -2,84 +2,151 @@
 
 import itertools
 import operator
+import os
 import re
 from functools import lru_cache
 
 import numpy as np
 
-#: Pieces that the encoder handles apart: a line end between words, a word with one blank before it, longer white space with the word after it.
+#: In a text with longer white space: a line end between words, a word with one blank before it, longer white space with the word after it.
 _PIECES = re.compile(r"\n(?=[^ \n])| ?[^ \n]+|[ \n]+[^ \n]*")
-#: White space and controls other than blank and line end, where pieces could depend on their neighbours.
-_ODD = re.compile("[\x00-\x09\x0b-\x1f\x7f-\xa0̀-ͯ ᠎ -‏ -  -⁠　﻿]")
+#: A word of plain letters with at most one mark after it, which every vocabulary here splits the same way.
+_PLAIN = re.compile(r"([\n\t]?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
 _TEXTS = 256
 
 
+def _odd(text: str) -> bool:
+    """Whether there is white space or control other than blanks and line ends."""
+    return not text.replace("\n", "").isprintable()
+
+
+def _wide(text: str) -> bool:
+    """Whether white space is more than one blank or line end between two words."""
+    return text[0] in " \n" or text[-1] in " \n" or "  " in text or "\n\n" in text or " \n" in text or "\n " in text
+
+
+def _byte_letters() -> dict[int, str]:
+    """Byte-level vocabularies write bytes as letters: visible Latin-1 as itself, others as the letters from U+0100 in order."""
+    visible = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    return {b: chr(b) for b in visible} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in visible)}
+
+
+class _Numbers(dict):
+    """Numbers of the words met so far; new gets those that are met first."""
+
+    new: list[str]
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        self.new.append(word)
+        return number
+
+
 class Encoder:
     """encode(texts) gives (ids, lengths): the ids of all texts in a row as uint32, and how many each has.
 
     Both kinds of vocabulary used here split a text at blanks and line ends before anything else,
-    so the ids of a text are those of its pieces. Texts with other white space or controls are
-    encoded whole. Special tokens in a text are ordinary text. Holds at most limit words.
+    so the ids of a text are those of its words, each with the blank before it. Words of plain letters go
+    straight to the library's model, others through its whole pipeline. Texts with other white space or
+    controls are encoded whole. Special tokens in a text are ordinary text. Holds about limit words.
     """
 
-    def __init__(self, path: str, limit: int = 250_000):
+    def __init__(self, path: str, limit: int = 400_000):
+        # Tasks already run side by side.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.splitter = Tokenizer.from_file(path), Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         self.size, self.limit = self.tokenizer.get_vocab_size(), limit
-        # A special token, which text is never turned into, tells the pieces of one call apart.
+        # A special token, which text is never turned into, tells the words of one call apart.
         self.mark_id, mark = next(iter(self.splitter.get_added_tokens_decoder().items()))
         self.mark = mark.content
         probe = self._whole(["a\nb", "a b", " b", "a", "\n", "b"])
         if probe[0] != probe[3] + probe[4] + probe[5] or probe[1] != probe[3] + probe[2]:
             raise ValueError("this vocabulary does not encode words apart")
-        self._forget()
-
-    def _forget(self) -> None:
-        self.numbers: dict[str, int] = {}
+        self.line_end = probe[4]
+        self.letters = _byte_letters()
+        tries = ["The", "straße", "ÉCOLE", "onhablein", "x", "été."]
+        self.blank, self.lower = "", False
+        for self.blank, self.lower in ((self.letters[32], False), ("", True)):  # noqa: B020
+            if [self._plain(*_PLAIN.fullmatch(w).groups()) for w in tries] == self._whole([" " + w for w in tries]):
+                self.plain = True
+                break
+        else:
+            self.plain = False
+        self.numbers, self.uses = _Numbers(), np.zeros(0, np.int64)
         self.ids, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
+    def _thin(self) -> None:
+        """Forget the less used half of the words."""
+        kept = np.sort(np.argsort(-self.uses, kind="stable")[: self.limit // 2])
+        words, sizes = list(self.numbers), np.diff(self.ends)[kept]
+        ends = np.cumsum(sizes)
+        self.ids = self.ids[np.repeat(self.ends[kept] - (ends - sizes), sizes) + np.arange(ends[-1])]
+        self.ends, self.uses = np.concatenate([[0], ends]), self.uses[kept] // 2
+        self.numbers = _Numbers((words[old], new) for new, old in enumerate(kept.tolist()))
+
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: list[str]) -> None:
-        if len(self.numbers) + len(pieces) > self.limit:
-            self._forget()
-        start = len(self.numbers)
-        self.numbers.update(zip(pieces, range(start, start + len(pieces)), strict=True))
-        plain = not any(self.mark in p for p in pieces)
-        if plain:
-            joined = [self.mark.join(pieces[k : k + 1000]) + self.mark for k in range(0, len(pieces), 1000)]
-            each = [x.ids for x in self.splitter.encode_batch_fast(joined, add_special_tokens=False)]
-            flat = np.fromiter(itertools.chain.from_iterable(each), np.uint32)
-            cuts = np.flatnonzero(flat == self.mark_id)
-            self._add(np.delete(flat, cuts), np.diff(cuts, prepend=-1) - 1)
+    def _plain(self, marker: str, letters: str, after: str) -> list[int]:
+        word = letters.lower() if self.lower else letters
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.letters)
+        ids = [t.id for t in self.model.tokenize(word if marker else self.blank + word)]
+        if marker == "\n":
+            ids = self.line_end + ids
+        return ids + [t.id for t in self.model.tokenize(after)] if after else ids
+
+    def _learn(self, words: list[str]) -> None:
+        """A word stands for itself after a blank, after a line end, or, marked by a tab, for itself alone."""
+        each: list[list[int] | None] = []
+        for word in words:
+            match = _PLAIN.fullmatch(word) if self.plain else None
+            each.append(self._plain(*match.groups()) if match else None)
+        rest = [k for k, ids in enumerate(each) if ids is None]
+        texts = [words[k][1:] if words[k][:1] == "\t" else words[k] if words[k][:1] == "\n" else " " + words[k] for k in rest]
+        if any(self.mark in t for t in texts):
+            found = self._whole(texts)
         else:
-            each = self._whole(pieces)
-            self._add(np.fromiter(itertools.chain.from_iterable(each), np.uint32), np.array([len(x) for x in each]))
-
-    def _add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
-        self.ids = np.concatenate([self.ids, ids])
+            joined = [self.mark.join(texts[k : k + 1000]) + self.mark for k in range(0, len(texts), 1000)]
+            flat = np.fromiter(itertools.chain.from_iterable(x.ids for x in self.splitter.encode_batch_fast(joined, add_special_tokens=False)), np.uint32)
+            found = np.split(flat, np.flatnonzero(flat == self.mark_id) + 1)[:-1]
+            found = [x[:-1] for x in found]
+        for k, ids in zip(rest, found, strict=True):
+            each[k] = ids
+        sizes = np.fromiter(map(len, each), np.int64, len(each))
+        self.ids = np.concatenate([self.ids, np.fromiter(itertools.chain.from_iterable(each), np.uint32, int(sizes.sum()))])
         self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         parts = [self._encode(texts[k : k + _TEXTS]) for k in range(0, len(texts), _TEXTS)]
         return (np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])) if parts else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
 
+    @staticmethod
+    def _words(text: str) -> list[str]:
+        if not _wide(text):
+            return ("\t" + text).replace("\n", " \n").split(" ")
+        return [p[1:] if p[0] == " " and len(p) > 1 and p[1] not in " \n" else "\t" + p for p in _PIECES.findall(text)]
+
     def _encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        odd = {k: t for k, t in enumerate(texts) if t and _ODD.search(t)}
-        split = [[] if not t or k in odd else _PIECES.findall(t) for k, t in enumerate(texts)]
+        odd = {k: t for k, t in enumerate(texts) if t and _odd(t)}
+        split = [[] if not t or k in odd else self._words(t) for k, t in enumerate(texts)]
         flat = list(itertools.chain.from_iterable(split))
-        if new := [p for p in dict.fromkeys(flat) if p not in self.numbers]:
-            if len(self.numbers) + len(new) > self.limit:
-                self._forget()
-                new = list(dict.fromkeys(flat))
-            self._learn(new)
+        if len(self.numbers) > self.limit:
+            self._thin()
+        self.numbers.new = []
         if len(flat) > 1:
             which = np.array(operator.itemgetter(*flat)(self.numbers))
         else:
             which = np.array([self.numbers[p] for p in flat], np.int64)
+        if self.numbers.new:
+            self._learn(self.numbers.new)
+        uses = np.bincount(which, minlength=len(self.numbers))
+        uses[: len(self.uses)] += self.uses
+        self.uses = uses
         sizes = np.diff(self.ends)[which]
         ends = np.cumsum(sizes)
         ids = self.ids[np.repeat(self.ends[which] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
