@@ -177,12 +177,18 @@ def train(stats: DataFrame, labels: DataFrame, id_column: str = "doc_id", label_
     return Model(mean, scale, directions, offsets, weights, x, values)
 
 
+def _each(texts: pa.Array) -> Iterator[np.ndarray]:
+    """The statistics of each text; few texts are Python objects at a time."""
+    for start in range(0, len(texts), 200):
+        yield from map(statistics, texts.slice(start, 200).to_pylist())
+
+
 def with_statistics(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """(id, stats) of each row."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [statistics(t).astype("<f8").tobytes() for t in batch.column("text").to_pylist()]
+            rows = [x.astype("<f8").tobytes() for x in _each(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], [id_column, "stats"])
 
     kind = docs.schema[id_column].dataType.simpleString()
@@ -215,10 +221,10 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", tex
     stats = saved(with_statistics(docs, id_column, text_column), "statistics")
     model = train(stats, labels, id_column, label_column, settings)
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
         if model is None or not len(texts):
-            return pd.Series(0.5, index=texts.index)
-        return pd.Series(model.score(np.stack([statistics(t) for t in texts])))
+            return pa.array(np.full(len(texts), 0.5))
+        return pa.array(model.score(np.stack(list(_each(texts)))))
 
     return docs.where(score(F.col(text_column)) >= settings.threshold)
