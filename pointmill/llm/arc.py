@@ -177,6 +177,11 @@ def read_arc(uri: str) -> Iterator[ArcRecord]:
             number += 1
 
 
+def _spread(files: DataFrame) -> DataFrame:
+    """The files over as many partitions: a row is small but stands for a file, so Spark must not merge them by size."""
+    return files.select("file").repartition(max(1, files.count()), "file")
+
+
 def _catalogue(files: DataFrame) -> DataFrame:
     """(file, number, page_id, digest, length) of each record of ARC files."""
 
@@ -188,8 +193,7 @@ def _catalogue(files: DataFrame) -> DataFrame:
                     kinds = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64())
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["file", "number", "page_id", "digest", "length"])
 
-    spread = files.select("file").repartition("file")
-    return saved(spread.mapInArrow(read, "file string, number long, page_id long, digest string, length long"), "arc_catalogue")
+    return saved(_spread(files).mapInArrow(read, "file string, number long, page_id long, digest string, length long"), "arc_catalogue")
 
 
 # WARC
@@ -251,7 +255,7 @@ def convert(files: DataFrame, path: str, least_revisit: int = 0) -> DataFrame:
             out.append((file.uri, len(file.members) - 1))
         return pa.table({"file": pa.array([x for x, _ in out], pa.string()), "records": pa.array([n for _, n in out], pa.int64())})
 
-    groups = files.select("file").groupBy("file").cogroup(revisits.groupBy("file"))
+    groups = _spread(files).groupBy("file").cogroup(revisits.groupBy("file"))
     return saved(groups.applyInArrow(write, "file string, records long"), "warc_manifest")
 
 
@@ -286,7 +290,7 @@ def read_warc(files: DataFrame) -> DataFrame:
 
     names = ["page_id", "payload_bytes", "payload_digest", "record_type", "record_id", "refers_to_record", "url", "date"]
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, record_id string, refers_to_record string, url string, date string"
-    return saved(files.select("file").repartition("file").mapInArrow(read, schema), "warc_records")
+    return saved(_spread(files).mapInArrow(read, schema), "warc_records")
 
 
 def round_trip(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html", least_revisit: int = 0) -> DataFrame:
