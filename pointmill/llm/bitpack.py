@@ -163,7 +163,8 @@ def read_ids(manifest: DataFrame, id_column: str = "doc_id") -> DataFrame:
     before = F.sum("n_ids").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
     files = manifest.select("file", "n_ids").select("file", F.coalesce(before, F.lit(0)).alias("base"))
     kind = manifest.schema["ids"].dataType.elementType.simpleString()
-    each = manifest.select("file", "ids").join(files, "file").repartition("file")
+    # A number, so that Spark does not merge small rows that stand for large files.
+    each = manifest.select("file", "ids").join(files, "file").repartition(max(1, manifest.count()), "file")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
