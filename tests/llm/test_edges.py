@@ -7,6 +7,7 @@ import json
 import numpy as np
 import public_tokenizers
 import pytest
+import sentencepiece
 
 import corpus_pipeline
 from pointmill.llm import arc, bitpack, common, decontaminate, license_join, metric_join, ngram_join, packing, quality, secret_ledger, token_counts, tokens
@@ -252,6 +253,41 @@ def test_token_counts(docs, none):
     assert token_counts.token_counts(none, PIECE).count() == 0
 
 
+def greedy_pieces(word, pieces, spare):
+    at, n = 0, 0
+    while at < len(word):
+        end = next((e for e in range(min(len(word), at + 64), at, -1) if word[at:e] in pieces), None)
+        n += 1 if end else spare(word[at])
+        at = end or at + 1
+    return n
+
+
+def test_token_counts_of_words_without_a_start_piece(spark):
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECE)
+    pieces = {model.id_to_piece(k) for k in range(model.vocab_size()) if not (model.is_control(k) or model.is_unknown(k) or model.is_byte(k))}
+    assert max(map(len, pieces)) <= 64
+    words = ["12345", "ñandú", "ça", "être", "ße", "αβγ", "日本語", "日本語" * 500, "a𓀀b", "𓀀", "🙂x", "a▁the▁", "hello", "don't", "\u0338a"]
+    random = np.random.default_rng(13)
+    words += ["".join(random.choice(list("aeñ1日𓀀▁thß.-"), random.integers(1, 30))) for _ in range(300)]
+    rows = [(k, w, greedy_pieces("▁" + w, pieces, lambda c: len(c.encode()))) for k, w in enumerate(words)]
+    assert [n for _, _, n in rows[:1]] == [6] and rows[9][2] == 5
+    texts = [(k, w) for k, w, _ in rows] + [(len(rows), " ".join(words))]
+    found = dict(by_id(token_counts.token_counts(spark.createDataFrame(texts, "doc_id long, text string"), PIECE), "n_tokens"))
+    assert found == {k: n for k, _, n in rows} | {len(rows): sum(n for _, _, n in rows)}
+
+
+def test_automaton_with_spare_pieces_against_greedy_match():
+    random = np.random.default_rng(10)
+    for _ in range(60):
+        starts, continues = ({"".join(random.choice(list("abc"), random.integers(1, 5))) for _ in range(random.integers(1, 9))} for _ in "12")
+        made = token_counts.Automaton(starts, continues, lambda c: 2)
+        for _ in range(60):
+            word = "".join(random.choice(list("abcd"), random.integers(1, 12)))
+            end = next((e for e in range(len(word), 0, -1) if word[:e] in starts), None)
+            want = 1 + greedy_pieces(word[end:], continues, lambda c: 2) if end else 2 + greedy_pieces(word[1:], continues, lambda c: 2)
+            assert made.count(word) == want, (word, starts, continues)
+
+
 def test_automaton_against_greedy_match():
     random = np.random.default_rng(9)
     for _ in range(60):
