@@ -48,7 +48,8 @@ class Encoder:
     Both kinds of vocabulary used here split a text at blanks and line ends before anything else,
     so the ids of a text are those of its words, each with the blank before it. Words of plain letters go
     straight to the library's model, others through its whole pipeline. Texts with other white space or
-    controls are encoded whole. Special tokens in a text are ordinary text. Holds about limit words.
+    controls, or with the content of an added token, are encoded whole. Special tokens in a text are
+    ordinary text. Holds about limit words.
     """
 
     def __init__(self, path: str, limit: int = 400_000):
@@ -61,8 +62,9 @@ class Encoder:
         self.model = self.tokenizer.model
         self.size, self.limit = self.tokenizer.get_vocab_size(), limit
         # A special token, which text is never turned into, tells the words of one call apart.
-        self.mark_id, mark = next(iter(self.splitter.get_added_tokens_decoder().items()))
-        self.mark = mark.content
+        added = self.splitter.get_added_tokens_decoder()
+        self.mark_id, mark = next(iter(added.items()))
+        self.mark, self.added = mark.content, [t.content for t in added.values()]
         probe = self._whole(["a\nb", "a b", " b", "a", "\n", "b"])
         if probe[0] != probe[3] + probe[4] + probe[5] or probe[1] != probe[3] + probe[2]:
             raise ValueError("this vocabulary does not encode words apart")
@@ -108,13 +110,11 @@ class Encoder:
             each.append(self._plain(*match.groups()) if match else None)
         rest = [k for k, ids in enumerate(each) if ids is None]
         texts = [words[k][1:] if words[k][:1] == "\t" else words[k] if words[k][:1] == "\n" else " " + words[k] for k in rest]
-        if any(self.mark in t for t in texts):
-            found = self._whole(texts)
-        else:
-            joined = [self.mark.join(texts[k : k + 1000]) + self.mark for k in range(0, len(texts), 1000)]
-            flat = np.fromiter(itertools.chain.from_iterable(x.ids for x in self.splitter.encode_batch_fast(joined, add_special_tokens=False)), np.uint32)
-            found = np.split(flat, np.flatnonzero(flat == self.mark_id) + 1)[:-1]
-            found = [x[:-1] for x in found]
+        # No word holds an added token: such texts are encoded whole.
+        joined = [self.mark.join(texts[k : k + 1000]) + self.mark for k in range(0, len(texts), 1000)]
+        flat = np.fromiter(itertools.chain.from_iterable(x.ids for x in self.splitter.encode_batch_fast(joined, add_special_tokens=False)), np.uint32)
+        found = np.split(flat, np.flatnonzero(flat == self.mark_id) + 1)[:-1]
+        found = [x[:-1] for x in found]
         for k, ids in zip(rest, found, strict=True):
             each[k] = ids
         sizes = np.fromiter(map(len, each), np.int64, len(each))
@@ -132,7 +132,7 @@ class Encoder:
         return [p[1:] if p[0] == " " and len(p) > 1 and p[1] not in " \n" else "\t" + p for p in _PIECES.findall(text)]
 
     def _encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        odd = {k: t for k, t in enumerate(texts) if t and _odd(t)}
+        odd = {k: t for k, t in enumerate(texts) if t and (_odd(t) or any(a in t for a in self.added))}
         split = [[] if not t or k in odd else self._words(t) for k, t in enumerate(texts)]
         flat = list(itertools.chain.from_iterable(split))
         if len(self.numbers) > self.limit:

@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from pointmill.llm import arc, bitpack, common, decontaminate, license_join, metric_join, ngram_join, packing, quality, secret_ledger, token_counts, tokens
@@ -174,6 +175,21 @@ def test_encoder_equals_library(path):
     assert found == [e.ids for e in made.tokenizer.encode_batch([*odd, ""], add_special_tokens=False)]
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_added_tokens_are_text_in_every_batch(path):
+    library = Tokenizer.from_file(path)
+    library.encode_special_tokens = True
+    marks = [t.content for t in library.get_added_tokens_decoder().values()]
+    texts = [t for m in ["<|endoftext|>", *marks] for t in (m, f"a {m} b", f"a{m}b", f"a\t{m}", f"{m}{m}\n{m}", m[:-1], f"{m[:-1]} {m[1:]}")]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [tokens.Encoder(path).encode([t])[0].tolist() for t in texts] == want
+    made = tokens.Encoder(path)
+    for batch in (["plain words"], texts, texts[::-1], *[[t, "more words"] for t in texts]):
+        ids, lengths = made.encode(batch)
+        found = [x.tolist() for x in np.split(ids, np.cumsum(lengths)[:-1])]
+        assert found == [library.encode(t, add_special_tokens=False).ids for t in batch]
+
+
 def vectors(spark, rows):
     return spark.createDataFrame(rows, "vec_id long, embedding array<float>").selectExpr("*", "'clash' AS class", "'clash' AS vector", "1 AS cell")
 
