@@ -4,6 +4,7 @@ Packing, bit packing, the classifier and word pieces cannot be: they rest on a t
 trained model or an automaton. Tests hold them against brute force instead.
 """
 
+from pointmill.llm import fingerprints
 from pointmill.llm.license_join import PHRASES, TEMPLATES
 from pointmill.llm.secret_ledger import BASE, RULES
 
@@ -102,6 +103,61 @@ links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y
 SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, doc_id) AS component_id, coalesce(n_links, 0) AS n_links
 FROM words LEFT JOIN sizes USING (doc_id) LEFT JOIN roots ON roots.a = doc_id LEFT JOIN degrees ON degrees.a = doc_id"""
 
+_DIFFERENCE = f"list_sum(list_transform(list_zip({{0}}.codes, {{1}}.codes), lambda z: abs(z[1] - z[2]))) + {fingerprints.LENGTH_WEIGHT} * abs({{0}}.size - {{1}}.size)"
+_FIRST, _SECOND, _THIRD = fingerprints.MULTIPLIERS
+_QUARTER = fingerprints.BUCKETS // 4
+_FINGERPRINTS = rf"""WITH plain AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+following AS (SELECT *, coalesce(lead(doc_id) OVER (ORDER BY doc_id DESC), max(doc_id) OVER ()) AS next_id,
+  coalesce(lead(text) OVER (ORDER BY doc_id DESC), first_value(text) OVER (ORDER BY doc_id DESC ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS next_text, length(text) // 3 AS third FROM plain),
+edits AS (SELECT doc_id, text, next_id, left(text, length(text) - third) || left(next_text, third) AS edited FROM following),
+versions AS (SELECT doc_id, 0 AS v, text AS t FROM edits UNION ALL SELECT doc_id, 1, edited FROM edits),
+bytes AS (SELECT doc_id, v, list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda x: CAST('0x' || x AS BIGINT) + 1) AS b FROM versions),
+hashes AS (SELECT doc_id, v, unnest(list_transform(range(1, len(b) - 1), lambda i: ((b[i] * {_FIRST} + b[i + 1] * {_SECOND} + b[i + 2] * {_THIRD}) % 4294967296) >> {fingerprints.SHIFT})) AS bucket FROM bytes),
+counts AS (SELECT doc_id, v, bucket, count(*) AS n FROM hashes GROUP BY ALL),
+filled AS (SELECT doc_id, v, list(coalesce(n, 0) ORDER BY bucket) AS c FROM (SELECT doc_id, v, unnest(range({fingerprints.BUCKETS})) AS bucket FROM versions) LEFT JOIN counts USING (doc_id, v, bucket) GROUP BY doc_id, v),
+sorted AS (SELECT doc_id, v, c, list_sort(c) AS s FROM filled),
+coded AS (SELECT doc_id, v, list_transform(c, lambda x: CAST(x > s[{_QUARTER}] AS INT) + CAST(x > s[{2 * _QUARTER}] AS INT) + CAST(x > s[{3 * _QUARTER}] AS INT)) AS codes FROM sorted),
+prints AS (SELECT doc_id, v, codes, least(255, CAST(floor({fingerprints.LENGTH_STEPS} * log2(strlen(t) + 1)) AS INT)) AS size FROM coded JOIN versions USING (doc_id, v)),
+written AS (SELECT *, format('{{:02x}}', size) || list_aggregate(list_transform(range(0, {fingerprints.BUCKETS // 2}), lambda i: substr('0123456789abcdef', codes[2 * i + 1] * 4 + codes[2 * i + 2] + 1, 1)), 'string_agg', '') AS print FROM prints)
+SELECT e.doc_id, length(e.text) AS n_chars, sha256(edited) AS edited_sha256, a.print AS fingerprint, b.print AS edited_fingerprint,
+  CAST({fingerprints.BOUND} - least({fingerprints.BOUND}, {_DIFFERENCE.format("a", "b")}) AS DOUBLE) / {fingerprints.BOUND} AS near_edited,
+  CAST({fingerprints.BOUND} - least({fingerprints.BOUND}, {_DIFFERENCE.format("a", "c")}) AS DOUBLE) / {fingerprints.BOUND} AS near_next
+FROM edits e JOIN written a ON a.doc_id = e.doc_id AND a.v = 0 JOIN written b ON b.doc_id = e.doc_id AND b.v = 1 JOIN written c ON c.doc_id = next_id AND c.v = 0"""
+
+_SPELLING = rf"""WITH RECURSIVE runs AS (SELECT doc_id, unnest(regexp_extract_all({_LOWERED}, '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) AS run FROM documents),
+each AS MATERIALIZED (SELECT row_number() OVER () AS k, doc_id, run, n FROM (SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 6 GROUP BY doc_id, run)),
+messages AS MATERIALIZED (SELECT k, regexp_extract_all(hex(encode(doc_id || ':' || run)), '..') AS bytes FROM each),
+longest AS MATERIALIZED (SELECT max(len(bytes)) AS most FROM messages),
+crcs AS MATERIALIZED (SELECT byte, list_reduce(list_prepend(byte, range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS crc FROM range(256) r(byte)),
+shifted(zeros, byte, value) AS (SELECT 0, byte, crc FROM crcs
+  UNION ALL SELECT zeros + 1, shifted.byte, xor(crc, value >> 8) FROM shifted JOIN crcs ON crcs.byte = value & 255 WHERE zeros < (SELECT most FROM longest)),
+places AS (SELECT k, len(bytes) - i AS zeros, CASE WHEN i <= 4 THEN 255 - byte ELSE byte END AS byte
+  FROM (SELECT k, bytes, unnest(range(1, len(bytes) + 1)) AS i, CAST('0x' || unnest(bytes) AS BIGINT) AS byte FROM messages)),
+crc AS (SELECT k, xor(bit_xor(value), 4294967295) AS h FROM places JOIN shifted USING (zeros, byte) GROUP BY k),
+hashed AS (SELECT run, n, h FROM each JOIN crc USING (k)),
+changed AS (SELECT n, CASE WHEN h % 199 = 0 THEN left(run, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2) ELSE run END AS word FROM hashed),
+words AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM changed WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+holes AS (SELECT word, unnest(list_transform(range(1, length(word) + 1), lambda i: left(word, i - 1) || '_' || substr(word, i + 1))) AS hole FROM words),
+cuts AS (SELECT DISTINCT word, unnest(list_transform(range(1, length(word) + 1), lambda i: left(word, i - 1) || substr(word, i + 1))) AS cut FROM words),
+near AS (SELECT a.word, b.word AS other FROM holes a JOIN holes b ON a.hole = b.hole AND a.word <> b.word
+  UNION SELECT word, cut FROM cuts WHERE cut IN (SELECT word FROM words) UNION SELECT cut, word FROM cuts WHERE cut IN (SELECT word FROM words)),
+best AS (SELECT near.word, count(*) AS n_near, first(other ORDER BY words.n DESC, other) AS top, max(words.n) AS top_n FROM near JOIN words ON words.word = other GROUP BY near.word),
+formed AS MATERIALIZED (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN top_n >= 5 * n THEN top END AS form, CASE WHEN top_n >= 5 * n THEN top_n END AS form_n FROM words LEFT JOIN best USING (word)),
+chain(word, place, depth) AS (SELECT word, word, 0 FROM formed UNION ALL SELECT chain.word, form, depth + 1 FROM chain JOIN formed ON formed.word = place WHERE form IS NOT NULL),
+roots AS (SELECT word, arg_max(place, depth) AS root FROM chain GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN roots USING (word)"""
+
+_TERMS = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+_SEARCH = f"""WITH words AS (SELECT doc_id, {_TERMS} AS w FROM documents),
+item_terms AS (SELECT item_id, unnest(list_distinct({_TERMS})) AS term FROM benchmark),
+totals AS (SELECT count(*) FILTER (len(w) > 0) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM words),
+tf AS (SELECT doc_id, term, count(*) AS tf, any_value(n) AS n FROM (SELECT doc_id, len(w) AS n, unnest(w) AS term FROM words) WHERE term IN (SELECT term FROM item_terms) GROUP BY doc_id, term),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+weights AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w FROM df, totals),
+shares AS (SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms))) AS score FROM tf JOIN weights USING (term), totals),
+scores AS (SELECT item_id, doc_id, CAST(sum(score) AS BIGINT) AS score FROM item_terms JOIN shares USING (term) GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score FROM scores WHERE score > 0 QUALIFY rank <= 10"""
+
 ORACLES: dict[str, str] = {
     "op1_secret_ledger": _secrets(),
     "op3_metric_range_join": _VECTORS,
@@ -109,4 +165,7 @@ ORACLES: dict[str, str] = {
     "op5_arc_to_warc": _ARCHIVE,
     "op9_decontamination": _BENCHMARK,
     "op10_ngram_jaccard": _JACCARD,
+    "op11_fingerprints": _FINGERPRINTS,
+    "op12_spelling_variants": _SPELLING,
+    "op13_ranked_search": _SEARCH,
 }

@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pointmill.llm import arc, bitpack, decontaminate, license_join, metric_join, ngram_join, packing, quality, secret_ledger, token_counts
+from pointmill.llm import arc, bitpack, decontaminate, fingerprints, license_join, metric_join, ngram_join, packing, quality, ranked_search, secret_ledger, spelling, token_counts
 from pointmill.plans.views import table
 from pointmill.workspace import scratch_path
 
@@ -51,6 +51,18 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edit_report(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_ledger": op1_secret_ledger,
     "op2_packing": op2_packing,
@@ -62,4 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_scores": op8_quality_scores,
     "op9_decontamination": op9_decontamination,
     "op10_ngram_jaccard": op10_ngram_jaccard,
+    "op11_fingerprints": op11_fingerprints,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_ranked_search": op13_ranked_search,
 }
