@@ -4,17 +4,23 @@ A window over a whole series would put it into one task. Instead the time axis
 is cut into slices holding about _SLICE_ROWS rows each, windows run per (series,
 slice), and what must cross a slice border is carried by one summary row per
 slice. Slices follow the row count, so a task stays small when one series holds
-most of the data.
+most of the data. A slice that a burst fills beyond twice that number is cut
+again at quantiles of its times, and one instant at quantiles of the tie.
 """
 
 from collections.abc import Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pointmill.functions.columns import micros, packed
+from pointmill.workspace import written
 
 _SLICE_ROWS = 200_000
+#: Parts that an overfull slice is cut into at a time.
+_CUTS = 64
+_FIRST = -(2**63)
 
 
 def slice_seconds(df: DataFrame, ts: str) -> float:
@@ -32,27 +38,91 @@ def slice_seconds(df: DataFrame, ts: str) -> float:
     return max(typical * _SLICE_ROWS * 10 / n, 1.0) / 1e6
 
 
-def _slice(at: Column, seconds: float) -> Column:
-    """Number of the slice; rows without a time come first, as NULL sorts.
+@dataclass(frozen=True)
+class Slices:
+    """How series are cut: into slices of width microseconds, and further at the places each level lists.
 
-    Never NULL also for Spark: the joins on it then infer no NULL filter, which would
-    reach one side only and keep both sides from sharing a shuffle.
+    A level has a row (_series, _slice, cuts) for each slice of the level before it that is overfull.
     """
-    return F.coalesce(F.floor(at / F.lit(seconds * 1e6)), F.lit(-(2**63)))
+
+    width: int
+    levels: tuple[DataFrame, ...] = ()
+
+    def of(self, df: DataFrame, at: Column, tie: Column | None = None) -> DataFrame:
+        """df, which has _series, with _slice: the place (time, tie) its slice begins at, or the time only if nothing is cut further.
+
+        Rows without a time or a tie come first, as NULL sorts. _slice is never NULL also for Spark: the joins on it then
+        infer no NULL filter, which would reach one side only and keep both sides from sharing a shuffle.
+        """
+        start = F.coalesce(at - F.pmod(at, F.lit(self.width)), F.lit(_FIRST))
+        if not self.levels:
+            return df.withColumn("_slice", start)
+        place = F.struct(F.coalesce(at, F.lit(_FIRST)).alias("at"), F.coalesce(tie if tie is not None else F.lit(None), F.lit(_FIRST)).cast("long").alias("tie"))
+        first = F.struct(start.alias("at"), F.lit(_FIRST).alias("tie"))
+        df = df.withColumns({"_slice": first, "_place_in": place})
+        for level in self.levels:
+            passed = F.array_max(F.filter("_cuts", lambda cut: cut <= F.col("_place_in")))
+            df = df.join(level, ["_series", "_slice"], "left").withColumn("_slice", F.coalesce(passed, "_slice")).drop("_cuts")
+        return df.drop("_place_in")
+
+
+def plan_slices(df: DataFrame, keys: Sequence[str], ts: str, tie: str | None = None, seconds: float | None = None, back: float = 0) -> Slices:
+    """Slices of at most about twice _SLICE_ROWS rows, for all series of df.
+
+    tie, a whole number, orders the rows of one instant; rows that it does not tell apart stay together. With back, a window's
+    length in seconds, every row counts at its own place and at the place the window before it starts. Costs a counting pass, and
+    one pass over the rows of overfull slices for each time these have to be cut by a factor of 64.
+    """
+    slices = Slices(max(1, int((seconds or slice_seconds(df, ts)) * 1e6)))
+    at = micros(F.col(ts))
+    order = F.col(tie).cast("long") if tie else F.lit(None).cast("long")
+    place = lambda at: F.struct(at.alias("_at"), order.alias("_tie"))
+    places = F.array(place(at), place(at - F.lit(int(back * 1e6)))) if back else F.array(place(at))
+    rows = df.select(F.struct(*keys).alias("_series"), F.inline(places))
+    known_at, known_tie = (F.coalesce(c, F.lit(_FIRST)) for c in ("_at", "_tie"))
+    while True:
+        sliced = slices.of(rows, F.col("_at"), F.col("_tie"))
+        sizes = sliced.groupBy("_series", "_slice").agg(
+            F.count("*").alias("n"),
+            F.min(known_at).alias("min_at"),
+            F.max(known_at).alias("max_at"),
+            F.min(known_tie).alias("min_tie"),
+            F.max(known_tie).alias("max_tie"),
+        )
+        one_instant = F.col("min_at") == F.col("max_at")
+        overfull = (F.col("n") > 2 * _SLICE_ROWS) & ~(one_instant & (F.col("min_tie") == F.col("max_tie")))
+        if not slices.levels:
+            sizes = sizes.withColumn("_slice", F.struct(F.col("_slice").alias("at"), F.lit(_FIRST).alias("tie")))
+            sliced = sliced.withColumn("_slice", F.struct(F.col("_slice").alias("at"), F.lit(_FIRST).alias("tie")))
+        heavy = written(sizes.where(overfull).select("_series", "_slice", one_instant.alias("instant")), "overfull_slices")
+        if heavy.isEmpty():
+            return slices
+        by = F.when(F.col("instant"), known_tie).otherwise(known_at)
+        quantiles = F.percentile_approx(by, [k / _CUTS for k in range(1, _CUTS)])
+        cut = sliced.join(heavy, ["_series", "_slice"]).groupBy("_series", "_slice", "instant").agg(F.min(known_at).alias("_at"), quantiles.alias("q"))
+        # A value that holds many rows is cut off on both sides.
+        marks = F.array_union("q", F.transform("q", lambda v: F.least(v, F.lit(2**63 - 2)) + 1))
+        cuts = F.transform(
+            marks,
+            lambda v: F.when(F.col("instant"), F.struct(F.col("_at").alias("at"), v.alias("tie"))).otherwise(
+                F.struct(v.alias("at"), F.lit(_FIRST).alias("tie"))
+            ),
+        )
+        level = written(cut.select("_series", "_slice", cuts.alias("_cuts")), "slice_cuts")
+        slices = replace(slices, levels=(*slices.levels, level))
 
 
 def running_total(
-    df: DataFrame, keys: Sequence[str], ts: str, tie: str, value: str, out: str, seconds: float | None = None
+    df: DataFrame, keys: Sequence[str], ts: str, tie: str, value: str, out: str, slices: float | Slices | None = None
 ) -> DataFrame:
-    """Add the sum of value over the rows of the same series up to and with this one, ordered by (ts, tie)."""
-    width = seconds or slice_seconds(df, ts)
-    sliced = df.withColumns(
-        {
-            # As a struct, a series with a NULL in its keys equals itself in the join below.
-            "_series": F.struct(*keys),
-            "_slice": _slice(micros(F.col(ts)), width),
-        }
-    )
+    """Add the sum of value over the rows of the same series up to and with this one, ordered by (ts, tie); tie is a whole number.
+
+    slices: as planned by plan_slices for these keys, or the width in seconds to plan them with.
+    """
+    if not isinstance(slices, Slices):
+        slices = plan_slices(df, keys, ts, tie, slices)
+    # As a struct, a series with a NULL in its keys equals itself in the join below.
+    sliced = slices.of(df.withColumn("_series", F.struct(*keys)), micros(F.col(ts)), F.col(tie))
     in_slice = Window.partitionBy("_series", "_slice").orderBy(ts, tie)
     earlier = Window.partitionBy("_series").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
@@ -105,7 +175,7 @@ def _reset_corrected(samples: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _with_window_start(
-    samples: DataFrame, steady: DataFrame, slices: DataFrame, window_seconds: float, width: float
+    samples: DataFrame, steady: DataFrame, borders: DataFrame, window_seconds: float, slices: Slices
 ) -> DataFrame:
     """Add `first`, the time and steady value of the first sample in the window that ends at each sample.
 
@@ -121,9 +191,8 @@ def _with_window_start(
         return F.struct(place.alias("_place"), F.lit(is_sample).alias("_is_sample"), *fields)
 
     start = F.col("_at") - F.lit(int(window_seconds * 1e6))
-    placed = steady.select(
-        "_series", F.inline(F.array(row(F.col("_at"), True), row(start, False)))
-    ).withColumn("_slice", _slice(F.col("_place"), width))
+    placed = steady.select("_series", F.inline(F.array(row(F.col("_at"), True), row(start, False))))
+    placed = slices.of(placed, F.col("_place"))
 
     # At the same place the sample comes first: the window includes its start.
     latest_first = Window.partitionBy("_series", "_slice").orderBy(F.desc("_place"), F.desc("_is_sample"))
@@ -131,8 +200,8 @@ def _with_window_start(
 
     # For each slice that holds a probe, the first sample of the next slice that has one:
     # looked up among slice rows, however many slices a window spans.
-    firsts = slices.select("_series", "_slice", F.struct("_at", "steady").alias("_first"))
-    probed = samples.select("_series", _slice(start, width).alias("_slice")).distinct()
+    firsts = borders.select("_series", "_slice", F.struct("_at", "steady").alias("_first"))
+    probed = slices.of(samples.select("_series", start.alias("_place")), F.col("_place")).select("_series", "_slice").distinct()
     later_first = Window.partitionBy("_series").orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
     following = (
         probed.join(firsts, ["_series", "_slice"], "full")
@@ -154,7 +223,7 @@ def counter_rate(
     value: str,
     window_seconds: float,
     tie: str | None = None,
-    seconds: float | None = None,
+    slices: float | Slices | None = None,
 ) -> DataFrame:
     """Rate per second of a counter at each sample, over the window that ends there.
 
@@ -164,19 +233,21 @@ def counter_rate(
     reset, after which the counter started from 0. A window with one sample has
     rate NULL. Samples of one series at the same instant count once: the one
     with the highest tie, a whole number, else the highest value. Samples
-    without a time or a value are no samples.
+    without a time or a value are no samples. slices: as planned by plan_slices
+    for these keys and window, or the width in seconds to plan them with.
     """
-    width = seconds or slice_seconds(df, ts)
+    if not isinstance(slices, Slices):
+        slices = plan_slices(df.where(F.col(ts).isNotNull()), keys, ts, seconds=slices, back=window_seconds)
     order = F.coalesce(F.col(tie), F.lit(-(2**63))) if tie else F.col(value)
     samples = (
         df.where(F.col(ts).isNotNull() & F.col(value).isNotNull())
         .groupBy(F.struct(*keys).alias("_series"), micros(F.col(ts)).alias("_at"))
         .agg(F.max_by(value, order).alias("value"))
-        .withColumn("_slice", _slice(F.col("_at"), width))
     )
+    samples = slices.of(samples, F.col("_at"))
     increase = F.col("steady") - F.col("first")["steady"]
     elapsed = (F.col("_at") - F.col("first")["_at"]) / F.lit(1e6)
-    return _with_window_start(samples, *_reset_corrected(samples), window_seconds, width).select(
+    return _with_window_start(samples, *_reset_corrected(samples), window_seconds, slices).select(
         *[F.col("_series")[k].alias(k) for k in keys],
         F.timestamp_micros("_at").alias(ts),
         F.col("value").alias(value),
@@ -200,13 +271,16 @@ def cpu_usage(
     idle: str = "idle",
     cpu: Sequence[str] = (),
     tie: str | None = None,
-    seconds: float | None = None,
+    slices: float | Slices | None = None,
 ) -> DataFrame:
-    """Busy share of each instance in percent: 100 - 100 * mean idle rate of its series, at their latest samples."""
-    keys = ["instance", *cpu]
+    """Busy share of each instance in percent: 100 - 100 * mean idle rate of its series, at their latest samples.
+
+    Series are those of (instance, mode, *cpu); slices as for counter_rate.
+    """
+    keys = ["instance", "mode", *cpu]
     recent = _recent(df.where(F.col("mode") == idle), keys, ts, window_seconds)
     return (
-        counter_rate(recent, keys, ts, value, window_seconds, tie, seconds)
+        counter_rate(recent, keys, ts, value, window_seconds, tie, slices)
         .groupBy(*keys)
         .agg(F.max_by("rate", ts).alias("rate"))
         .groupBy("instance")

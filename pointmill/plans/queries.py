@@ -339,16 +339,16 @@ def version_compare(spark, sf_dir):
 # Metrics
 
 def counter_rate(spark, sf_dir):
-    samples, width = views.metrics(spark, sf_dir)
+    samples, slices = views.metrics(spark, sf_dir, RATE_WINDOW_SECONDS)
     return series.counter_rate(
-        samples, ["instance", "mode"], "sample_ts", "counter", RATE_WINDOW_SECONDS, "event_id", width
+        samples, ["instance", "mode"], "sample_ts", "counter", RATE_WINDOW_SECONDS, "event_id", slices
     ).select("instance", "mode", F.col("sample_ts").cast("timestamp_ntz").alias("sample_ts"), "counter", "rate")
 
 
 def cpu_usage(spark, sf_dir):
-    samples, width = views.metrics(spark, sf_dir)
+    samples, slices = views.metrics(spark, sf_dir, RATE_WINDOW_SECONDS)
     usage = series.cpu_usage(
-        samples, "sample_ts", "counter", RATE_WINDOW_SECONDS, idle="view", tie="event_id", seconds=width
+        samples, "sample_ts", "counter", RATE_WINDOW_SECONDS, idle="view", tie="event_id", slices=slices
     )
     return usage.select("instance", F.round("cpu_usage", 6).alias("cpu_usage"))
 

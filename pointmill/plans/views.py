@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pointmill.operators.points import clean
-from pointmill.operators.series import running_total, slice_seconds
+from pointmill.operators.series import Slices, plan_slices, running_total
 from pointmill.operators.voxels import voxel_features, voxelize
 from pointmill.workspace import file_system
 
@@ -84,10 +84,9 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def metrics(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, float]:
-    """Samples of one gauge and one wrapping counter per (instance, mode), and the slice width to process them with."""
+def metrics(spark: SparkSession, sf_dir: str, window_seconds: float) -> tuple[DataFrame, Slices]:
+    """Samples of one gauge and one wrapping counter per (instance, mode), and the slices to process them with."""
     events = table(spark, sf_dir, "events")
-    width = slice_seconds(events, "ts")
     samples = events.selectExpr(
         "CAST(user_id % 4 AS INT) AS instance",
         "event_type AS mode",
@@ -96,8 +95,9 @@ def metrics(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, float]:
         "CAST(round(value * 100) AS BIGINT) AS step",
         "value AS gauge",
     )
-    total = running_total(samples, ["instance", "mode"], "sample_ts", "event_id", "step", "total", width)
-    return total.withColumn("counter", F.col("total") % 500000).drop("step", "total"), width
+    slices = plan_slices(samples, ["instance", "mode"], "sample_ts", "event_id", back=window_seconds)
+    total = running_total(samples, ["instance", "mode"], "sample_ts", "event_id", "step", "total", slices)
+    return total.withColumn("counter", F.col("total") % 500000).drop("step", "total"), slices
 
 
 _FILE_DTYPE = np.dtype(

@@ -5,7 +5,7 @@ import tempfile
 from uuid import uuid4
 
 from pyarrow import fs as pafs
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def qualified(spark: SparkSession, path: str) -> str:
@@ -38,3 +38,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="pointmill-")
     return qualified(spark, f"{root.rstrip('/')}/pointmill/{name}-{uuid4().hex}")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df written once to the shared scratch folder and read back: its size is known, and a lost executor does not lose it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

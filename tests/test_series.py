@@ -135,3 +135,74 @@ def test_latest_breaks_ties_by_id(spark):
     assert rows(latest, "instance", "value") == [(1, 20), (2, 40)]
     plan = latest._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan
+
+
+def burst_data(n=1200, seed=2):
+    """Half of all rows of one series in one second, a quarter at one instant, some without a time, others spread out."""
+    pick = random.Random(seed)
+    data, total = [], 0
+    for i in range(n):
+        total = 0 if pick.random() < 0.02 else total + pick.randrange(9)
+        if i % 12 == 11:
+            at = None
+        else:
+            at = [86_400.25, 86_400 + pick.randrange(10**6) / 1e6, i * 150.0, 90_000.5][i % 4]
+        data.append((0 if i % 10 else 1, "idle", at, i, total))
+    return data
+
+
+def burst_samples(spark, data):
+    return samples(spark, data).withColumn("n", F.lit(1))
+
+
+@pytest.mark.parametrize("target", [20, 1])
+def test_a_burst_is_cut_into_small_windows(spark, monkeypatch, target):
+    monkeypatch.setattr(series, "_SLICE_ROWS", target)
+    df = burst_samples(spark, burst_data())
+    slices = series.plan_slices(df, KEYS, "ts", "id", back=400)
+    assert slices.levels
+    at = series.micros(F.col("ts"))
+    for place in (at, at - 400_000_000):
+        sliced = slices.of(df.withColumn("_series", F.struct(*KEYS)), place, F.col("id"))
+        most = sliced.groupBy("_series", "_slice").count().agg(F.max("count")).first()[0]
+        assert most <= 2 * target
+        assert sliced.count() == df.count()
+        # Slices follow each other: none begins before all of the one before it has ended.
+        ends = [(r.s, r.low, r.high) for r in sliced.groupBy("_series", "_slice").agg(F.min(F.struct(place.alias("a"), "id")).alias("low"), F.max(F.struct(place.alias("a"), "id")).alias("high")).selectExpr("struct(_series, _slice) AS s", "low", "high").collect()]
+        keyed = lambda r: (str(r[0][0]), *r[0][1])
+        known = [(r[0][0], r[1], r[2]) for r in sorted(ends, key=keyed)]
+        none_first = lambda p: tuple((v is not None, v or 0) for v in p)
+        assert all(a[0] != b[0] or none_first(a[2]) < none_first(b[1]) for a, b in zip(known, known[1:]))
+
+
+@pytest.mark.parametrize("width", [None, 1000.0, 1e7])
+def test_running_total_over_a_burst(spark, monkeypatch, width):
+    monkeypatch.setattr(series, "_SLICE_ROWS", 15)
+    data = burst_data()
+    got = series.running_total(burst_samples(spark, data), KEYS, "ts", "id", "value", "total", width)
+    total, want = {}, {}
+    for i, m, s, n, v in sorted(data, key=lambda r: (r[2] is not None, r[2] or 0, r[3])):
+        total[i, m] = total.get((i, m), 0) + v
+        want[n] = total[i, m]
+    assert {r.id: r.total for r in got.collect()} == want
+
+
+@pytest.mark.parametrize("window", [0.5, 400, 100_000])
+def test_rate_over_a_burst(spark, monkeypatch, window):
+    monkeypatch.setattr(series, "_SLICE_ROWS", 15)
+    data = burst_data()
+    got = series.counter_rate(burst_samples(spark, data), KEYS, "ts", "value", window, "id")
+    key = lambda r: (str(r[0]), r[1], r[2])
+    got, want = sorted(map(tuple, got.collect()), key=key), sorted(brute_rate([r for r in data if r[2] is not None], window), key=key)
+    assert [r[:4] for r in got] == [r[:4] for r in want]
+    for a, b in zip(got, want, strict=True):
+        assert (a[4] is None and b[4] is None) or a[4] == pytest.approx(b[4], rel=1e-6), (a, b)
+
+
+def test_rows_at_one_place_stay_together(spark, monkeypatch):
+    monkeypatch.setattr(series, "_SLICE_ROWS", 5)
+    df = samples(spark, [(1, "a", 10, None, 1)] * 60 + [(1, "a", 10, 7, 2)] * 60 + [(1, "a", k, k, 1) for k in range(30)])
+    got = series.running_total(df, KEYS, "ts", "id", "value", "total")
+    last = got.groupBy("ts", "id").agg(F.max("total").alias("total")).orderBy("ts", "id").collect()
+    assert [r.total for r in last if r.ts == START + timedelta(seconds=10)] == [70, 190, 191]
+    assert series.plan_slices(df.limit(0), KEYS, "ts", "id").levels == ()
