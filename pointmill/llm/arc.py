@@ -20,8 +20,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from pointmill.llm.common import saved
+from pointmill.llm.common import parallelism, saved
 from pointmill.workspace import file_system, qualified, scratch_path
 
 # The fields of a header line by version of the format, and the media type of its records.
@@ -38,6 +39,7 @@ _SAFE = "!#$%&'()*+,/:;=?@[]~-._"
 #: Compressed bytes and records after which a task begins another file.
 FILE_BYTES = 1 << 24
 FILE_RECORDS = 10_000
+_PIECE = 1 << 14
 
 
 def digest(payload: bytes) -> str:
@@ -71,21 +73,23 @@ class _File:
 
 
 def _members(uri: str) -> Iterator[tuple[int, bytes]]:
-    """(offset, content) of each member of a compressed file; a plain file is one."""
+    """(offset, content) of each member of a compressed file; a plain file is one. Bytes past a member's end are copied in small pieces only."""
     files, path = file_system(uri)
-    with files.open_input_stream(path, compression=None) as file:
-        data = file.read()
-    if data[:2] != b"\x1f\x8b":
-        yield 0, data
-        return
-    at = 0
-    while at < len(data):
-        unpacker = zlib.decompressobj(31)
-        content = unpacker.decompress(memoryview(data)[at:]) + unpacker.flush()
-        if not unpacker.eof:
-            raise ValueError(f"{uri}: the record at {at} is cut off")
-        yield at, content
-        at = len(data) - len(unpacker.unused_data)
+    with files.open_input_stream(path, compression=None, buffer_size=1 << 20) as file:
+        piece, at = file.read(_PIECE), 0
+        if piece[:2] != b"\x1f\x8b":
+            yield 0, piece + file.read()
+            return
+        while piece:
+            unpacker, content, end = zlib.decompressobj(31), [], at
+            while piece and not unpacker.eof:
+                content.append(unpacker.decompress(piece))
+                end += len(piece) - len(unpacker.unused_data)
+                piece = unpacker.unused_data or file.read(_PIECE)
+            if not unpacker.eof:
+                raise ValueError(f"{uri}: the record at {at} is cut off")
+            yield at, b"".join(content)
+            at = end
 
 
 def _line(data: bytes, at: int) -> tuple[bytes, int]:
@@ -178,8 +182,13 @@ def read_arc(uri: str) -> Iterator[ArcRecord]:
 
 
 def _spread(files: DataFrame) -> DataFrame:
-    """The files over as many partitions: a row is small but stands for a file, so Spark must not merge them by size."""
-    return files.select("file").repartition(max(1, files.count()), "file")
+    """The files dealt out evenly: a row is small but stands for a file, so Spark must neither merge rows by size nor hash them together."""
+    spark = files.sparkSession
+    several = 4 * max(parallelism(spark), spark.sparkContext.defaultParallelism)
+    # One small row for each file.
+    numbered = files.withColumn("_number", F.row_number().over(Window.orderBy("file")) - 1)
+    tasks = max(1, min(several, files.count()))
+    return numbered.repartitionById(tasks, F.pmod("_number", F.lit(tasks)).cast("int")).drop("_number")
 
 
 def _catalogue(files: DataFrame) -> DataFrame:
@@ -193,7 +202,7 @@ def _catalogue(files: DataFrame) -> DataFrame:
                     kinds = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64())
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["file", "number", "page_id", "digest", "length"])
 
-    return saved(_spread(files).mapInArrow(read, "file string, number long, page_id long, digest string, length long"), "arc_catalogue")
+    return saved(_spread(files.select("file")).mapInArrow(read, "file string, number long, page_id long, digest string, length long"), "arc_catalogue")
 
 
 # WARC
@@ -227,36 +236,38 @@ def convert(files: DataFrame, path: str, least_revisit: int = 0) -> DataFrame:
     revisits = records.where(F.col("length") >= least_revisit).join(again, "digest").where(other)
     revisits = saved(revisits.select("file", "number", "first_file", "first_number"), "revisits")
 
-    def write(arc: pa.Table, seen: pa.Table) -> pa.Table:
-        places = zip(seen.column("first_file").to_pylist(), seen.column("first_number").to_pylist(), strict=True)
-        to = dict(zip(seen.column("number").to_pylist(), places, strict=True))
-        out = []
-        for uri in arc.column("file").to_pylist():
-            file = _File(folder, uri.rpartition("/")[2].removesuffix(".gz").removesuffix(".arc") + ".warc.gz")
-            info = b"software: pointmill\r\nformat: WARC File Format 1.1\r\n"
-            file.add(_warc_record("warcinfo", {"WARC-Record-ID": record_id(uri, -1), "WARC-Date": _iso(_FIRST_DATE.strftime("%Y%m%d")), "Content-Type": "application/warc-fields"}, info))
-            for r in read_arc(uri):
-                lines = {
-                    "WARC-Record-ID": record_id(uri, r.number),
-                    "WARC-Date": _iso(r.fields["date"]),
-                    "WARC-Target-URI": r.fields["url"],
-                    "WARC-IP-Address": r.fields["ip"],
-                    "WARC-Payload-Digest": f"sha1:{digest(r.payload)}",
-                }
-                kind = "application/http; msgtype=response" if r.head else r.fields["type"]
-                if r.number in to:
-                    lines |= {"WARC-Refers-To": record_id(*to[r.number]), "WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"}
-                    file.add(_warc_record("revisit", lines | {"Content-Type": kind}, r.head))
-                else:
-                    block = r.head + r.payload
-                    lines |= {"WARC-Block-Digest": f"sha1:{digest(block)}", "Content-Type": kind}
-                    file.add(_warc_record("response" if r.head else "resource", lines, block))
-            file.write()
-            out.append((file.uri, len(file.members) - 1))
-        return pa.table({"file": pa.array([x for x, _ in out], pa.string()), "records": pa.array([n for _, n in out], pa.int64())})
-
-    groups = _spread(files).groupBy("file").cogroup(revisits.groupBy("file"))
-    return saved(groups.applyInArrow(write, "file string, records long"), "warc_manifest")
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for uri, again in zip(*(batch.column(c).to_pylist() for c in ("file", "again")), strict=True):
+                yield one(uri, {r["number"]: (r["first_file"], r["first_number"]) for r in again or ()})
+
+    def one(uri: str, to: dict[int, tuple[str, int]]) -> pa.RecordBatch:
+        file = _File(folder, uri.rpartition("/")[2].removesuffix(".gz").removesuffix(".arc") + ".warc.gz")
+        info = b"software: pointmill\r\nformat: WARC File Format 1.1\r\n"
+        file.add(_warc_record("warcinfo", {"WARC-Record-ID": record_id(uri, -1), "WARC-Date": _iso(_FIRST_DATE.strftime("%Y%m%d")), "Content-Type": "application/warc-fields"}, info))
+        for r in read_arc(uri):
+            lines = {
+                "WARC-Record-ID": record_id(uri, r.number),
+                "WARC-Date": _iso(r.fields["date"]),
+                "WARC-Target-URI": r.fields["url"],
+                "WARC-IP-Address": r.fields["ip"],
+                "WARC-Payload-Digest": f"sha1:{digest(r.payload)}",
+            }
+            kind = "application/http; msgtype=response" if r.head else r.fields["type"]
+            if r.number in to:
+                lines |= {"WARC-Refers-To": record_id(*to[r.number]), "WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"}
+                file.add(_warc_record("revisit", lines | {"Content-Type": kind}, r.head))
+            else:
+                block = r.head + r.payload
+                lines |= {"WARC-Block-Digest": f"sha1:{digest(block)}", "Content-Type": kind}
+                file.add(_warc_record("response" if r.head else "resource", lines, block))
+        file.write()
+        return pa.RecordBatch.from_pydict({"file": [file.uri], "records": pa.array([len(file.members) - 1], pa.int64())})
+
+    # Of one file, so FILE_RECORDS at most.
+    again = revisits.groupBy("file").agg(F.collect_list(F.struct("number", "first_file", "first_number")).alias("again"))
+    listed = _spread(files.select("file").join(again, "file", "left"))
+    return saved(listed.mapInArrow(write, "file string, records long"), "warc_manifest")
 
 
 def read_warc(files: DataFrame) -> DataFrame:
@@ -290,7 +301,7 @@ def read_warc(files: DataFrame) -> DataFrame:
 
     names = ["page_id", "payload_bytes", "payload_digest", "record_type", "record_id", "refers_to_record", "url", "date"]
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, record_id string, refers_to_record string, url string, date string"
-    return saved(_spread(files).mapInArrow(read, schema), "warc_records")
+    return saved(_spread(files.select("file")).mapInArrow(read, schema), "warc_records")
 
 
 def round_trip(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html", least_revisit: int = 0) -> DataFrame:

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import json
+import time
 
 import numpy as np
 import public_tokenizers
@@ -250,6 +251,25 @@ def test_archive(spark):
     assert {r.payload_digest for r in apart if r.page_id == 2} == {base64.b32encode(hashlib.sha1(b"").digest()).decode()}
 
 
+def test_a_file_of_many_records_is_read_in_time(tmp_path):
+    file = arc._File(f"file://{tmp_path}", "many.arc.gz")
+    body = f"1 0 x\n{arc.ARC_FIELD_NAMES['1']}\n"
+    file.add(f"filedesc://x 0.0.0.0 19990101000000 text/plain {len(body)}\n{body}\n".encode())
+    random = np.random.default_rng(4)
+    payloads = [random.bytes(int(n)) for n in [*random.integers(0, 900, 10_000), 70_000, 16_384]]
+    for payload in payloads:
+        file.add(b"http://a/ 1.2.3.4 19970203040506 text/html %d\n" % len(payload) + payload + b"\n")
+    whole = b"".join(file.members)
+    (tmp_path / "many.arc.gz").write_bytes(whole)
+    began = time.time()
+    assert [r.payload for r in arc.read_arc(file.uri)] == payloads
+    assert time.time() - began < 3
+    assert [at for at, _ in arc._members(file.uri)] == np.cumsum([0, *map(len, file.members[:-1])]).tolist()
+    (tmp_path / "many.arc.gz").write_bytes(whole[:-5])
+    with pytest.raises(ValueError, match="cut off"):
+        list(arc.read_arc(file.uri))
+
+
 def test_arc_versions(tmp_path):
     head = "filedesc://x 0.0.0.0 19990101000000 text/plain {more}{size}\n{body}\n"
     for version, more, line in (("1", "", "http://a/ 1.2.3.4 19970203040506 text/html 5"), ("2", "200 - - 0 x ", "http://a/ 1.2.3.4 19970203040506 text/html 200 - - 9 x 5")):
