@@ -26,7 +26,7 @@ def _secrets() -> str:
     for number, rule in enumerate(RULES):
         pattern = _quoted(rule.pattern)
         kinds.append(f"""SELECT doc_id, {number} AS k, {_quoted(rule.kind)} AS kind, pos,
-  length(gaps[pos]) AS gap, length(found[pos]) AS size, length(least_of[pos]) >= {rule.least} AS counts
+  length(gaps[pos]) AS gap, length(found[pos]) AS size, length(least_of[pos]) >= {rule.least}{f" AND regexp_matches(found[pos], {_quoted(rule.shape)})" if rule.shape else ""} AS counts
 FROM (SELECT doc_id, gaps, found, least_of, unnest(range(1, len(found) + 1)) AS pos FROM (SELECT doc_id,
   string_split_regex(coalesce(text, ''), {pattern}) AS gaps,
   regexp_extract_all(coalesce(text, ''), {pattern}) AS found,

@@ -18,7 +18,11 @@ from pointmill.llm.common import saved
 
 @dataclass(frozen=True)
 class Rule:
-    """A match counts if group has least characters at least. hints: some of them stands in the lower-cased text of any match."""
+    """A match counts if group has least characters at least and the whole match begins with shape. hints: some of them stands in the lower-cased text of any match.
+
+    A pattern should take a run it has begun to the run's end, and leave what the run must hold to shape: one that gives up at
+    the end of a long run starts again at every later place.
+    """
 
     kind: str
     pattern: str
@@ -26,6 +30,7 @@ class Rule:
     least: int = 0
     hints: tuple[str, ...] = ()
     version: int = 1
+    shape: str = ""
 
 
 # The kinds, in the order that breaks ties, and their patterns.
@@ -42,10 +47,12 @@ BASE = (
 )
 MORE = (
     Rule("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", hints=("private key-----",)),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", hints=("eyj",)),
+    Rule("jwt", r"eyJ[A-Za-z0-9_.-]+", hints=("eyj",), version=2, shape=r"^eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
 )
 RULES = BASE + MORE
 
+#: New blobs up to which the texts are not shuffled to them: their list is left to Spark to broadcast.
+_FEW_BLOBS = 50_000
 _LEDGER = "blob string, kind string, version int, spans array<struct<start: long, end: long>>"
 
 
@@ -59,7 +66,8 @@ def _matches(rule: Rule, text: Column, small: Column) -> Column:
     found = F.regexp_extract_all(text, pattern, F.lit(0))
     groups = F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else found
     gaps = F.split(text, rule.pattern, -1)
-    lengths = F.zip_with(found, groups, lambda m, g: F.struct(F.length(m).alias("size"), (F.length(g) >= rule.least).alias("counts")))
+    shaped = (lambda m: m.rlike(rule.shape)) if rule.shape else (lambda m: F.lit(True))
+    lengths = F.zip_with(found, groups, lambda m, g: F.struct(F.length(m).alias("size"), ((F.length(g) >= rule.least) & shaped(m)).alias("counts")))
     each = F.zip_with(
         F.slice(gaps, F.lit(1), F.size(found)),
         lengths,
@@ -117,9 +125,13 @@ def update_ledger(docs: DataFrame, ledger: str, id_column: str = "doc_id", text_
     wanted = F.array(*[F.lit(_key(r)) for r in rules])
     seen = read_ledger(spark, ledger).groupBy("blob").agg(F.collect_set(F.concat_ws(":", "kind", F.col("version").cast("string"))).alias("seen"))
     todo = rows.groupBy("blob").agg(F.min("id").alias("id")).join(seen, "blob", "left")
-    todo = todo.select("blob", "id", F.array_except(wanted, F.coalesce("seen", F.array().cast("array<string>"))).alias("todo")).where("size(todo) > 0")
-    there = texts.alias("t").join(todo.alias("b").hint("shuffle_hash"), F.expr("t.blob = b.blob AND t.id <=> b.id"))
-    _scan(there.select("t.blob", "t.text", "b.todo"), rules).write.mode("append").option("compression", "zstd").parquet(ledger)
+    # Written, so that its size is known before the texts are joined with it.
+    todo = saved(todo.select("blob", "id", F.array_except(wanted, F.coalesce("seen", F.array().cast("array<string>"))).alias("todo")).where("size(todo) > 0"), "unseen")
+    unseen = todo.count()
+    if unseen:
+        listed = todo.alias("b") if unseen <= _FEW_BLOBS else todo.alias("b").hint("shuffle_hash")
+        there = texts.alias("t").join(listed, F.expr("t.blob = b.blob AND t.id <=> b.id"))
+        _scan(there.select("t.blob", "t.text", "b.todo"), rules).write.mode("append").option("compression", "zstd").parquet(ledger)
     return rows
 
 
@@ -166,15 +178,17 @@ def redact(docs: DataFrame, ledger: str, id_column: str = "doc_id", text_column:
     held = docs.select(F.struct("*").alias("_doc"), F.sha2(F.coalesce(F.col(text_column), F.lit("")), 256).alias("_blob"))
     found = blob_spans(docs.sparkSession, ledger, rules).select(F.col("blob").alias("_found"), F.col("spans").alias("_spans"))
     text = F.col(f"_doc.{text_column}")
+    # A span that begins before an earlier one has ended belongs to that one's mask.
+    each = found.select("_found", F.inline("_spans"))
+    before = F.max("end").over(Window.partitionBy("_found").orderBy("start", "k").rowsBetween(Window.unboundedPreceding, -1))
+    each = each.withColumn("past", F.coalesce(before, F.lit(0).cast("long")))
+    fresh = F.when(F.col("start") >= F.col("past"), F.struct("start", "past", "kind"))
+    found = each.groupBy("_found").agg(F.array_sort(F.collect_list(fresh)).alias("_spans"), F.max("end").alias("_end"))
 
-    def step(done: Column, s: Column) -> Column:
-        mask = F.concat(F.substring(text, (done["end"] + 1).cast("int"), (s["start"] - done["end"]).cast("int")), F.lit("["), s["kind"], F.lit("]"))
-        fresh = F.struct(s["end"].alias("end"), F.concat(done["out"], mask).alias("out"))
-        longer = F.struct(F.greatest(s["end"], done["end"]).alias("end"), done["out"].alias("out"))
-        return F.when(s["start"] >= done["end"], fresh).otherwise(longer)
+    def piece(s: Column) -> Column:
+        return F.concat(F.substring(text, (s["past"] + 1).cast("int"), (s["start"] - s["past"]).cast("int")), F.lit("["), s["kind"], F.lit("]"))
 
-    start = F.struct(F.lit(0).cast("long").alias("end"), F.lit("").alias("out"))
-    masked = F.aggregate("_spans", start, step, lambda done: F.concat(done["out"], F.substring(text, (done["end"] + 1).cast("int"), F.length(text))))
+    masked = F.concat(F.array_join(F.transform("_spans", piece), ""), F.substring(text, (F.col("_end") + 1).cast("int"), F.length(text)))
     joined = held.join(found.hint("shuffle_hash"), F.col("_blob") == F.col("_found"), "left")
     new = F.col("_doc").withField(text_column, F.when(F.col("_spans").isNull(), text).otherwise(masked))
     return joined.select(new.alias("_doc")).select("_doc.*")

@@ -94,11 +94,40 @@ def test_ledger_scans_only_what_is_new(spark, docs):
     more = docs.limit(0).unionByName(spark.createDataFrame([(20, "new secret=abcdef1")], "doc_id long, text string"), allowMissingColumns=True)
     secret_ledger.update_ledger(docs.unionByName(more), ledger)
     assert secret_ledger.read_ledger(spark, ledger).count() == (len(blobs) + 1) * len(secret_ledger.RULES)
-    newer = (*secret_ledger.RULES[:-1], secret_ledger.Rule("jwt", "eyJ[a-z]+", version=2))
+    newer = (*secret_ledger.RULES[:-1], secret_ledger.Rule("jwt", "eyJ[a-z]+", version=3))
     secret_ledger.update_ledger(docs.unionByName(more), ledger, rules=newer)
     rows = secret_ledger.read_ledger(spark, ledger)
     assert rows.count() == (len(blobs) + 1) * (len(newer) + 1)
-    assert rows.where("kind = 'jwt' AND version = 2").count() == len(blobs) + 1
+    assert rows.where("kind = 'jwt' AND version = 3").count() == len(blobs) + 1
+
+
+def test_long_runs_are_read_once(spark):
+    part, run = "abcdefgh", "eyJ" * 1_700_000
+    rows = [(1, run), (2, f"{run}.{part}.{part}"), (3, f"eyJ{part}.{part}.{part}. eyJ{part}.{part}"), (4, "AKIA" * 1_000_000), (5, "password" + " " * 3_000_000), (6, "-----BEGIN " * 300_000)]
+    began = time.time()
+    found = by_id(secret_ledger.secret_scan(spark.createDataFrame(rows, "doc_id long, text string"), scratch_path(spark, "ledger")), "spans")
+    assert time.time() - began < 60
+    assert found == [(1, ""), (2, f"jwt:0:{len(rows[1][1])}"), (3, "jwt:0:30"), (4, "access:0:4000000"), (5, ""), (6, "")]
+
+
+def test_a_run_with_few_new_blobs_moves_no_texts(spark, monkeypatch, docs):
+    ledger = scratch_path(spark, "ledger")
+    plans = []
+    scan = secret_ledger._scan
+    monkeypatch.setattr(secret_ledger, "_scan", lambda texts, rules: plans.append(texts._jdf.queryExecution().executedPlan().toString()) or scan(texts, rules))
+    secret_ledger.update_ledger(docs, ledger)
+    secret_ledger.update_ledger(docs, ledger)
+    assert len(plans) == 1 and "BroadcastHashJoin" in plans[0]
+    monkeypatch.setattr(secret_ledger, "_FEW_BLOBS", 0)
+    found = by_id(secret_ledger.secret_scan(docs, scratch_path(spark, "ledger")), "spans")
+    assert found == by_id(secret_ledger.secret_scan(docs, ledger), "spans") and "ShuffledHashJoin" in plans[1]
+
+
+def test_overlapping_spans_share_a_mask(spark):
+    secret = "0123456789abcdef" * 2
+    rows = [(1, f"a token={secret} b token={secret}c"), (2, f"password=AKIA{'A' * 20}{secret}x")]
+    clean = by_id(secret_ledger.redact(spark.createDataFrame(rows, "doc_id long, text string"), scratch_path(spark, "ledger")), "text")
+    assert clean == [(1, "a [assign] b [assign]"), (2, "[assign]")]
 
 
 def test_redaction(spark, docs, none):
