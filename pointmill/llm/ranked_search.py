@@ -29,11 +29,12 @@ _NO_ID = (1 << 63) - 1
 
 @dataclass(frozen=True)
 class Settings:
-    """top: results of a query. owners: stages of the pipeline. block_postings, part_queries: what one cogroup holds at most, about."""
+    """top: results of a query. owners: stages of the pipeline. block_postings, part_queries: what one cogroup holds at most, about; least_postings: a block's, below which more tasks do not get blocks of their own."""
 
     top: int = 10
     owners: int = 4
     block_postings: int = 1_000_000
+    least_postings: int = 50_000
     part_queries: int = 2000
 
 
@@ -165,7 +166,7 @@ def ranked_search(
     stats = saved(stats.where("most > 0"), "search_weights")
 
     total, n_queries = stats.agg(F.sum("df")).first()[0] or 0, asked.count()
-    blocks = max(parallelism(spark), -(-total // settings.block_postings))
+    blocks = max(1, min(parallelism(spark), total // settings.least_postings), -(-total // settings.block_postings))
     parts = max(1, -(-n_queries // settings.part_queries))
     listed = wanted.withColumnRenamed("term", "word").join(stats, "word").groupBy("query").agg(F.sort_array(F.collect_list(F.struct("owner", "term", "most"))).alias("terms"))
     none = F.array().cast("array<bigint>")
