@@ -1,5 +1,6 @@
 """Token ids of whole texts by the tokenizers library, each distinct word encoded once for many texts."""
 
+import gc
 import itertools
 import operator
 import os
@@ -42,14 +43,40 @@ class _Numbers(dict):
         return number
 
 
+def _grown(array: np.ndarray, size: int) -> np.ndarray:
+    """The array with room for size numbers at least; it doubles, so that all growing costs no more than the last copy."""
+    if len(array) >= size:
+        return array
+    larger = np.zeros(max(size, 2 * len(array)), array.dtype)
+    larger[: len(array)] = array
+    return larger
+
+
+class _Pieces(dict):
+    """The ids of the strings of letters or marks met so far, each given to the model once."""
+
+    def __init__(self, model, lower: bool, letters: dict[int, str]):
+        super().__init__()
+        self.model, self.lower, self.letters = model, lower, letters
+
+    def __missing__(self, piece: str) -> tuple[int, ...]:
+        word = piece.lower() if self.lower else piece
+        # The letter that stands for a blank is not ASCII and stays as it is.
+        if not word.isascii():
+            blank, word = (word[0], word[1:]) if word[0] == self.letters[32] else ("", word)
+            word = blank + word.encode().decode("latin-1").translate(self.letters)
+        self[piece] = ids = tuple([t.id for t in self.model.tokenize(word)])
+        return ids
+
+
 class Encoder:
     """encode(texts) gives (ids, lengths): the ids of all texts in a row as uint32, and how many each has.
 
     Both kinds of vocabulary used here split a text at blanks and line ends before anything else,
     so the ids of a text are those of its words, each with the blank before it. Words of plain letters go
-    straight to the library's model, others through its whole pipeline. Texts with other white space or
-    controls, or with the content of an added token, are encoded whole. Special tokens in a text are
-    ordinary text. Holds about limit words.
+    straight to the library's model, letters and mark apart, others through its whole pipeline. Texts with
+    other white space or controls, or with the content of an added token, are encoded whole: there the
+    library turns the content into the added token, as it does for anyone who calls it. Holds about limit words.
     """
 
     def __init__(self, path: str, limit: int = 400_000):
@@ -58,7 +85,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.splitter = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.size, self.limit = self.tokenizer.get_vocab_size(), limit
         # A special token, which text is never turned into, tells the words of one call apart.
@@ -68,12 +94,12 @@ class Encoder:
         probe = self._whole(["a\nb", "a b", " b", "a", "\n", "b"])
         if probe[0] != probe[3] + probe[4] + probe[5] or probe[1] != probe[3] + probe[2]:
             raise ValueError("this vocabulary does not encode words apart")
-        self.line_end = probe[4]
+        self.line_end = tuple(probe[4])
         self.letters = _byte_letters()
         tries = ["The", "straße", "ÉCOLE", "onhablein", "x", "été."]
-        self.blank, self.lower = "", False
-        for self.blank, self.lower in ((self.letters[32], False), ("", True)):  # noqa: B020
-            if [self._plain(*_PLAIN.fullmatch(w).groups()) for w in tries] == self._whole([" " + w for w in tries]):
+        for self.blank, lower in ((self.letters[32], False), ("", True)):  # noqa: B020
+            self.pieces = _Pieces(self.model, lower, self.letters)
+            if [list(x) for x in self._plain(tries)] == self._whole([" " + w for w in tries]):
                 self.plain = True
                 break
         else:
@@ -84,7 +110,7 @@ class Encoder:
     def _thin(self) -> None:
         """Forget the less used half of the words."""
         kept = np.sort(np.argsort(-self.uses, kind="stable")[: self.limit // 2])
-        words, sizes = list(self.numbers), np.diff(self.ends)[kept]
+        words, sizes = list(self.numbers), np.diff(self.ends[: len(self.numbers) + 1])[kept]
         ends = np.cumsum(sizes)
         self.ids = self.ids[np.repeat(self.ends[kept] - (ends - sizes), sizes) + np.arange(ends[-1])]
         self.ends, self.uses = np.concatenate([[0], ends]), self.uses[kept] // 2
@@ -93,21 +119,25 @@ class Encoder:
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _plain(self, marker: str, letters: str, after: str) -> list[int]:
-        word = letters.lower() if self.lower else letters
-        if not word.isascii():
-            word = word.encode().decode("latin-1").translate(self.letters)
-        ids = [t.id for t in self.model.tokenize(word if marker else self.blank + word)]
-        if marker == "\n":
-            ids = self.line_end + ids
-        return ids + [t.id for t in self.model.tokenize(after)] if after else ids
+    def _plain(self, words: list[str]) -> list[tuple[int, ...] | None]:
+        """The ids of each plain word: for itself after a blank, after a line end, or, marked by a tab, for itself alone."""
+        pieces, blank, line_end, match, each = self.pieces, self.blank, self.line_end, _PLAIN.fullmatch, []
+        if len(pieces) > self.limit:
+            pieces.clear()
+        for word in words:
+            found = match(word)
+            if found is None:
+                each.append(None)
+                continue
+            marker, letters, after = found.groups()
+            ids = pieces[letters if marker else blank + letters]
+            if marker == "\n":
+                ids = line_end + ids
+            each.append(ids + pieces[after] if after else ids)
+        return each
 
     def _learn(self, words: list[str]) -> None:
-        """A word stands for itself after a blank, after a line end, or, marked by a tab, for itself alone."""
-        each: list[list[int] | None] = []
-        for word in words:
-            match = _PLAIN.fullmatch(word) if self.plain else None
-            each.append(self._plain(*match.groups()) if match else None)
+        each = self._plain(words) if self.plain else [None] * len(words)
         rest = [k for k, ids in enumerate(each) if ids is None]
         texts = [words[k][1:] if words[k][:1] == "\t" else words[k] if words[k][:1] == "\n" else " " + words[k] for k in rest]
         # No word holds an added token: such texts are encoded whole.
@@ -118,11 +148,22 @@ class Encoder:
         for k, ids in zip(rest, found, strict=True):
             each[k] = ids
         sizes = np.fromiter(map(len, each), np.int64, len(each))
-        self.ids = np.concatenate([self.ids, np.fromiter(itertools.chain.from_iterable(each), np.uint32, int(sizes.sum()))])
-        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+        known, at = len(self.numbers) - len(words), int(self.ends[len(self.numbers) - len(words)])
+        ends = at + np.cumsum(sizes)
+        self.ids = _grown(self.ids, int(ends[-1]))
+        self.ids[at : ends[-1]] = np.fromiter(itertools.chain.from_iterable(each), np.uint32, int(sizes.sum()))
+        self.ends = _grown(self.ends, len(self.numbers) + 1)
+        self.ends[known + 1 : len(self.numbers) + 1] = ends
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        parts = [self._encode(texts[k : k + _TEXTS]) for k in range(0, len(texts), _TEXTS)]
+        # Learning makes millions of small objects and no cycles, which the collector would walk again and again.
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            parts = [self._encode(texts[k : k + _TEXTS]) for k in range(0, len(texts), _TEXTS)]
+        finally:
+            if collecting:
+                gc.enable()
         return (np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])) if parts else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
 
     @staticmethod
@@ -147,9 +188,10 @@ class Encoder:
         uses = np.bincount(which, minlength=len(self.numbers))
         uses[: len(self.uses)] += self.uses
         self.uses = uses
-        sizes = np.diff(self.ends)[which]
+        first = self.ends[which]
+        sizes = self.ends[which + 1] - first
         ends = np.cumsum(sizes)
-        ids = self.ids[np.repeat(self.ends[which] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        ids = self.ids[np.repeat(first - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
         bounds = np.concatenate([[0], ends])[np.cumsum([0] + [len(x) for x in split])]
         lengths = np.diff(bounds)
         if odd:

@@ -52,7 +52,6 @@ def test_every_operator_has_a_query():
 
 def encoded(texts, vocabulary, end):
     tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
-    tokenizer.encode_special_tokens = True
     found = tokenizer.encode_batch(list(texts.values()), add_special_tokens=False)
     return {k: np.array([*e.ids, end], "<u4") for k, e in zip(texts, found, strict=True)}
 
