@@ -52,23 +52,6 @@ def _grown(array: np.ndarray, size: int) -> np.ndarray:
     return larger
 
 
-class _Pieces(dict):
-    """The ids of the strings of letters or marks met so far, each given to the model once."""
-
-    def __init__(self, model, lower: bool, letters: dict[int, str]):
-        super().__init__()
-        self.model, self.lower, self.letters = model, lower, letters
-
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        word = piece.lower() if self.lower else piece
-        # The letter that stands for a blank is not ASCII and stays as it is.
-        if not word.isascii():
-            blank, word = (word[0], word[1:]) if word[0] == self.letters[32] else ("", word)
-            word = blank + word.encode().decode("latin-1").translate(self.letters)
-        self[piece] = ids = tuple([t.id for t in self.model.tokenize(word)])
-        return ids
-
-
 class Encoder:
     """encode(texts) gives (ids, lengths): the ids of all texts in a row as uint32, and how many each has.
 
@@ -79,7 +62,7 @@ class Encoder:
     library turns the content into the added token, as it does for anyone who calls it. Holds about limit words.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 600_000):
         # Tasks already run side by side.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -94,12 +77,12 @@ class Encoder:
         probe = self._whole(["a\nb", "a b", " b", "a", "\n", "b"])
         if probe[0] != probe[3] + probe[4] + probe[5] or probe[1] != probe[3] + probe[2]:
             raise ValueError("this vocabulary does not encode words apart")
-        self.line_end = tuple(probe[4])
+        self.line_end = probe[4]
         self.letters = _byte_letters()
         tries = ["The", "straße", "ÉCOLE", "onhablein", "x", "été."]
-        for self.blank, lower in ((self.letters[32], False), ("", True)):  # noqa: B020
-            self.pieces = _Pieces(self.model, lower, self.letters)
-            if [list(x) for x in self._plain(tries)] == self._whole([" " + w for w in tries]):
+        for self.blank, self.lower in ((self.letters[32], False), ("", True)):  # noqa: B020
+            self.marks = {mark: [t.id for t in self.model.tokenize(mark)] for mark in ".,;:!?"}
+            if self._plain(tries) == self._whole([" " + w for w in tries]):
                 self.plain = True
                 break
         else:
@@ -119,21 +102,25 @@ class Encoder:
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _plain(self, words: list[str]) -> list[tuple[int, ...] | None]:
+    def _plain(self, words: list[str]) -> list[list[int] | None]:
         """The ids of each plain word: for itself after a blank, after a line end, or, marked by a tab, for itself alone."""
-        pieces, blank, line_end, match, each = self.pieces, self.blank, self.line_end, _PLAIN.fullmatch, []
-        if len(pieces) > self.limit:
-            pieces.clear()
+        tokenize, lower, blank, line_end, match, each = self.model.tokenize, self.lower, self.blank, self.line_end, _PLAIN.fullmatch, []
         for word in words:
             found = match(word)
             if found is None:
                 each.append(None)
                 continue
             marker, letters, after = found.groups()
-            ids = pieces[letters if marker else blank + letters]
+            if lower:
+                letters = letters.lower()
+            if not letters.isascii():
+                letters = letters.encode().decode("latin-1").translate(self.letters)
+            ids = [t.id for t in tokenize(letters if marker else blank + letters)]
             if marker == "\n":
                 ids = line_end + ids
-            each.append(ids + pieces[after] if after else ids)
+            if after:
+                ids += self.marks[after]
+            each.append(ids)
         return each
 
     def _learn(self, words: list[str]) -> None:
