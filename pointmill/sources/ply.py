@@ -8,7 +8,9 @@ Binary vertices have a fixed stride, so any byte range can be read on its own.
 For ascii files read_ply counts the lines of each byte range in tasks first. The
 sums tell each range the number of its first line, so every file is split, and one
 with fewer or more lines than its header says is an error. Without these counts
-(spark.read.format("ply") by itself) one task streams an ascii file.
+(spark.read.format("ply") by itself, or a folder whose first file is binary) one
+task streams an ascii file. What the driver has listed stays there: a task gets its
+ranges and nothing else.
 """
 
 import json
@@ -288,6 +290,10 @@ class PlyReader(DataSourceReader):
         self.schema = to_arrow_schema(schema)
         self.known = json.loads(options["listed"]) if "listed" in options else None
 
+    def __getstate__(self) -> dict:
+        """For the tasks, which get their ranges: without the listing."""
+        return self.__dict__ | {"known": None}
+
     def _files(self) -> Iterator[tuple[str, int, int | None]]:
         """(path, bytes to read, vertices to take). With a limit, headers are read until it is reached."""
         left = self.limit
@@ -384,9 +390,11 @@ def read_ply(
     path = workspace.qualified(spark, path)
     found = list_files(path)
     parallelism = spark.sparkContext.defaultParallelism
-    size = split_size([n for _, n in found], split_bytes, parallelism)
-    listed = {"files": found, "size": size, "firsts": count_lines(spark, found, size)}
-    reader = spark.read.format("ply").option("parallelism", parallelism).option("listed", json.dumps(listed))
+    reader = spark.read.format("ply").option("parallelism", parallelism).option("splitbytes", split_bytes)
+    if found and not read_header(found[0][0]).order:
+        size = split_size([n for _, n in found], split_bytes, parallelism)
+        listed = {"files": found, "size": size, "firsts": count_lines(spark, found, size)}
+        reader = reader.option("listed", json.dumps(listed))
     if schema is not None:
         reader = reader.schema(schema)
     if limit is not None:

@@ -1,12 +1,16 @@
+import json
+import pickle
 import struct
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pointmill import workspace
 from pointmill.operators.points import normalize_points
 from pointmill.plans import views
+from pointmill.sources import ply
 from pointmill.sources.ply import PlyReader, parse_header, read_ply
 from pointmill.workspace import scratch_path
 from tests.helpers import rows
@@ -76,6 +80,32 @@ def test_tasks_split_large_and_group_small_files(tmp_path):
     assert sum(len(p.splits) for p in parts) - len(ranges) == 40
 
 
+def test_tasks_get_their_ranges_only(tmp_path):
+    schema = T.StructType([T.StructField("n", T.IntegerType())])
+    sizes = []
+    for n in (1, 100_000):
+        listed = {"files": [[f"file:///data/scans/{i:06d}.ply", 1000] for i in range(n)], "size": 1 << 20, "firsts": {}}
+        reader = PlyReader({"path": "file:///data/scans", "listed": json.dumps(listed)}, schema)
+        assert sum(len(p.splits) for p in reader.partitions()) == n
+        # The class itself may go with it.
+        sizes.append((len(pickle.dumps(reader)), len(cloudpickle.dumps(reader))))
+    assert sizes[0] == sizes[1] and sizes[0][0] < 10_000
+
+
+def test_binary_files_start_no_counting_job(spark, tmp_path, monkeypatch):
+    write(tmp_path / "a.ply", "binary_little_endian", 10)
+    write(tmp_path / "b.ply", "ascii", 20)
+    monkeypatch.setattr(ply, "count_lines", lambda *_: pytest.fail("lines were counted"))
+    assert sorted(r.n for r in read_ply(spark, str(tmp_path), split_bytes=64).collect()) == sorted([-i for i in range(10)] + [-i for i in range(20)])
+    monkeypatch.undo()
+    (tmp_path / "a.ply").unlink()
+    write(tmp_path / "b.ply", "ascii", 20)
+    whole = (tmp_path / "b.ply").read_bytes()
+    (tmp_path / "b.ply").write_bytes(whole[: whole[:-1].rfind(b"\n") + 1])
+    with pytest.raises(ValueError, match="shorter"):
+        read_ply(spark, str(tmp_path))
+
+
 @pytest.mark.parametrize("fmt", FORMATS)
 def test_limit_takes_the_first_vertices(spark, tmp_path, fmt):
     write(tmp_path / "a.ply", fmt, 30)
