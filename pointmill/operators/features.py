@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pointmill.functions.columns import bucket
@@ -38,19 +38,26 @@ def label_classes(df: DataFrame, label: str = "label") -> list[int]:
     return sorted(row[0] for row in df.where(F.col(label).isNotNull()).select(label).distinct().collect())
 
 
+def label_dictionary(df: DataFrame, label: str = "label", out: str = "label_index") -> DataFrame:
+    """(label, label_index): the distinct labels numbered from 0 in ascending order, NULL left out. A table to keep for later data.
+
+    Only the distinct labels, a row each, meet in one window.
+    """
+    distinct = df.where(F.col(label).isNotNull()).select(label).distinct()
+    return distinct.withColumn(out, F.row_number().over(Window.orderBy(label)) - 1)
+
+
 def encode_labels(
     df: DataFrame, labels: DataFrame | Sequence[int], label: str = "label", out: str = "label_index", of: str | None = None
 ) -> DataFrame:
-    """Add the position of the label among the distinct ones of labels, in ascending order; NULL if it is none of them.
+    """Add the number of the label in labels; NULL if it is not there.
 
-    labels: a table, whose distinct labels become a scalar subquery, or the sorted labels themselves.
-    of: their column in the table, if not label.
+    labels: a label_dictionary, or the sorted labels themselves. of: their column in the dictionary, if not label.
     """
     if isinstance(labels, DataFrame):
-        known = labels.agg(F.array_sort(F.collect_set(of or label)).alias("labels")).scalar()
-    else:
-        known = F.array(*[F.lit(c) for c in labels])
-    place = F.array_position(known, F.col(label))
+        numbers = labels.select(F.col(of or label).alias("_known"), F.col(out).alias("_number"))
+        return df.join(numbers, F.col(label) == F.col("_known"), "left").withColumn(out, F.col("_number")).drop("_known", "_number")
+    place = F.array_position(F.array(*[F.lit(c) for c in labels]), F.col(label))
     return df.withColumn(out, F.when(place > 0, (place - 1).cast("int")))
 
 

@@ -3,7 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from pointmill.operators import classifier, features as feat, quality
+from pointmill.operators import classifier, features as feat, network, quality
 from pointmill.operators.points import clean
 from pointmill.plans import views
 from pointmill.schema import VOXEL, VOXEL_ML_FEATURES
@@ -60,9 +60,9 @@ def test_encoding_is_by_value(spark):
 
 def test_many_labels_are_encoded_by_a_table(spark):
     df = spark.range(3000).select((F.col("id") * 2).cast("int").alias("label"))
-    coded = feat.encode_labels(df, df)
+    coded = feat.encode_labels(df, feat.label_dictionary(df))
     assert coded.where("label_index <> label / 2").isEmpty() and coded.where("label_index IS NULL").isEmpty()
-    other = df.withColumnRenamed("label", "kind")
+    other = feat.label_dictionary(df).withColumnRenamed("label", "kind")
     assert rows(feat.encode_labels(points(spark, {"label": 4}, {"label": 5}), other, of="kind"), "label_index") == [(2,), (None,)]
 
 
@@ -138,3 +138,55 @@ def test_registered_classifier_scores_every_test_voxel(spark, sf_dir):
     voxels = views.clean_voxels(spark, sf_dir)
     assert QUERIES["classify_voxels"](spark, sf_dir).count() == feat.split(voxels)[1].count()
     assert clean(views.points(spark, sf_dir)).count() == 5126
+
+
+def plain_network(x, layers, activation):
+    for k, layer in enumerate(layers):
+        x = [sum(a * b for a, b in zip(w, x, strict=True)) + b for w, b in zip(layer.weights, layer.bias, strict=True)]
+        if k < len(layers) - 1:
+            x = [max(v, 0.0) if activation == "relu" else 1 / (1 + math.exp(-v)) if v > -700 else 0.0 for v in x]
+    powers = [math.exp(v - max(x)) for v in x]
+    return [v / sum(powers) for v in powers]
+
+
+@pytest.mark.parametrize("activation", ["relu", "sigmoid"])
+def test_forward_pass_equals_plain_loops(spark, activation):
+    layers = [network.Layer([[0.5, -1.0], [2.0, 0.25], [-0.5, 1.0]], [0.1, -0.2, 0.0]), network.Layer([[1.0, -1.0, 0.5], [0.0, 2.0, -3.0]], [0.5, -0.5])]
+    data = [(1.0, 2.0), (-3.5, 0.0), (0.0, 1e3), (None, 1.0)]
+    df = spark.createDataFrame(data, "a double, b double")
+    units = network.weight_table(spark, layers).repartition(3)
+    found = {r.a: r for r in network.network_scores(df, units, ["a", "b"], activation, classes=[7, 9]).collect()}
+    for x in data[:3]:
+        want = plain_network(x, layers, activation)
+        assert found[x[0]].probability == pytest.approx(want, abs=1e-12)
+        assert found[x[0]].predicted == (7 if want[0] >= want[1] else 9)
+    assert (found[None].probability, found[None].predicted) == (None, None)
+    with pytest.raises(ValueError, match="does not take 1 inputs"):
+        network.network_scores(df, layers, ["a"])
+    with pytest.raises(ValueError, match="not whole"):
+        network.read_layers(units.where("layer = 0 OR unit = 1"))
+    with pytest.raises(ValueError, match="no layers"):
+        network.read_layers(units.where("false"))
+
+
+def test_trained_model_equals_its_weight_table(spark, tmp_path):
+    df = spark.range(300).select((F.col("id") % 17 / 8).alias("a"), (F.col("id") % 23 / 11).alias("b"), (F.col("id") % 3 + 4).cast("int").alias("majority_label"))
+    model = classifier.train_classifier(df, ["a", "b"], hidden=(5, 4), max_iter=20)
+    path = str(tmp_path / "units")
+    network.weight_table(spark, network.layers_of(model)).write.parquet(path)
+    by_model = {(r.a, r.b): r for r in classifier.classify(model, df, ["a", "b"]).collect()}
+    by_table = network.network_scores(df, spark.read.parquet(path), ["a", "b"], "sigmoid", classifier.model_classes(model)).collect()
+    for r in by_table:
+        other = by_model[r.a, r.b]
+        assert r.probability == pytest.approx(list(other.probability), abs=1e-9) and r.predicted == other.predicted
+
+
+def test_label_dictionary_serves_later_data(spark, tmp_path):
+    path = str(tmp_path / "labels")
+    feat.label_dictionary(points(spark, {"label": 10}, {"label": 2}, {"label": 2}, {"label": None})).write.parquet(path)
+    known = spark.read.parquet(path)
+    assert rows(known) == [(2, 0), (10, 1)]
+    coded = feat.encode_labels(points(spark, {"label": 10}, {"label": 3}, {"label": None}).withColumn("label_index", F.lit("clash")), known)
+    assert rows(coded, "label", "label_index") == [(3, None), (10, 1), (None, None)]
+    plan = coded._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" not in plan
