@@ -11,7 +11,7 @@ new path; a path that is being read is never overwritten. An append needs no
 save: append_saved adds a partition to what is there.
 """
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -139,9 +139,13 @@ def snapshots(table: DataFrame, commits: DataFrame) -> DataFrame:
 _COMMIT = "version int, operation string, committed_at timestamp_ntz"
 
 
+def record_commits(spark: SparkSession, path: str, commits: Sequence[tuple[int, str, datetime]]) -> None:
+    """Add versions to the commits kept as Parquet under path: version, operation, time. Versions have one writer."""
+    spark.createDataFrame(commits, _COMMIT).coalesce(1).write.mode("append").parquet(path)
+
+
 def record_commit(spark: SparkSession, path: str, version: int, operation: str, committed_at: datetime) -> None:
-    """Add a version to the commits kept as Parquet under path. Versions have one writer."""
-    spark.createDataFrame([(version, operation, committed_at)], _COMMIT).coalesce(1).write.mode("append").parquet(path)
+    record_commits(spark, path, [(version, operation, committed_at)])
 
 
 def read_commits(spark: SparkSession, path: str) -> DataFrame:
@@ -184,21 +188,44 @@ def compare_versions(table: DataFrame, a: int, b: int) -> DataFrame:
     )
 
 
-def save_versions(table: DataFrame, path: str) -> None:
-    """Write the table to a new path, partitioned by the interval."""
+def commits_path(path: str) -> str:
+    """Where a saved table keeps its commits: beside its rows, hidden from who reads these."""
+    return f"{path.rstrip('/')}/_commits"
+
+
+def save_versions(table: DataFrame, path: str, commits: DataFrame | None = None) -> None:
+    """Write the table to a new path, partitioned by the interval, and its commits beside it."""
     table.hint("rebalance", *[F.col(c) for c in INTERVAL]).write.partitionBy(*INTERVAL).parquet(path)
+    if commits is not None:
+        commits.select("version", "operation", F.col("committed_at").cast("timestamp_ntz")).coalesce(1).write.parquet(commits_path(path))
 
 
-def append_saved(rows: DataFrame, path: str, version: int) -> None:
+def append_saved(rows: DataFrame, path: str, version: int, committed_at: datetime | None = None) -> None:
     """Append to a saved table: writes the new rows only, into their own partition.
 
     Columns are matched by name and cast to the saved types; the saved columns must all be there and no others.
+    With committed_at, the version is then added to the commits beside the table.
     """
     saved = [f for f in load_versions(rows.sparkSession, path).schema if f.name not in INTERVAL]
     if {f.name for f in saved} != set(rows.columns) or len(rows.columns) != len(saved):
         raise ValueError(f"the columns are not those of the saved table: {', '.join(rows.columns)}")
     typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in saved])
     _opened(typed, version).write.mode("append").partitionBy(*INTERVAL).parquet(path)
+    if committed_at is not None:
+        record_commit(rows.sparkSession, commits_path(path), version, "append", committed_at)
+
+
+def saved_commits(spark: SparkSession, path: str) -> DataFrame:
+    return read_commits(spark, commits_path(path))
+
+
+def as_of_saved(spark: SparkSession, path: str, version: int) -> DataFrame:
+    """The rows of a version of a saved table; a version that the commits beside it do not name is an error."""
+    return as_of_version(load_versions(spark, path), version, saved_commits(spark, path))
+
+
+def as_of_saved_timestamp(spark: SparkSession, path: str, timestamp: str | Column) -> DataFrame:
+    return as_of_timestamp(load_versions(spark, path), saved_commits(spark, path), timestamp)
 
 
 def load_versions(spark: SparkSession, path: str) -> DataFrame:

@@ -148,3 +148,19 @@ def test_update_reads_the_table_once(spark):
     assert plan.count("Range (") == 1 and "Exchange" not in plan
     assert ver.as_of_version(t, 6).count() == 10
     assert ver.as_of_version(t, 6).agg(F.sum("v")).first()[0] == 45 + 6 * 5
+
+
+def test_saved_table_knows_its_versions(spark):
+    path = scratch_path(spark, "versions")
+    t = ver.append_version(ver.create_version(table(spark, ("a", 1.0))), table(spark, ("b", 1.0)), 2)
+    commits = scratch_path(spark, "commits")
+    ver.record_commits(spark, commits, [(1, "create", datetime(2024, 1, 1)), (2, "append", datetime(2024, 1, 2))])
+    ver.save_versions(t, path, ver.read_commits(spark, commits))
+    ver.append_saved(table(spark, ("c", 1.0)), path, 3, datetime(2024, 1, 3))
+    assert rows(ver.as_of_saved(spark, path, 2)) == [("a", 1.0), ("b", 1.0)]
+    assert rows(ver.as_of_saved(spark, path, 3)) == [("a", 1.0), ("b", 1.0), ("c", 1.0)]
+    assert rows(ver.as_of_saved_timestamp(spark, path, "2024-01-01 12:00:00")) == [("a", 1.0)]
+    for unknown in (0, 4):
+        with pytest.raises(ValueError, match=f"no version {unknown}"):
+            ver.as_of_saved(spark, path, unknown)
+    assert ver.load_versions(spark, path).count() == 3
