@@ -1,6 +1,6 @@
 """Statistics, filters and samples over point and voxel tables."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,6 +65,12 @@ def profile(df: DataFrame) -> DataFrame:
     return df.agg(*aggregates).select(F.inline(F.array(*rows)))
 
 
+def counted(df: DataFrame, **counts: Column) -> tuple[DataFrame, Observation]:
+    """df, and an observation that holds the named counts of its rows once an action has gone through them."""
+    seen = Observation()
+    return df.observe(seen, *[c.alias(name) for name, c in counts.items()]), seen
+
+
 def require_rows(df: DataFrame, what: str = "input") -> DataFrame:
     """Stop on an empty input. Reads until the first row is found, not the whole input."""
     if df.isEmpty():

@@ -1,6 +1,8 @@
 """The registered queries as SQL over the given tables."""
 
-from pointmill.plans.queries import COMMITS, LINE_ORDER, NEW_VOXEL, RATE_WINDOW_SECONDS
+from pointmill.plans.queries import (
+    COMMITS, DATASETS, INTAKE_FILES, INTAKE_PER_BATCH, LINE_ORDER, NETWORK, NETWORK_CLASSES, NETWORK_INPUTS, NEW_VOXEL, RATE_WINDOW_SECONDS, SMALL_FILES,
+)
 from pointmill.plans.views import point_columns, raw_columns
 from pointmill.schema import VOXEL_ML_FEATURES
 
@@ -143,6 +145,21 @@ def _summary(column: str) -> str:
     return f"min({column}) AS min_{column}, max({column}) AS max_{column}, avg({column}) AS avg_{column}"
 
 
+def _network() -> str:
+    """A CTE per layer; place and u count from 1."""
+    inputs = ", ".join(f"CAST({c} AS DOUBLE) / {d}" for c, d in NETWORK_INPUTS.items())
+    text = f"{VOXELS}, layer0 AS (SELECT voxel_x, voxel_y, voxel_z, majority_label, [{inputs}] AS v FROM voxels)"
+    for k, (weights, bias) in enumerate(NETWORK, 1):
+        total = f"list_sum(list_transform(range(1, {len(weights[0])} + 1), lambda i: ({weights})[u][i] * v[i])) + ({bias})[u]"
+        unit = f"greatest(0, {total})" if k < len(NETWORK) else total
+        text += f""",
+    layer{k} AS (SELECT * REPLACE (list_transform(range(1, {len(weights)} + 1), lambda u: CAST({unit} AS DOUBLE)) AS v) FROM layer{k - 1})"""
+    return f"""{text},
+    powers AS (SELECT * REPLACE (list_transform(v, lambda x: exp(x - list_max(v))) AS v) FROM layer{len(NETWORK)}),
+    scored AS (SELECT voxel_x, voxel_y, voxel_z, majority_label, list_transform(v, lambda x: x / list_sum(v)) AS p,
+        CAST(({NETWORK_CLASSES})[list_position(v, list_max(v))] AS INT) AS predicted FROM powers)"""
+
+
 _PROFILE_TYPES = {"red": "int", "green": "int", "blue": "int", "label": "int"}
 _PROFILE = " UNION ALL ".join(
     f"""SELECT '{c}' AS column_name, '{_PROFILE_TYPES.get(c, "double")}' AS data_type, count(*) AS row_count,
@@ -194,9 +211,10 @@ def oracles() -> dict[str, str]:
         "sql_on_files": "SELECT l_returnflag, count(*) AS total_rows FROM lineitem GROUP BY l_returnflag",
         "glob_scan": voxel_table,
         "file_inventory": " UNION ALL ".join(
-            f"SELECT '{t}' AS dataset, count(*) AS row_count FROM {t}" for t in ("lineitem", "orders", "events")
+            f"SELECT '{t}' AS dataset, CAST({n} AS BIGINT) AS files, count(*) AS row_count, CAST(1 AS BIGINT) AS skipped_files, TRUE AS all_sized FROM {t}"
+            for t, n in DATASETS.items()
         ),
-        "compact": voxel_table,
+        "compact": f"WITH {VOXELS} SELECT *, {SMALL_FILES} AS files_before, TRUE AS fewer_files, TRUE AS within_limit FROM voxels",
         "partitioned_table": f"{voxel_table} WHERE majority_label IN (2, 3)",
         "partitioned_table_whole": voxel_table,
         "append_table": voxel_table,
@@ -204,6 +222,11 @@ def oracles() -> dict[str, str]:
         "ply_scan_ascii": normalized,
         "ply_limit": normalized.replace("FROM lineitem", f"FROM (SELECT * FROM lineitem ORDER BY {', '.join(LINE_ORDER)} LIMIT 5000)", 1),
         "stream_clean": clean,
+        "stream_restart": f"WITH {CLEAN} SELECT {ALL_COLUMNS}, unnest(['resumed', 'replayed']) AS run FROM cleaned",
+        "stream_bounded": f"""WITH {CLEAN} SELECT CAST("timestamp" AS BIGINT) % {INTAKE_FILES} // {INTAKE_PER_BATCH} AS batch, count(*) AS row_count,
+            CAST(sum(label) AS BIGINT) AS labels FROM cleaned GROUP BY 1""",
+        "intake_counts": f"""WITH {CLEAN} SELECT (SELECT count(*) FROM points) + (SELECT count(*) FROM nation) AS records,
+            (SELECT count(*) FROM nation) AS corrupt, count(*) AS kept, count(*) AS arrived FROM cleaned""",
         "class_names": f"""WITH {POINTS} SELECT label, n_name AS class_name, count(*) AS row_count
             FROM points LEFT JOIN nation ON label = n_nationkey GROUP BY label, n_name""",
         "label_overlay": f"""WITH {CLEAN}, {_majority("cleaned", "a")}, {_majority("points", "b")}
@@ -263,6 +286,11 @@ def oracles() -> dict[str, str]:
         "classify_voxels": f"WITH {SPLIT} SELECT {_VOXEL_COLUMNS}, majority_label, TRUE AS known_label FROM marked WHERE is_test = 1",
         "model_quality": f"""WITH {SPLIT} SELECT count(*) AS n, TRUE AS accuracy_in_range, TRUE AS loss_in_range
             FROM marked WHERE is_test = 1""",
+        "network_scores": f"""WITH {_network()} SELECT {_VOXEL_COLUMNS}, predicted, {", ".join(
+            f"round(p[{k}], 6) AS p{c}" for k, c in enumerate(NETWORK_CLASSES, 1))} FROM scored""",
+        "network_quality": f"""WITH {_network()} SELECT count(*) AS n, round(avg(CASE WHEN majority_label = predicted THEN 1.0 ELSE 0.0 END), 9) AS accuracy,
+            round(avg(-ln(greatest(coalesce(p[list_position({NETWORK_CLASSES}, majority_label)], 0), 1e-15::DOUBLE))), 6) AS log_loss FROM scored""",
+        "model_reload": f"WITH {VOXELS} SELECT {_VOXEL_COLUMNS}, majority_label, TRUE AS alike FROM voxels",
         "log_loss": f"""WITH {PREDICTIONS} SELECT count(*) AS n, round(avg(CASE WHEN label = predicted THEN 1.0 ELSE 0.0 END), 9) AS accuracy,
             round(avg(-ln(CASE WHEN label = predicted THEN CAST(0.5 AS DOUBLE)
                 WHEN label BETWEEN 1 AND 6 THEN CAST(0.1 AS DOUBLE) ELSE CAST(1e-15 AS DOUBLE) END)), 9) AS log_loss FROM predictions""",

@@ -7,7 +7,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pointmill.operators import classifier, features as feat, points as pts, quality, series, stats, versions, voxels
+from pointmill.operators import classifier, features as feat, network, points as pts, quality, series, stats, versions, voxels
 from pointmill.plans import views
 from pointmill.schema import POINT, VOXEL, VOXEL_ML_FEATURES
 from pointmill.sources import files
@@ -28,6 +28,21 @@ COMMITS = [
     (5, "append", "2024-01-01 04:00:00"),
 ]
 
+# Written as so many files each, to be listed again.
+DATASETS = {"lineitem": 4, "orders": 2, "events": 3}
+SMALL_FILES = 200
+INTAKE_FILES, INTAKE_PER_BATCH = 6, 2
+
+# Fixed values of a network that is not trained: what each input is divided by, the sizes of its layers, its classes.
+NETWORK_INPUTS = dict(zip(VOXEL_ML_FEATURES, (8, 64, 16, 256, 256, 256), strict=True))
+_SIZES = (len(NETWORK_INPUTS), 8, 7, 6)
+NETWORK_CLASSES = [1, 2, 3, 4, 5, 6]
+# Weights and biases of each layer by a rule; multiples of 1/8 and 1/4.
+NETWORK = [
+    ([[((7 * u + 5 * i + 3 * k) % 11 - 5) / 8 for i in range(n)] for u in range(m)], [((3 * u + k) % 7 - 3) / 4 for u in range(m)])
+    for k, (n, m) in enumerate(zip(_SIZES, _SIZES[1:]))
+]
+
 # Rows that these do not tell apart are the same point.
 LINE_ORDER = [f"l_{c}" for c in "orderkey linenumber partkey suppkey quantity extendedprice discount tax".split()]
 
@@ -154,17 +169,38 @@ def glob_scan(spark, sf_dir):
 
 
 def file_inventory(spark, sf_dir):
-    def rows(name):
-        listed = files.file_inventory(views.table(spark, sf_dir, name))
-        return listed.agg(F.lit(name).alias("dataset"), F.sum("row_count").alias("row_count"))
-
-    return rows("lineitem").unionByName(rows("orders")).unionByName(rows("events"))
+    """Files, rows and skipped files of the datasets of a folder tree, and whether every listed file has a size."""
+    root = scratch_path(spark, "tree")
+    for name, number in DATASETS.items():
+        views.table(spark, sf_dir, name).repartition(number).write.parquet(f"{root}/{name}")
+    listed = files.tree_inventory(spark, root)
+    return listed.groupBy("dataset").agg(
+        F.count_if(~F.col("skipped")).alias("files"),
+        F.sum("row_count").alias("row_count"),
+        F.count_if("skipped").alias("skipped_files"),
+        F.bool_and(F.col("skipped") | (F.col("file_size") > 0)).alias("all_sized"),
+    )
 
 
 def compact(spark, sf_dir):
+    """The voxels after their small files were merged, with the number of files before, and whether it fell and no file holds too many rows."""
     path = scratch_path(spark, "compact")
-    files.write_compacted(views.clean_voxels(spark, sf_dir), path, max_records=1_000_000)
-    return spark.read.parquet(path)
+    views.clean_voxels(spark, sf_dir).repartition(SMALL_FILES).write.parquet(path)
+    files.compact_files(spark, path, target_bytes=1 << 16, max_records=500)
+    rows = spark.read.parquet(path)
+    after, most = files.file_inventory(rows).agg(F.count("*"), F.max("row_count")).first()
+    return rows.withColumns({"files_before": F.lit(SMALL_FILES), "fewer_files": F.lit(after < SMALL_FILES), "within_limit": F.lit(most <= 500)})
+
+
+def intake_counts(spark, sf_dir):
+    """Records, corrupt and kept ones of an intake with a broken line for each nation, and the rows that arrived."""
+    source, target = scratch_path(spark, "landing"), scratch_path(spark, "intake")
+    views.points(spark, sf_dir).write.json(source)
+    broken = F.concat(F.lit('{"x": 1.0, "label": "'), "n_name", F.lit('"}'))
+    views.table(spark, sf_dir, "nation").select(F.when(F.col("n_nationkey") % 2 == 0, broken).otherwise(F.col("n_name"))).write.mode("append").text(source)
+    found = files.clean_intake(spark, source, target)
+    arrived = spark.read.parquet(target).agg(F.count("*").alias("arrived"))
+    return arrived.select(*[F.lit(found[c]).cast("long").alias(c) for c in ("records", "corrupt", "kept")], "arrived")
 
 
 def partitioned_table(spark, sf_dir):
@@ -214,6 +250,29 @@ def stream_clean(spark, sf_dir):
     return files.read_points_json(spark, target)
 
 
+def stream_restart(spark, sf_dir):
+    """A cleaning stream that was stopped after half of the input and went on from its checkpoint, and a replay of all input with a new one."""
+    source, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "stream")
+    resumed, replayed = scratch_path(spark, "cleaned"), scratch_path(spark, "cleaned")
+    rows = views.points(spark, sf_dir)
+    for half in (0, 1):
+        rows.where(F.col("timestamp") % 2 == half).write.mode("append").json(source)
+        cleaning.stream_clean(spark, source, resumed, checkpoint, per_trigger=4).awaitTermination()
+    cleaning.stream_clean(spark, source, replayed, scratch_path(spark, "stream")).awaitTermination()
+    both = [files.read_points_json(spark, path).withColumn("run", F.lit(run)) for run, path in (("resumed", resumed), ("replayed", replayed))]
+    return both[0].unionAll(both[1])
+
+
+def stream_bounded(spark, sf_dir):
+    """Rows of each micro-batch of a cleaning stream that takes a stated number of files at a time, oldest first."""
+    source, target = scratch_path(spark, "landing"), scratch_path(spark, "batches")
+    rows = views.points(spark, sf_dir)
+    for k in range(INTAKE_FILES):
+        rows.where(F.col("timestamp") % INTAKE_FILES == k).coalesce(1).write.mode("append").json(source)
+    cleaning.bounded_intake(spark, source, target, scratch_path(spark, "stream"), INTAKE_PER_BATCH).awaitTermination()
+    return cleaning.read_batches(spark, target).groupBy("batch").agg(F.count("*").alias("row_count"), F.sum("label").alias("labels"))
+
+
 # Labels
 
 def class_names(spark, sf_dir):
@@ -245,10 +304,9 @@ def class_report(spark, sf_dir):
 # Versions
 
 def commits(spark: SparkSession) -> DataFrame:
-    """The commits, written one by one as their changes would be, and read back."""
+    """The commits, written as their changes would be, and read back."""
     path = scratch_path(spark, "commits")
-    for version, operation, at in COMMITS:
-        versions.record_commit(spark, path, version, operation, datetime.fromisoformat(at))
+    versions.record_commits(spark, path, [(v, operation, datetime.fromisoformat(at)) for v, operation, at in COMMITS])
     return versions.read_commits(spark, path)
 
 
@@ -296,8 +354,8 @@ def version_as_of_ts(spark, sf_dir):
 
 def version_as_of_saved(spark, sf_dir):
     path = scratch_path(spark, "versions")
-    versions.save_versions(versioned(spark, sf_dir), path)
-    return versions.as_of_version(versions.load_versions(spark, path), 1)
+    versions.save_versions(versioned(spark, sf_dir), path, commits(spark))
+    return versions.as_of_saved(spark, path, 1)
 
 
 def version_append_saved(spark, sf_dir):
@@ -376,8 +434,10 @@ def scale_features_train(spark, sf_dir):
 
 
 def encode_labels(spark, sf_dir):
-    labels = pts.clean(views.points(spark, sf_dir))
-    coded = feat.encode_labels(views.clean_voxels(spark, sf_dir), labels, "majority_label", of="label")
+    """Labels by a dictionary of the points' labels, which is written and kept."""
+    path = scratch_path(spark, "labels")
+    feat.label_dictionary(pts.clean(views.points(spark, sf_dir))).write.parquet(path)
+    coded = feat.encode_labels(views.clean_voxels(spark, sf_dir), spark.read.parquet(path), "majority_label", of="label")
     return coded.select(*VOXEL, "majority_label", "label_index")
 
 
@@ -394,6 +454,39 @@ def split_voxels(spark, sf_dir):
     return marked.select(*VOXEL, F.col("is_test").cast("int").alias("is_test"))
 
 
+def _network_rows(spark, sf_dir):
+    rows = views.clean_voxels(spark, sf_dir).select(*VOXEL, "majority_label", *[(F.col(c) / d).alias(f"{c}_in") for c, d in NETWORK_INPUTS.items()])
+    units = network.weight_table(spark, [network.Layer(*layer) for layer in NETWORK])
+    return network.network_scores(rows, units, [f"{c}_in" for c in NETWORK_INPUTS], classes=NETWORK_CLASSES)
+
+
+def network_scores(spark, sf_dir):
+    """Probabilities and predicted label of every voxel by a network of fixed weights."""
+    scored = _network_rows(spark, sf_dir)
+    each = [F.round(F.get("probability", F.lit(k)), 6).alias(f"p{c}") for k, c in enumerate(NETWORK_CLASSES)]
+    return scored.select(*VOXEL, "predicted", *each)
+
+
+def network_quality(spark, sf_dir):
+    """Evaluation of that network against the majority labels."""
+    found = classifier.evaluate(_network_rows(spark, sf_dir), NETWORK_CLASSES)
+    return found.select("n", F.round("accuracy", 9).alias("accuracy"), F.round("log_loss", 6).alias("log_loss"))
+
+
+def model_reload(spark, sf_dir):
+    """Every voxel, and whether a trained classifier scores it alike before it was saved and after it was read back."""
+    scaled = feat.scale(views.clean_voxels(spark, sf_dir), VOXEL_ML_FEATURES)
+    path, rows = scratch_path(spark, "model"), scratch_path(spark, "training")
+    scaled.write.parquet(rows)
+    scaled = spark.read.parquet(rows)
+    model = classifier.train_classifier(scaled, hidden=(8,), max_iter=10)
+    classifier.save_model(model, path)
+    before = classifier.classify(model, scaled).select(*VOXEL, "majority_label", "predicted", "probability")
+    after = classifier.classify(classifier.load_model(path), scaled).select(*VOXEL, F.col("predicted").alias("again"), F.col("probability").alias("probability_again"))
+    alike = (F.col("predicted") == F.col("again")) & (F.col("probability") == F.col("probability_again"))
+    return before.join(after, VOXEL).select(*VOXEL, "majority_label", alike.alias("alike"))
+
+
 def _trained(spark, sf_dir):
     """A classifier of the training voxels and the test voxels it scored.
 
@@ -438,12 +531,13 @@ QUERIES: dict[str, Query] = {
         height_band, height_band_count, top_voxels, label_distribution,
         json_roundtrip, parquet_roundtrip, sql_on_files, glob_scan, file_inventory, compact,
         partitioned_table, partitioned_table_whole, append_table, ply_scan, ply_scan_ascii, ply_limit, stream_clean,
+        stream_restart, stream_bounded, intake_counts,
         class_names, label_overlay, accuracy, confusion, class_report,
         version_current, version_append, version_delete, version_update, version_as_of,
         version_as_of_ts, version_as_of_saved, version_append_saved, version_history, version_replace, version_log, version_bounds,
         version_count, version_compare,
         counter_rate, cpu_usage, latest_gauge,
         scale_features, scale_features_train, encode_labels, one_hot, split_voxels,
-        classify_voxels, model_quality, log_loss,
+        classify_voxels, model_quality, log_loss, network_scores, network_quality, model_reload,
     )
 }

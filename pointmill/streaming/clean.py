@@ -4,6 +4,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from pointmill.operators.points import clean, from_messages
@@ -79,6 +80,31 @@ def stream_clean(
     return write_points_stream(clean_stream(points), target, checkpoint, every, fmt, max_records)
 
 
+def bounded_intake(
+    spark: SparkSession, source: str, target: str, checkpoint: str, per_trigger: int, max_records: int | None = None
+) -> StreamingQuery:
+    """Clean a JSON folder in micro-batches of per_trigger files, each into a folder batch=<number> of the target.
+
+    A batch that is run again after a failure has its number again and replaces what it wrote before, so no row is
+    there twice. read_batches gives the rows with their batch.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        writer = batch.write.mode("overwrite")
+        if max_records:
+            writer = writer.option("maxRecordsPerFile", max_records)
+        writer.json(f"{target.rstrip('/')}/batch={number}")
+
+    cleaned = clean_stream(read_points_stream(spark, source, per_trigger=per_trigger))
+    return cleaned.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
+
+
+def read_batches(spark: SparkSession, target: str) -> DataFrame:
+    """Points of bounded_intake, and batch, the number of the micro-batch that brought them."""
+    schema = T.StructType([*POINT.fields, T.StructField("batch", T.LongType())])
+    return spark.read.schema(schema).option("basePath", target).json(target)
+
+
 def debug_stream(points: DataFrame, checkpoint: str | None = None, table: str | None = None) -> StreamingQuery:
     """Print each batch, or keep it in an in-memory table when one is named. For looking at small streams only."""
     writer = points.writeStream.outputMode("append")

@@ -10,9 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 def qualified(spark: SparkSession, path: str) -> str:
     """The path with its scheme: one without is on the default file system, as for Spark's own readers."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    where = hadoop.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toString()
+    files, where = hadoop(spark, path)
+    return files.makeQualified(where).toString()
+
+
+def hadoop(spark: SparkSession, path: str):
+    """Hadoop's file system of a path and the path as its own type, for what Spark's sources do not offer: renaming, deleting, hidden files."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
 def file_system(uri: str) -> tuple[pafs.FileSystem, str]:

@@ -1,12 +1,13 @@
-import pytest
+import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from pointmill.operators.points import voxel_keys
 from pointmill.sources import files
 from pointmill.workspace import scratch_path
-from tests.helpers import points, rows
+from tests.helpers import DEFAULTS, points, rows
 
 
 def test_json_round_trip_keeps_types_and_nulls(spark):
@@ -52,7 +53,8 @@ def test_inventory(spark):
     listed = files.file_inventory(spark.read.parquet(path)).collect()
     assert len(listed) == 4 and sum(r.row_count for r in listed) == 100
     names = {os.path.basename(r.file_path): r.file_size for r in listed}
-    assert names == {n: os.path.getsize(f"{path}/{n}") for n in os.listdir(path) if n.endswith(".parquet")}
+    local = path.removeprefix("file:")
+    assert names == {n: os.path.getsize(f"{local}/{n}") for n in os.listdir(local) if n.endswith(".parquet")}
 
 
 def test_listing_skips_hidden_files(spark, tmp_path):
@@ -72,6 +74,108 @@ def test_compaction_merges_and_rolls(spark):
     assert len(listed) < 50 and max(r.row_count for r in listed) <= 400
 
 
+def many_files(spark, sizes):
+    """A folder of Parquet files with these numbers of rows."""
+    path, at = scratch_path(spark, "many"), 0
+    for n in sizes:
+        spark.range(at, at + n, 1, 1).write.mode("append").parquet(path)
+        at += n
+    return path, at
+
+
+def inventory(spark, path):
+    return {r.file_path: r.row_count for r in files.file_inventory(spark.read.parquet(path)).collect()}
+
+
+def test_only_small_files_are_compacted(spark):
+    path, n = many_files(spark, [50_000, 10, 20, 60_000, 30, 40])
+    before = inventory(spark, path)
+    files.compact_files(spark, path, target_bytes=40_000)
+    after = inventory(spark, path)
+    large = {p for p, rows_in in before.items() if rows_in >= 50_000}
+    assert large < after.keys() and sorted(after.values()) == [100, 50_000, 60_000]
+    assert rows(spark.read.parquet(path)) == [(k,) for k in range(n)]
+    files.compact_files(spark, path, target_bytes=40_000)
+    assert inventory(spark, path) == after
+
+
+def test_compaction_fills_groups_and_rolls(spark):
+    path, n = many_files(spark, [100] * 30)
+    size = max(os.path.getsize(f"{path.removeprefix('file:')}/{f}") for f in os.listdir(path.removeprefix("file:")) if f.endswith(".parquet"))
+    files.compact_files(spark, path, target_bytes=size * 10)
+    assert 3 <= len(inventory(spark, path)) <= 4
+    other, n = many_files(spark, [100] * 30)
+    files.compact_files(spark, other, target_bytes=size * 100, max_records=800)
+    assert sorted(inventory(spark, other).values()) == [600, 800, 800, 800]
+    assert rows(spark.read.parquet(other)) == [(k,) for k in range(n)]
+
+
+def test_an_interrupted_compaction_is_finished(spark, monkeypatch):
+    for step in ("before", "within"):
+        path, n = many_files(spark, [10] * 5)
+        finish = files._finish_compaction
+        calls = []
+
+        def stop(spark, path):
+            calls.append(1)
+            if len(calls) == 1:
+                return finish(spark, path)
+            if step == "within":
+                # One old file is gone already when the run ends.
+                gone = os.path.join(path.removeprefix("file:"), sorted(f for f in os.listdir(path.removeprefix("file:")) if f.endswith(".parquet"))[0])
+                os.remove(gone)
+            raise RuntimeError("interrupted")
+
+        monkeypatch.setattr(files, "_finish_compaction", stop)
+        with pytest.raises(RuntimeError):
+            files.compact_files(spark, path, target_bytes=1 << 20)
+        monkeypatch.setattr(files, "_finish_compaction", finish)
+        files.compact_files(spark, path, target_bytes=1 << 20)
+        assert rows(spark.read.parquet(path)) == [(k,) for k in range(n)] and len(inventory(spark, path)) == 1
+        assert not os.path.exists(f"{path.removeprefix('file:')}/_compaction")
+
+
+def test_tree_inventory_shows_what_is_skipped(spark, tmp_path):
+    root = tmp_path / "tree"
+    spark.range(0, 100, 1, 3).write.parquet(f"{root}/a")
+    points(spark, {}, {}).write.parquet(f"{root}/b c")
+    spark.range(5).coalesce(1).write.parquet(f"{root}/a/part=1")
+    spark.range(0).coalesce(1).write.parquet(f"{root}/empty")
+    (root / "a" / ".part-0.inprogress").write_bytes(b"12345")
+    listed = files.tree_inventory(spark, str(root)).collect()
+    visible = [r for r in listed if not r.skipped]
+    assert {d: sum(r.row_count for r in visible if r.dataset == d) for d in ("a", "b c", "empty")} == {"a": 105, "b c": 2, "empty": 0}
+    assert sum(r.dataset == "a" for r in visible) == 4
+    for r in visible:
+        assert r.file_size == os.path.getsize(r.file_path.removeprefix("file:"))
+    hidden = {(r.dataset, os.path.basename(r.file_path)): (r.file_size, r.row_count) for r in listed if r.skipped}
+    assert hidden["a", ".part-0.inprogress"] == (5, None) and hidden["a", "_SUCCESS"] == (0, None)
+
+
+def test_intake_counts_in_one_pass(spark, tmp_path):
+    source, target = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    lines = [json.dumps({**DEFAULTS, "x": float(k), "label": k % 3}) for k in range(30)] + ['{"x":1,"label":"bad"}', "not json"]
+    (source / "a.json").write_text("\n".join(lines))
+    (source / "b.json").write_text("\n".join(lines))
+    assert files.clean_intake(spark, str(source), target) == {"records": 64, "corrupt": 4, "kept": 40}
+    assert spark.read.parquet(target).count() == 40
+    (source / "b.json").unlink()
+    assert files.clean_intake(spark, str(source), target)["kept"] == 20 and spark.read.parquet(target).count() == 20
+
+
+@pytest.mark.parametrize("content", [None, ""])
+def test_intake_stops_on_nothing(spark, tmp_path, content):
+    source, target = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    points(spark, {}).write.parquet(target)
+    if content is not None:
+        (source / "a.json").write_text(content)
+    with pytest.raises(ValueError, match="no records"):
+        files.clean_intake(spark, str(source), target)
+    assert spark.read.parquet(target).count() == 1 and sorted(os.listdir(tmp_path)) == ["in", "out"]
+
+
 def test_partitioned_table_prunes_and_replaces(spark):
     df = spark.createDataFrame([(i, i % 3) for i in range(30)], "voxel_x int, majority_label int")
     path = scratch_path(spark, "voxels")

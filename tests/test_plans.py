@@ -8,7 +8,7 @@ from pointmill.plans.queries import QUERIES
 
 WITH_PYTHON_SCAN = {"ply_scan", "ply_scan_ascii", "ply_limit"}
 # Training and scoring by Spark ML; its vector functions are JVM UDFs.
-TRAINED = {"classify_voxels", "model_quality"}
+TRAINED = {"classify_voxels", "model_quality", "model_reload"}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - TRAINED))

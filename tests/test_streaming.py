@@ -51,6 +51,19 @@ def test_equals_batch_in_small_batches(spark, paths):
     assert rows(read_points_json(spark, paths[1])) == rows(batch)
 
 
+def test_bounded_batches_and_their_repetition(spark, paths, tmp_path):
+    for n in range(7):
+        land(paths[0], f"{n}.json", *[{"x": float(10 * n + i), "label": i % 3} for i in range(10)])
+    streams.bounded_intake(spark, str(paths[0]), paths[1], paths[2], per_trigger=3).awaitTermination()
+    taken = {r.batch: r["count"] for r in streams.read_batches(spark, paths[1]).groupBy("batch").count().collect()}
+    assert sorted(taken.values(), reverse=True) == [18, 18, 6]
+    # The last batch ends before it is committed: it runs again under its number.
+    for commit in (tmp_path / "checkpoint" / "commits").glob("*2*"):
+        commit.unlink()
+    streams.bounded_intake(spark, str(paths[0]), paths[1], paths[2], per_trigger=3).awaitTermination()
+    assert rows(streams.read_batches(spark, paths[1]).drop("batch")) == rows(clean(read_points_json(spark, str(paths[0]))))
+
+
 def test_corrupt_records_are_counted(spark, paths):
     land(paths[0], "a.json", {"x": 1.0}, '{"x":1,"label":"bad"}', "not json")
     progress = run(spark, paths).recentProgress
