@@ -1,21 +1,25 @@
 """License texts in documents: an exact set-similarity join of text blocks with templates.
 
-A block is a line. Words outside all templates can never count, so a block is its distinct
-template words. They are ordered by how often blocks of all documents hold them, rare first;
-a block and a template that share enough words share one of the first few of each (prefix),
-the block is large enough (length), and enough words come after the shared one (position).
-The pairs left are verified on whole sets. One reading of the texts, no shuffle of texts,
-DataFrame functions only. Templates are a parameter; their words are literals of the plan.
+A block is a window of consecutive words of the whole text, whatever lines they stand on, twice as long as
+the template it is compared with. Words outside all templates can never count, so a text is first the set of
+its template words. They are ordered by how many texts hold them, rare first; a text and a template that
+share enough words share one of the first few of each (prefix), the text has enough of them (length), and
+enough words come after the shared one (position). Only the texts left are read again: the places of their
+template words are laid out, and the distinct words of every window are counted exactly. The first reading
+moves no text, the second only those left. DataFrame functions only. Templates are a parameter; their words
+are literals of the plan.
 """
 
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from pointmill.llm.common import saved
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_PARTS = 1 << 24
 _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 # Phrases that are evidence by themselves, and their labels.
@@ -32,23 +36,21 @@ TEMPLATES = {
     "this work is licensed under a creative commons attribution 4 0 international license": "cc-by",
     "this is free and unencumbered software released into the public domain": "unlicense",
     "all rights reserved no part of this publication may be reproduced without permission": "reserved",
+    "licensed under the apache license version 2 0": "apache-2.0",
+    "released under the mit license": "mit",
 }
 
 
 @dataclass(frozen=True)
 class Settings:
-    """percent: share of a template's distinct words that a block must hold. most_words: distinct words of all templates at most."""
+    """percent: share of a template's distinct words that a block must hold. least_words: as many of them at least, or all. spread: words of a block for one of its template."""
 
     percent: int = 80
-    most_words: int = 2000
+    least_words: int = 5
+    spread: int = 2
 
-
-def _least(words: int, percent: int) -> int:
-    return -(-words * percent // 100)
-
-
-def _words(columns: list[str]) -> Column:
-    return F.array(*[F.lit(c) for c in columns])
+    def need(self, words: int) -> int:
+        return max(-(-words * self.percent // 100), min(words, self.least_words))
 
 
 def _phrase(joined: Column, n_words: Column, phrase: str) -> tuple[Column, Column, Column]:
@@ -59,52 +61,72 @@ def _phrase(joined: Column, n_words: Column, phrase: str) -> tuple[Column, Colum
     return F.coalesce(F.size(parts) - 1, F.lit(0)), blanks(parts[0]), last
 
 
+def _split(text: Column) -> Column:
+    """The words of a text, with a blank before, between and after them."""
+    lowered = F.translate(text, _UPPER, _LOWER)
+    return F.concat(F.lit(" "), F.trim(F.regexp_replace(lowered, _SEPARATORS, " ")), F.lit(" "))
+
+
+def _listed(joined: Column) -> Column:
+    return F.filter(F.split(joined, " "), lambda word: word != "")
+
+
 def _read(docs: DataFrame, id_column: str, text_column: str, vocabulary: list[str], least: int, phrases: dict[str, str]) -> DataFrame:
-    """(row, id, n_words, n_base, first_word, last_word, base, blocks) from one reading; blocks with fewer than least template words are left out."""
-    lowered = F.translate(F.coalesce(F.col(text_column), F.lit("")), _UPPER, _LOWER)
-    lines = F.transform(F.split(lowered, "\n"), lambda line: F.trim(F.regexp_replace(line, _SEPARATORS, " ")))
-    read = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("id"), lines.alias("lines"))
-    read = read.withColumn("lines", F.filter("lines", lambda line: line != ""))
-    read = read.withColumn("joined", F.concat(F.lit(" "), F.array_join("lines", " "), F.lit(" ")))
-    length = F.length("joined") - F.length(F.replace("joined", F.lit(" "), F.lit(""))) - 1
-    read = read.withColumn("n_words", F.when(F.size("lines") == 0, 0).otherwise(length).cast("long"))
+    """(id, key, n_words, n_base, first_word, last_word, base, words) from one reading; words: the distinct template words, if least at least."""
+    text = F.coalesce(F.col(text_column), F.lit(""))
+    read = docs.select(F.col(id_column).alias("id"), F.md5(text).alias("key"), _split(text).alias("joined"))
+    read = read.withColumn("list", _listed(F.col("joined"))).withColumn("n_words", F.size("list").cast("long"))
     places = {p: _phrase(F.col("joined"), F.col("n_words"), p) for p in phrases}
-    held = F.transform("lines", lambda line: F.array_intersect(F.split(line, " "), _words(vocabulary)))
+    held = F.array_intersect("list", F.lit(vocabulary))
     return read.select(
-        "row",
         "id",
+        "key",
         "n_words",
         sum((n for n, _, _ in places.values()), F.lit(0)).cast("long").alias("n_base"),
         F.array_min(F.array(*[first.cast("long") for _, first, _ in places.values()])).alias("first_word"),
         F.array_max(F.array(*[last.cast("long") for _, _, last in places.values()])).alias("last_word"),
         F.array_compact(F.array(*[F.when(n > 0, F.lit(phrases[p])) for p, (n, _, _) in places.items()])).alias("base"),
-        F.filter(held, lambda words: F.size(words) >= least).alias("blocks"),
-    )
+        held.alias("words"),
+    ).withColumn("words", F.when(F.size("words") >= least, F.col("words")))
 
 
-def matching_blocks(blocks: DataFrame, templates: dict[str, str], settings: Settings) -> DataFrame:
-    """(row, block, label, score) of each block of (row, block, words) that holds enough of a template."""
+def matching_texts(texts: DataFrame, templates: dict[str, str], settings: Settings) -> DataFrame:
+    """(key, template) of each text of (key, words), words distinct, that holds enough words of a template at all."""
     sets = {t: sorted(set(t.split())) for t in templates}
     vocabulary = sorted({w for words in sets.values() for w in words})
-    counted = {r.word: r.n for r in blocks.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n")).collect()}
+    # A number for each word of the templates.
+    counted = {r.word: r.n for r in texts.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n")).collect()}
     rare_first = sorted(vocabulary, key=lambda w: (counted.get(w, 0), w))
     rank = {w: k for k, w in enumerate(rare_first)}
-    needs = {t: _least(len(words), settings.percent) for t, words in sets.items()}
+    needs = {t: settings.need(len(words)) for t, words in sets.items()}
     index = []
     for t, words in sets.items():
         ordered = sorted(words, key=rank.__getitem__)
-        index += [(w, templates[t], ordered, len(words), needs[t], at) for at, w in enumerate(ordered[: len(words) - needs[t] + 1])]
-    spark = blocks.sparkSession
-    prefixes = spark.createDataFrame(index, "word string, label string, template array<string>, size int, need int, their_place int")
-    ordered = blocks.select("row", "block", F.array_intersect(_words(rare_first), F.col("words")).alias("words"))
+        index += [(w, t, ordered, len(words), needs[t], at) for at, w in enumerate(ordered[: len(words) - needs[t] + 1])]
+    prefixes = texts.sparkSession.createDataFrame(index, "word string, template string, template_words array<string>, size int, need int, their_place int")
+    ordered = texts.select("key", F.array_intersect(F.lit(rare_first), F.col("words")).alias("words"))
     mine = F.slice("words", F.lit(1), F.size("words") - min(needs.values()) + 1)
-    each = ordered.select("row", "block", "words", F.posexplode(mine).alias("place", "word"))
-    # At most most_words rows for each template.
-    pairs = each.join(F.broadcast(prefixes), "word").where("size(words) >= need")
+    each = ordered.select("key", "words", F.posexplode(mine).alias("place", "word"))
+    pairs = each.join(prefixes, "word").where("size(words) >= need")
     pairs = pairs.where("least(size(words) - place, size - their_place) >= need")
-    shared = F.size(F.array_intersect("words", "template"))
-    found = pairs.select("row", "block", "label", "need", shared.alias("shared"), (shared / F.col("size")).alias("score"))
-    return found.where("shared >= need").groupBy("row", "block", "label").agg(F.max("score").alias("score"))
+    return pairs.where(F.size(F.array_intersect("words", "template_words")) >= F.col("need")).select("key", "template").distinct()
+
+
+def matching_blocks(texts: DataFrame, pairs: DataFrame, templates: dict[str, str], settings: Settings) -> DataFrame:
+    """(key, template, score) of each pair of (key, template) of which some block of the text (key, text) holds enough words."""
+    about = []
+    for t in templates:
+        words = t.split()
+        about += [(t, w, len(set(words)), settings.need(len(set(words))), max(1, settings.spread * len(words) - 1)) for w in sorted(set(words))]
+    about = texts.sparkSession.createDataFrame(about, "template string, word string, size int, need int, reach int")
+    places = texts.select("key", F.posexplode(_listed(_split(F.col("text")))).alias("place", "word"))
+    # A place for each template it may belong to: words of templates only, of texts that a pair names.
+    places = places.join(pairs.join(about, "template"), ["key", "word"])
+    # In units of the block's length, so that one frame serves all templates; no block is as long as a unit has parts.
+    block = Window.partitionBy("key", "template").orderBy(F.expr(f"place * {_PARTS}L div reach")).rangeBetween(-_PARTS, 0)
+    held = places.withColumn("shared", F.size(F.collect_set("word").over(block)))
+    found = held.where("shared >= need").groupBy("key", "template").agg(F.max(F.col("shared") / F.col("size")).alias("score"))
+    return found
 
 
 def license_scan(
@@ -118,21 +140,23 @@ def license_scan(
     """One row per row of docs: id, n_words, n_base, first_word, last_word, base_labels, labels, score, n_blocks.
 
     Words are runs of ASCII letters and digits and of other characters beyond ASCII, A-Z lowered. n_base counts the places of all
-    phrases. labels are those of phrases and of templates that some line holds in part enough; score is the largest share of a
-    template that a line holds, 1 for a phrase, 0 for nothing. NULL texts are empty: no words, no labels. Repeated rows are
-    reported each. An empty table gives an empty result; other columns are ignored.
+    phrases. labels are those of phrases and of templates of which some block holds enough words; n_blocks counts these templates;
+    score is the largest share of such a template that a block holds, 1 for a phrase, 0 for nothing. NULL texts are empty: no
+    words, no labels. Repeated rows are reported each. An empty table gives an empty result; other columns are ignored.
     """
     templates, phrases, settings = templates or TEMPLATES, phrases or PHRASES, settings or Settings()
     vocabulary = sorted({w for t in templates for w in t.split()})
-    if len(vocabulary) > settings.most_words:
-        raise ValueError(f"the templates have {len(vocabulary)} words, more than {settings.most_words}: join them in parts")
-    least = min(_least(len(set(t.split())), settings.percent) for t in templates)
-    read = saved(_read(docs, id_column, text_column, vocabulary, least, phrases), "license_blocks")
-    blocks = read.select("row", F.posexplode("blocks").alias("block", "words"))
-    found = matching_blocks(blocks, templates, settings)
-    found = found.groupBy("row").agg(F.collect_set("label").alias("found"), F.max("score").alias("best"), F.countDistinct("block").alias("n_blocks"))
+    least = min(settings.need(len(set(t.split()))) for t in templates)
+    read = saved(_read(docs, id_column, text_column, vocabulary, least, phrases), "license_texts")
+    # Written, so that their number is known before the texts are joined with them.
+    pairs = saved(matching_texts(read.where("words IS NOT NULL").select("key", "words"), templates, settings), "license_pairs")
+    text = F.coalesce(F.col(text_column), F.lit(""))
+    left = docs.select(F.md5(text).alias("key"), text.alias("text")).join(pairs.select("key").distinct(), "key", "left_semi")
+    blocks = matching_blocks(left.dropDuplicates(["key"]), pairs, templates, settings)
+    label = F.create_map(*[F.lit(x) for t in templates for x in (t, templates[t])])[F.col("template")]
+    found = blocks.groupBy("key").agg(F.collect_set(label).alias("found"), F.max("score").alias("best"), F.count("*").alias("n_blocks"))
     none = F.array().cast("array<string>")
-    joined = read.drop("blocks").join(found, "row", "left")
+    joined = read.drop("words").join(found, "key", "left")
     based = F.when(F.size("base") > 0, 1.0)
     return joined.select(
         F.col("id").alias(id_column),
@@ -143,5 +167,5 @@ def license_scan(
         F.array_join(F.array_sort(F.array_distinct("base")), ",").alias("base_labels"),
         F.array_join(F.array_sort(F.array_union("base", F.coalesce("found", none))), ",").alias("labels"),
         F.coalesce(based, F.col("best"), F.lit(0.0)).alias("score"),
-        F.coalesce("n_blocks", F.lit(0)).alias("n_blocks"),
+        F.coalesce("n_blocks", F.lit(0)).cast("long").alias("n_blocks"),
     )

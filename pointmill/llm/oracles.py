@@ -5,7 +5,7 @@ trained model or an automaton. Tests hold them against brute force instead.
 """
 
 from pointmill.llm import fingerprints
-from pointmill.llm.license_join import PHRASES, TEMPLATES
+from pointmill.llm.license_join import PHRASES, TEMPLATES, Settings
 from pointmill.llm.secret_ledger import BASE, RULES
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -47,19 +47,22 @@ def _licenses() -> str:
         f"SELECT doc_id, pos - 1 AS pos, {_quoted(label)} AS label FROM places WHERE list_aggregate(list_slice(w, pos, pos + {len(p.split()) - 1}), 'string_agg', ' ') = {_quoted(p)}"
         for p, label in PHRASES.items()
     )
-    templates = ", ".join(f"({_quoted(label)}, {sorted(set(t.split()))!r}::VARCHAR[])" for t, label in TEMPLATES.items())
+    settings = Settings()
+    templates = ", ".join(
+        f"({k}, {_quoted(label)}, {sorted(set(t.split()))!r}::VARCHAR[], {settings.need(len(set(t.split())))}, {settings.spread * len(t.split())})" for k, (t, label) in enumerate(TEMPLATES.items())
+    )
     return rf"""WITH words AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 places AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS pos FROM words),
 base AS ({phrases}),
 based AS (SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word FROM base GROUP BY doc_id),
-templates(label, t) AS (VALUES {templates}),
-blocks AS (SELECT doc_id, block, list_distinct(regexp_extract_all(line, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS b
-  FROM (SELECT doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS block FROM (SELECT doc_id, string_split({_LOWERED}, chr(10)) AS l FROM documents))),
-found AS (SELECT doc_id, block, label, len(list_intersect(b, t)) / len(t) AS score FROM blocks, templates WHERE 100 * len(list_intersect(b, t)) >= 80 * len(t)),
+templates(k, label, t, need, reach) AS (VALUES {templates}),
+blocks AS (SELECT doc_id, k, label, t, need, list_intersect(list_distinct(list_slice(w, greatest(1, pos + 1 - reach), pos)), t) AS b
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS pos, k, label, t, need, reach FROM words, templates WHERE len(list_intersect(list_distinct(w), t)) >= need) WHERE list_contains(t, w[pos])),
+found AS (SELECT doc_id, k, label, max(len(b) / len(t)) AS score FROM blocks WHERE len(b) >= need GROUP BY doc_id, k, label),
 labels AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels,
   string_agg(DISTINCT label, ',' ORDER BY label) FILTER (of_base) AS base_labels
   FROM (SELECT doc_id, label, TRUE AS of_base FROM base UNION ALL SELECT doc_id, label, FALSE FROM found) GROUP BY doc_id),
-best AS (SELECT doc_id, max(score) AS best, count(DISTINCT block) AS n_blocks FROM found GROUP BY doc_id)
+best AS (SELECT doc_id, max(score) AS best, count(*) AS n_blocks FROM found GROUP BY doc_id)
 SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
   coalesce(labels, '') AS labels, CAST(CASE WHEN n_base > 0 THEN 1 ELSE coalesce(best, 0) END AS DOUBLE) AS score, coalesce(n_blocks, 0) AS n_blocks
 FROM words LEFT JOIN based USING (doc_id) LEFT JOIN labels USING (doc_id) LEFT JOIN best USING (doc_id)"""

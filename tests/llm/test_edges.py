@@ -261,10 +261,74 @@ def test_licenses(spark, docs, none):
 
 def test_license_blocks_at_the_threshold(spark):
     template = " ".join(f"t{k}" for k in range(10))
-    texts = [(1, "t0 t1 t2 t3 t4 t5 t6 t7 other words"), (2, "t0 t1 t2 t3 t4 t5 t6 other words"), (3, "x\n" + template.upper() + "\ny"), (4, "t0 t1 t2 t3\nt4 t5 t6 t7")]
+    far = " ".join(["x"] * 12)
+    texts = [
+        (1, "t0 t1 t2 t3 t4 t5 t6 t7 other words"),
+        (2, "t0 t1 t2 t3 t4 t5 t6 other words"),
+        (3, "x\n" + template.upper() + "\ny"),
+        (4, "t0 t1 t2 t3\n * t4 t5 -- t6 t7"),
+        (5, f"t0 t1 t2 t3 {far} t4 t5 t6 t7"),
+        (6, f"t0 t1 t2 t3 {far} x t4 t5 t6 t7"),
+        (7, "t0 " * 50 + "t1 t2 t3 t4 t5 t6"),
+        (8, f"{far} " * 40 + template + f" {far}" * 40),
+    ]
     df = spark.createDataFrame(texts, "doc_id long, text string")
-    found = {r.doc_id: (r.labels, r.score) for r in license_join.license_scan(df, templates={template: "ten"}).collect()}
-    assert found == {1: ("ten", 0.8), 2: ("", 0.0), 3: ("ten", 1.0), 4: ("", 0.0)}
+    found = {r.doc_id: (r.labels, r.score, r.n_blocks) for r in license_join.license_scan(df, templates={template: "ten"}).collect()}
+    whole, most, none = ("ten", 1.0, 1), ("ten", 0.8, 1), ("", 0.0, 0)
+    assert found == {1: most, 2: none, 3: whole, 4: most, 5: most, 6: none, 7: none, 8: whole}
+
+
+HEADERS = {
+    "mit": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal""",
+    "apache-2.0": """# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.""",
+    "bsd": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:""",
+    "gpl": """ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by""",
+    "isc": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above""",
+    "mpl-2.0": """// This Source Code Form is subject to the terms of the Mozilla Public
+// License, v. 2.0. If a copy of the MPL was not distributed with this""",
+}
+NOTICES = {"apache-2.0": "Licensed under the Apache License, Version 2.0.", "mit": "Released under the\nMIT License."}
+
+
+def test_licenses_as_published(spark):
+    around = "some words before\n%s\nand some after " + "it " * 500
+    texts = [(k, around % t) for k, t in enumerate([*HEADERS.values(), *NOTICES.values(), "Released under the terms of some other license."])]
+    found = {r.doc_id: r.labels.split(",") for r in license_join.license_scan(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    for k, label in enumerate([*HEADERS, *NOTICES]):
+        assert label in found[k], (label, found[k])
+    assert found[len(texts) - 1] == [""]
+
+
+def test_license_blocks_against_brute_force(spark):
+    random = np.random.default_rng(12)
+    templates = {" ".join(f"w{k}" for k in random.choice(30, n)): f"label{n}" for n in (3, 6, 9, 14)}
+    settings = license_join.Settings(percent=70, least_words=3, spread=2)
+    texts = [(k, " ".join(f"w{w}" for w in random.choice(60, random.integers(1, 80)))) for k in range(150)]
+    texts += [(200 + k, texts[k % 3][1]) for k in range(40)]
+    want = {}
+    for name, text in texts:
+        words, best = text.split(), {}
+        for t in templates:
+            wanted, reach = set(t.split()), settings.spread * len(t.split())
+            most = max(len(wanted & set(words[k : k + reach])) for k in range(len(words)))
+            if most >= max(-(-len(wanted) * 70 // 100), min(len(wanted), 3)):
+                best[t] = most / len(wanted)
+        want[name] = (",".join(sorted({templates[t] for t in best})), max(best.values(), default=0.0), len(best))
+    rows = license_join.license_scan(spark.createDataFrame(texts, "doc_id long, text string"), templates=templates, phrases={"no such phrase": "none"}, settings=settings).collect()
+    assert {r.doc_id: (r.labels, r.score, r.n_blocks) for r in rows} == want
+    assert len({v for v in want.values()}) > 5
+
+
+def test_many_template_words(spark):
+    templates = {" ".join(f"a{k}x{j}" for j in range(30)): f"l{k}" for k in range(100)}
+    texts = [(k, f"before {t} after") for k, t in enumerate(templates)]
+    rows = license_join.license_scan(spark.createDataFrame(texts, "doc_id long, text string"), templates=templates).collect()
+    assert {r.doc_id: r.labels for r in rows} == {k: f"l{k}" for k in range(100)}
 
 
 def test_archive(spark):

@@ -1,5 +1,6 @@
 """Queries against their SQL, or against brute force where there is none."""
 
+import functools
 import itertools
 import os
 import re
@@ -11,13 +12,13 @@ import numpy as np
 import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
-from tokenizers import Tokenizer, models, pre_tokenizers
+import sentencepiece
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from pointmill.llm.oracles import ORACLES
 from pointmill.llm.queries import QUERIES
 from pointmill.llm.secret_ledger import RULES
-from pointmill.llm.token_counts import pieces_of
 from tests.helpers import canonical
 
 TABLES = ["documents", "embeddings", "pages", "benchmark", "labels"]
@@ -94,14 +95,29 @@ def test_bit_packing(spark, sf_dir, texts):
 
 
 def test_token_counts(spark, sf_dir, texts):
-    starts, continues = pieces_of(public_tokenizers.path("piece_bpe_32k.model"))
-    vocabulary = {p: k for k, p in enumerate(["[UNK]", *sorted(starts), *("##" + p for p in sorted(continues))])}
-    tokenizer = Tokenizer(models.WordPiece(vocabulary, unk_token="[UNK]", max_input_chars_per_word=10**6))
-    tokenizer.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
-    want = {k: len(e.ids) for k, e in zip(texts, tokenizer.encode_batch(list(texts.values()), add_special_tokens=False), strict=True)}
+    """Greedy longest matches from the raw vocabulary: words behind their mark, what no piece covers by its bytes."""
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    pieces = {model.id_to_piece(k) for k in range(model.vocab_size()) if not (model.is_control(k) or model.is_unknown(k) or model.is_byte(k))}
+    longest = max(map(len, pieces))
+
+    @functools.cache
+    def count(word):
+        at, n = 0, 0
+        while at < len(word):
+            end = next((e for e in range(min(len(word), at + longest), at, -1) if word[at:e] in pieces), None)
+            n += 1 if end else len(word[at].encode())
+            at = end or at + 1
+        return n
+
+    want = {k: sum(count("▁" + w) for w in t.split()) for k, t in texts.items()}
     assert {r.doc_id: r.n_tokens for r in QUERIES["op6_token_counts"](spark, sf_dir).collect()} == want
 
 
+def test_license_labels_beyond_phrases(spark):
+    rows = QUERIES["op4_license_join"](spark, "/root/testdata/sf0.01").collect()
+    assert sum(r.labels != r.base_labels for r in rows) > 0
+
+
 def test_quality_on_held_out_rows(spark):
     sf_dir = "/root/testdata/sf0.01"
     labels = {r["doc_id"]: r["quality"] for r in pq.read_table(f"{sf_dir}/labels.parquet").to_pylist()}
