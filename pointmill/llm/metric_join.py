@@ -164,12 +164,15 @@ def range_join(vectors: DataFrame, id_column: str = "vec_id", vector_column: str
     An empty table gives an empty result. Other columns are ignored.
     """
     settings = settings or Settings()
-    rows = saved(usable(vectors, id_column, vector_column).withColumn("class", F.when(F.col("vector").isNotNull(), F.xxhash64("vector"))), "vectors")
-    known = saved(rows.where("class IS NOT NULL").groupBy("class").agg(F.first("vector").alias("vector"), F.count("*").alias("copies")), "distinct_vectors")
+    # Equal vectors are known by their SHA-256; the numbers of the classes are fixed by being written.
+    rows = saved(usable(vectors, id_column, vector_column).withColumn("digest", F.sha2("vector", 256)), "vectors")
+    known = rows.where("digest IS NOT NULL").groupBy("digest").agg(F.first("vector").alias("vector"), F.count("*").alias("copies"))
+    known = saved(known.select(F.monotonically_increasing_id().alias("class"), "digest", "vector", "copies"), "distinct_vectors")
+    classes, known = known.select("digest", "class"), known.drop("digest")
     # A row for each length there is; in a table of embeddings, one.
     lengths = known.groupBy(F.octet_length("vector").alias("bytes")).count().collect()
     linked = vectors.sparkSession.createDataFrame([], "class long, root long, n_links long")
     for r in lengths:
         linked = linked.unionAll(_links(known.where(F.octet_length("vector") == r.bytes), settings, r["count"]))
-    out = resolved(rows.select("id", "class"), linked, "vector_components")
+    out = resolved(rows.select("id", "digest").join(classes, "digest", "left").select("id", "class"), linked, "vector_components")
     return out.select(F.col("id").alias(id_column), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
