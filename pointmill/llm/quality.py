@@ -218,13 +218,19 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id"
 def keep_good(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "quality", settings: Settings | None = None) -> DataFrame:
     """docs whose score reaches the threshold, with their columns; labels teach as in quality_scores."""
     settings = settings or Settings()
-    stats = saved(with_statistics(docs, id_column, text_column), "statistics")
-    model = train(stats, labels, id_column, label_column, settings)
+
+    @F.arrow_udf("binary")
+    def described(texts: pa.Array) -> pa.Array:
+        return pa.array([x.astype("<f8").tobytes() for x in _each(texts)], pa.binary())
+
+    # Documents and statistics are written together, so that no text is read twice.
+    both = saved(docs.select(F.struct("*").alias("doc"), described(F.col(text_column).cast("string")).alias("stats")), "described")
+    model = train(both.select(F.col(f"doc.{id_column}").alias(id_column), "stats"), labels, id_column, label_column, settings)
 
     @F.arrow_udf("double")
-    def score(texts: pa.Array) -> pa.Array:
-        if model is None or not len(texts):
-            return pa.array(np.full(len(texts), 0.5))
-        return pa.array(model.score(np.stack(list(_each(texts)))))
+    def score(rows: pa.Array) -> pa.Array:
+        if model is None or not len(rows):
+            return pa.array(np.full(len(rows), 0.5))
+        return pa.array(model.score(_matrix(rows)))
 
-    return docs.where(score(F.col(text_column)) >= settings.threshold)
+    return both.where(score("stats") >= settings.threshold).select("doc.*")

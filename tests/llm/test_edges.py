@@ -4,6 +4,7 @@ import base64
 import hashlib
 import json
 import time
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -444,6 +445,49 @@ def test_quality(docs, none, labels):
     assert kept.columns == docs.columns and kept.count() == sum(r.predicted for r in rows)
 
 
+def test_ridge_equals_dense_equations(spark):
+    """Moments, normal equations and calibration summed over many partitions, against one matrix of all labelled rows."""
+    random = np.random.default_rng(21)
+    texts = [(k, " ".join("".join(random.choice(list("abcXYZ!$ 1\n"), random.integers(1, 9))) for _ in range(random.integers(0, 60)))) for k in range(400)]
+    labels = {k: int(random.random() < (0.8 if "$" in t else 0.3)) for k, t in texts[::2]}
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(7)
+    known = spark.createDataFrame([*labels.items(), (5, None), (10_000, 1)], "doc_id long, quality int").repartition(3)
+    settings = quality.Settings(features=40)
+    model = quality.train(quality.with_statistics(docs, "doc_id", "text"), known, settings=settings)
+    folds = {k: zlib.crc32(str(k).encode()) % 5 for k, _ in texts}
+    taught = [(quality.statistics(t), labels[k], folds[k]) for k, t in texts if k in labels and folds[k]]
+    x, y, fold = (np.array([r[n] for r in taught]) for n in range(3))
+    assert np.allclose(model.mean, x.mean(0)) and np.allclose(model.scale, np.sqrt(x.var(0).clip(1e-12)))
+    lifted = np.hstack([np.ones((len(x), 1)), np.sqrt(2 / 40) * np.cos(((x - x.mean(0)) / model.scale).clip(-8, 8) @ model.directions + model.offsets)])
+    a, b = lifted[fold < 4], y[fold < 4]
+    ridge = settings.ridge * max(len(a), 1000) / 41
+    # The ridge's solution as least squares over rows stretched by the penalty.
+    weights = np.linalg.lstsq(np.vstack([a, np.sqrt(ridge) * np.eye(41)]), np.concatenate([b, np.zeros(41)]), rcond=None)[0]
+    assert np.allclose(model.weights, weights, atol=1e-8)
+    raw, held = lifted[fold == 4] @ weights, y[fold == 4]
+    bins = ((raw + 0.5) / 2 * settings.bins).clip(0, settings.bins - 1).astype(int)
+    full = np.unique(bins)
+    means = np.concatenate([[0], [held[bins == k].mean() for k in full], [1]])
+    sizes = np.concatenate([[1], [(bins == k).sum() for k in full], [1]])
+    assert np.allclose(model.steps, np.concatenate([[-0.5], -0.5 + (full + 0.5) * 2 / settings.bins, [1.5]]))
+    assert np.allclose(model.values, least_squares_steps(sizes, means))
+
+
+def least_squares_steps(weight, mean):
+    """The nondecreasing fit by its closed form: the largest over starts of the smallest mean over ends."""
+    average = lambda i, j: np.average(mean[i : j + 1], weights=weight[i : j + 1])
+    n = len(mean)
+    return np.array([max(min(average(i, j) for j in range(k, n)) for i in range(k + 1)) for k in range(n)])
+
+
+def test_isotonic_against_the_closed_form():
+    random = np.random.default_rng(22)
+    for n in (1, 2, 7, 40):
+        x, weight, mean = random.permutation(n), random.integers(1, 9, n), random.random(n)
+        order = np.argsort(x)
+        assert np.allclose(quality.isotonic(x, weight, mean), least_squares_steps(weight[order], mean[order]))
+
+
 def test_isotonic():
     assert quality.isotonic(np.array([3, 1, 2.0]), np.array([1, 1, 1.0]), np.array([0.5, 0.2, 0.8])).tolist() == [0.2, 0.65, 0.65]
 
