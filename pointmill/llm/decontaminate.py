@@ -1,7 +1,7 @@
 """Benchmark decontamination: windows of benchmark words looked up in every training text.
 
 The windows of all items are a hash set that every task holds, as long as they are at most
-most_windows; beyond that the windows of the texts are joined with them by a shuffle. Both
+most_windows and most_bytes; beyond that the windows of the texts are joined with them by a shuffle. Both
 ways compare whole windows, so no hit rests on a hash alone.
 """
 
@@ -19,6 +19,8 @@ from pointmill.llm.common import LOWER_WORDS, saved
 WINDOW = 13
 #: Windows held in every task at most; 200,000 of 13 words take about 60 MB there.
 MOST_WINDOWS = 200_000
+#: Bytes of these windows and their items' ids at most, which words of unusual length could pass.
+MOST_BYTES = 64 << 20
 
 _HITS = "n_words long, hit array<int>, items array<string>"
 
@@ -135,6 +137,7 @@ def with_hits(
     item_text: str = "text",
     window: int = WINDOW,
     most_windows: int = MOST_WINDOWS,
+    most_bytes: int = MOST_BYTES,
 ) -> DataFrame:
     """docs with a column _hits: n_words, hit (numbers of the words in any occurrence, NULL for none), items.
 
@@ -144,7 +147,8 @@ def with_hits(
     are ignored; repeated rows of an item add nothing. items are ids as sorted strings.
     """
     windows = saved(item_windows(benchmark, item_id, item_text, window), "benchmark_windows")
-    way = _held_hits if windows.count() <= most_windows else _joined_hits
+    n, size = windows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("window") + F.octet_length("item")), F.lit(0))).first()
+    way = _held_hits if n <= most_windows and size <= most_bytes else _joined_hits
     return way(docs, text_column, windows)
 
 

@@ -492,6 +492,12 @@ def test_isotonic():
     assert quality.isotonic(np.array([3, 1, 2.0]), np.array([1, 1, 1.0]), np.array([0.5, 0.2, 0.8])).tolist() == [0.2, 0.65, 0.65]
 
 
+def test_windows_of_many_bytes_are_joined(docs, benchmark, monkeypatch):
+    held = by_id(decontaminate.contamination(docs, benchmark), "n_hit", "items")
+    monkeypatch.setattr(decontaminate, "_held_hits", lambda *_: pytest.fail("the windows were broadcast"))
+    assert by_id(decontaminate.contamination(docs, benchmark, most_bytes=100), "n_hit", "items") == held
+
+
 @pytest.mark.parametrize("most", [0, 1000])
 def test_decontamination(docs, none, benchmark, most):
     rows = {r.doc_id: r for r in decontaminate.contamination(docs, benchmark, most_windows=most).collect()}
