@@ -20,9 +20,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from pointmill.llm.common import parallelism, saved
+from pointmill.llm.common import dealt, saved
 from pointmill.workspace import file_system, qualified, scratch_path
 
 # The fields of a header line by version of the format, and the media type of its records.
@@ -181,16 +180,6 @@ def read_arc(uri: str) -> Iterator[ArcRecord]:
             number += 1
 
 
-def _spread(files: DataFrame) -> DataFrame:
-    """The files dealt out evenly: a row is small but stands for a file, so Spark must neither merge rows by size nor hash them together."""
-    spark = files.sparkSession
-    several = 4 * max(parallelism(spark), spark.sparkContext.defaultParallelism)
-    # One small row for each file.
-    numbered = files.withColumn("_number", F.row_number().over(Window.orderBy("file")) - 1)
-    tasks = max(1, min(several, files.count()))
-    return numbered.repartitionById(tasks, F.pmod("_number", F.lit(tasks)).cast("int")).drop("_number")
-
-
 def _catalogue(files: DataFrame) -> DataFrame:
     """(file, number, page_id, digest, length) of each record of ARC files."""
 
@@ -202,7 +191,7 @@ def _catalogue(files: DataFrame) -> DataFrame:
                     kinds = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64())
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["file", "number", "page_id", "digest", "length"])
 
-    return saved(_spread(files.select("file")).mapInArrow(read, "file string, number long, page_id long, digest string, length long"), "arc_catalogue")
+    return saved(dealt(files.select("file")).mapInArrow(read, "file string, number long, page_id long, digest string, length long"), "arc_catalogue")
 
 
 # WARC
@@ -266,7 +255,7 @@ def convert(files: DataFrame, path: str, least_revisit: int = 0) -> DataFrame:
 
     # Of one file, so FILE_RECORDS at most.
     again = revisits.groupBy("file").agg(F.collect_list(F.struct("number", "first_file", "first_number")).alias("again"))
-    listed = _spread(files.select("file").join(again, "file", "left"))
+    listed = dealt(files.select("file").join(again, "file", "left"))
     return saved(listed.mapInArrow(write, "file string, records long"), "warc_manifest")
 
 
@@ -301,7 +290,7 @@ def read_warc(files: DataFrame) -> DataFrame:
 
     names = ["page_id", "payload_bytes", "payload_digest", "record_type", "record_id", "refers_to_record", "url", "date"]
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, record_id string, refers_to_record string, url string, date string"
-    return saved(_spread(files.select("file")).mapInArrow(read, schema), "warc_records")
+    return saved(dealt(files.select("file")).mapInArrow(read, schema), "warc_records")
 
 
 def round_trip(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html", least_revisit: int = 0) -> DataFrame:

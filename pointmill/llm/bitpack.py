@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pointmill.llm.common import saved
+from pointmill.llm.common import dealt, saved
 from pointmill.llm.tokens import encoder
 from pointmill.workspace import file_system, qualified, scratch_path
 
@@ -163,8 +163,7 @@ def read_ids(manifest: DataFrame, id_column: str = "doc_id") -> DataFrame:
     before = F.sum("n_ids").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
     files = manifest.select("file", "n_ids").select("file", F.coalesce(before, F.lit(0)).alias("base"))
     kind = manifest.schema["ids"].dataType.elementType.simpleString()
-    # A number, so that Spark does not merge small rows that stand for large files.
-    each = manifest.select("file", "ids").join(files, "file").repartition(max(1, manifest.count()), "file")
+    each = dealt(manifest.select("file", "ids").join(files, "file"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

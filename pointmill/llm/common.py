@@ -6,6 +6,7 @@ from collections.abc import Iterable
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from pointmill.workspace import scratch_path
 
@@ -28,6 +29,16 @@ def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def dealt(files: DataFrame) -> DataFrame:
+    """The rows of files (file, ...) over several tasks, as many in each: a row is small but stands for a file, so Spark must neither merge rows by size nor hash them together."""
+    spark = files.sparkSession
+    several = 4 * max(parallelism(spark), spark.sparkContext.defaultParallelism)
+    # Only the name of each file meets the others.
+    numbers = files.select("file").withColumn("_number", F.row_number().over(Window.orderBy("file")) - 1)
+    tasks = max(1, min(several, files.count()))
+    return files.join(numbers, "file").repartitionById(tasks, F.pmod("_number", F.lit(tasks)).cast("int")).drop("_number")
+
+
 def hash64(data: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little")
 
