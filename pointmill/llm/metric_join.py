@@ -1,6 +1,6 @@
 """Exact range join of vectors on the angle between them, by pivots.
 
-Angles on the sphere are a metric. A bounded number of vectors are pivots; each vector belongs to
+Angles on the sphere are a metric. Some vectors are pivots, their number growing with the root of the input; each vector belongs to
 the nearest one's cell. For a pair within the range, one of the two lies in the cell of lower
 number, and the triangle inequality bounds the angle of the other to that cell's pivot: by its own
 distance to its pivot and by the cell's inner and outer radius. So a vector also goes, as a guest,
@@ -12,6 +12,7 @@ directions without structure in many dimensions no bound of this kind rules out
 work is then that of comparing all vectors, in blocks, without writing pairs.
 """
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,12 +30,13 @@ _TILE = (512, 2048)
 
 @dataclass(frozen=True)
 class Settings:
-    """cell: vectors at home in a cell about, and in a part of one at most about. pivots: the most pivots, whatever the input."""
+    """cell: vectors at home in a cell about, and in a part of one at most about. pivots: as many at most, or the root of the number of vectors, if that is more. angles: to pivots, that a task holds at a time about."""
 
     cosine: float = 0.9
     cell: int = 4096
     guests: int = 16384
     pivots: int = 512
+    angles: int = 1 << 22
 
 
 def _units(vectors: list[bytes]) -> np.ndarray:
@@ -64,11 +66,16 @@ def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
     return rows.mapInArrow(read, f"id {kind}, vector binary")
 
 
-def _placed(known: DataFrame, pivots: np.ndarray) -> DataFrame:
+def _slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield from (batch.slice(start, rows) for start in range(0, batch.num_rows, rows))
+
+
+def _placed(known: DataFrame, pivots: np.ndarray, angles: int) -> DataFrame:
     """known with home (number of the nearest pivot) and angle to it."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches, max(1, angles // len(pivots))):
             if batch.num_rows:
                 near = _units(batch.column("vector").to_pylist()) @ pivots.T
                 home = near.argmax(axis=1)
@@ -78,20 +85,20 @@ def _placed(known: DataFrame, pivots: np.ndarray) -> DataFrame:
     return known.mapInArrow(read, "class long, vector binary, copies long, home int, angle double")
 
 
-def _sent(placed: DataFrame, pivots: np.ndarray, inner: np.ndarray, outer: np.ndarray, parts: np.ndarray, limit: float) -> DataFrame:
+def _sent(placed: DataFrame, pivots: np.ndarray, inner: np.ndarray, outer: np.ndarray, parts: np.ndarray, limit: float, angles: int) -> DataFrame:
     """A row for each (cell, part) that a vector goes to, at home or as a guest."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches, max(1, angles // len(pivots))):
             if not batch.num_rows:
                 continue
             names = batch.column("class").to_numpy()
             home, own = batch.column("home").to_numpy(), batch.column("angle").to_numpy()
-            angles = np.arccos((_units(batch.column("vector").to_pylist()) @ pivots.T).clip(-1, 1))
+            each = np.arccos((_units(batch.column("vector").to_pylist()) @ pivots.T).clip(-1, 1))
             part = names.view(np.uint64) % parts[home].astype(np.uint64)
             goes = np.arange(len(pivots)) < home[:, None]
-            goes &= angles <= (own + 2 * limit + _SLACK)[:, None]
-            goes &= (angles <= outer + limit + _SLACK) & (angles >= inner - limit - _SLACK)
+            goes &= each <= (own + 2 * limit + _SLACK)[:, None]
+            goes &= (each <= outer + limit + _SLACK) & (each >= inner - limit - _SLACK)
             out = [(k, int(home[k]), int(part[k]), True) for k in range(len(names))]
             out += [(k, int(home[k]), p, False) for k in np.flatnonzero(part) for p in range(int(part[k]))]
             out += [(k, int(cell), p, False) for k, cell in zip(*np.nonzero(goes), strict=True) for p in range(int(parts[cell]))]
@@ -123,13 +130,13 @@ def cell_links(home: np.ndarray, guests: np.ndarray, among_home: bool, cosine: f
 def _links(known: DataFrame, settings: Settings, size: int) -> DataFrame:
     """Links between the different vectors of one dimension: (class, root, n_links)."""
     limit = float(np.arccos(settings.cosine))
-    some = min(settings.pivots, max(1, size // settings.cell))
+    some = min(max(settings.pivots, math.isqrt(size)), max(1, size // settings.cell))
     pivots = _units([r.vector for r in known.orderBy("class").select("vector").limit(some).collect()])
-    placed = saved(_placed(known, pivots), "placed_vectors")
+    placed = saved(_placed(known, pivots, settings.angles), "placed_vectors")
     inner, outer, parts = np.full(some, np.inf), np.full(some, -np.inf), np.ones(some, np.int64)
     for r in placed.groupBy("home").agg(F.min("angle").alias("lo"), F.max("angle").alias("hi"), F.count("*").alias("n")).collect():
         inner[r.home], outer[r.home], parts[r.home] = r.lo, r.hi, -(-r.n // (2 * settings.cell))
-    sent = _sent(placed, pivots, inner, outer, parts, limit)
+    sent = _sent(placed, pivots, inner, outer, parts, limit, settings.angles)
     chunks = sent.where("NOT at_home").groupBy("cell", "part").agg(F.ceil(F.count("*") / settings.guests).cast("int").alias("chunks"))
     chunks = saved(chunks, "guest_chunks")
     sent = sent.join(chunks, ["cell", "part"], "left").fillna(1, "chunks")

@@ -234,8 +234,8 @@ def test_vectors(spark):
     assert metric_join.range_join(vectors(spark, [])).count() == 0
 
 
-@pytest.mark.parametrize("cell", [4, 1000])
-def test_vectors_against_brute_force(spark, cell):
+@pytest.mark.parametrize(("cell", "angles"), [(4, 1 << 22), (4, 100), (1000, 1)])
+def test_vectors_against_brute_force(spark, cell, angles):
     random = np.random.default_rng(7)
     centres = random.normal(size=(12, 6))
     x = (np.repeat(centres, 25, axis=0) + 0.25 * random.normal(size=(300, 6))).astype(np.float32)
@@ -245,7 +245,7 @@ def test_vectors_against_brute_force(spark, cell):
     component = np.arange(300)
     for _ in range(300):
         component = np.minimum(component, np.where(close, component, 300).min(axis=1))
-    settings = metric_join.Settings(cell=cell, guests=30)
+    settings = metric_join.Settings(cell=cell, guests=30, angles=angles)
     df = vectors(spark, [(k, v.tolist()) for k, v in enumerate(x)])
     found = {r.vec_id: (r.n_links, r.component_id) for r in metric_join.range_join(df, settings=settings).collect()}
     assert found == {k: (int(close[k].sum()), int(component[k])) for k in range(300)}
