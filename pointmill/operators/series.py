@@ -29,13 +29,18 @@ def slice_seconds(df: DataFrame, ts: str) -> float:
     The rows are cut into tenths by time and the middle one of their spans
     counts, so neither stray times far off nor a burst decides.
     """
+    return _measure(df, ts)[1]
+
+
+def _measure(df: DataFrame, ts: str) -> tuple[int, float]:
+    """All rows, and the width of slices."""
     at = micros(F.col(ts))
-    n, marks = df.agg(F.count(ts), F.percentile_approx(at, [i / 10 for i in range(11)])).first()
+    rows, n, marks = df.agg(F.count("*"), F.count(ts), F.percentile_approx(at, [i / 10 for i in range(11)])).first()
     if not n:
-        return 1.0
+        return rows, 1.0
     spans = sorted(b - a for a, b in zip(marks, marks[1:]))
     typical = spans[5] or (marks[-1] - marks[0]) / 10
-    return max(typical * _SLICE_ROWS * 10 / n, 1.0) / 1e6
+    return rows, max(typical * _SLICE_ROWS * 10 / n, 1.0) / 1e6
 
 
 @dataclass(frozen=True)
@@ -70,10 +75,15 @@ def plan_slices(df: DataFrame, keys: Sequence[str], ts: str, tie: str | None = N
     """Slices of at most about twice _SLICE_ROWS rows, for all series of df.
 
     tie, a whole number, orders the rows of one instant; rows that it does not tell apart stay together. With back, a window's
-    length in seconds, every row counts at its own place and at the place the window before it starts. Costs a counting pass, and
-    one pass over the rows of overfull slices for each time these have to be cut by a factor of 64.
+    length in seconds, every row counts at its own place and at the place the window before it starts. Costs a counting pass, if
+    there are enough rows to fill a slice too much at all, and one pass over the rows of overfull slices for each time
+    these have to be cut by a factor of 64.
     """
-    slices = Slices(max(1, int((seconds or slice_seconds(df, ts)) * 1e6)))
+    if seconds is None:
+        n, seconds = _measure(df, ts)
+        if n * (2 if back else 1) <= 2 * _SLICE_ROWS:
+            return Slices(max(1, int(seconds * 1e6)))
+    slices = Slices(max(1, int(seconds * 1e6)))
     at = micros(F.col(ts))
     order = F.col(tie).cast("long") if tie else F.lit(None).cast("long")
     place = lambda at: F.struct(at.alias("_at"), order.alias("_tie"))
