@@ -35,7 +35,7 @@ class Settings:
     owners: int = 4
     block_postings: int = 1_000_000
     least_postings: int = 50_000
-    part_queries: int = 2000
+    part_queries: int = 500
 
 
 def _counted(texts: DataFrame) -> DataFrame:
