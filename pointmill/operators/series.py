@@ -20,7 +20,7 @@ from pointmill.workspace import written
 _SLICE_ROWS = 200_000
 #: Parts that an overfull slice is cut into at a time.
 _CUTS = 64
-_FIRST = -(2**63)
+_FIRST, _LAST = -(2**63), 2**63 - 1
 
 
 def slice_seconds(df: DataFrame, ts: str) -> float:
@@ -43,11 +43,17 @@ def _measure(df: DataFrame, ts: str) -> tuple[int, float]:
     return rows, max(typical * _SLICE_ROWS * 10 / n, 1.0) / 1e6
 
 
+def _begin(at: Column, tie: Column) -> Column:
+    """Where a slice begins; it also names the slice. Never NULL."""
+    return F.struct(F.coalesce(at, F.lit(_FIRST)).alias("at"), F.coalesce(tie, F.lit(_FIRST)).alias("tie"))
+
+
 @dataclass(frozen=True)
 class Slices:
     """How series are cut: into slices of width microseconds, and further at the places each level lists.
 
-    A level has a row (_series, _slice, cuts) for each slice of the level before it that is overfull.
+    A level has a row (_series, _slice, _instant, _marks) for each slice of the level before it that is overfull. Marks are
+    times, or ties if the slice holds one instant only.
     """
 
     width: int
@@ -62,13 +68,18 @@ class Slices:
         start = F.coalesce(at - F.pmod(at, F.lit(self.width)), F.lit(_FIRST))
         if not self.levels:
             return df.withColumn("_slice", start)
-        place = F.struct(F.coalesce(at, F.lit(_FIRST)).alias("at"), F.coalesce(tie if tie is not None else F.lit(None), F.lit(_FIRST)).cast("long").alias("tie"))
-        first = F.struct(start.alias("at"), F.lit(_FIRST).alias("tie"))
-        df = df.withColumns({"_slice": first, "_place_in": place})
+        known_tie = F.coalesce(tie.cast("long") if tie is not None else F.lit(None).cast("long"), F.lit(_FIRST))
+        df = df.withColumns({"_slice": _begin(start, F.lit(_FIRST)), "_in_at": F.coalesce(at, F.lit(_FIRST)), "_in_tie": known_tie})
+        here, instant = F.col("_in_at"), F.col("_instant")
+        in_instant = F.when(here == instant, F.col("_in_tie")).when(here > instant, F.lit(_LAST)).otherwise(F.lit(_FIRST))
+        place = F.when(instant.isNull(), here).otherwise(in_instant)
         for level in self.levels:
-            passed = F.array_max(F.filter("_cuts", lambda cut: cut <= F.col("_place_in")))
-            df = df.join(level, ["_series", "_slice"], "left").withColumn("_slice", F.coalesce(passed, "_slice")).drop("_cuts")
-        return df.drop("_place_in")
+            df = df.join(level, ["_series", "_slice"], "left").withColumn("_in_place", place)
+            df = df.withColumn("_passed", F.array_max(F.filter("_marks", lambda mark: mark <= F.col("_in_place"))))
+            cut = F.when(instant.isNull(), _begin(F.col("_passed"), F.lit(_FIRST))).otherwise(_begin(instant, F.col("_passed")))
+            df = df.withColumn("_slice", F.when(F.col("_passed").isNull(), F.col("_slice")).otherwise(cut))
+            df = df.drop("_instant", "_marks", "_in_place", "_passed")
+        return df.drop("_in_at", "_in_tie")
 
 
 def plan_slices(df: DataFrame, keys: Sequence[str], ts: str, tie: str | None = None, seconds: float | None = None, back: float = 0) -> Slices:
@@ -102,23 +113,21 @@ def plan_slices(df: DataFrame, keys: Sequence[str], ts: str, tie: str | None = N
         one_instant = F.col("min_at") == F.col("max_at")
         overfull = (F.col("n") > 2 * _SLICE_ROWS) & ~(one_instant & (F.col("min_tie") == F.col("max_tie")))
         if not slices.levels:
-            sizes = sizes.withColumn("_slice", F.struct(F.col("_slice").alias("at"), F.lit(_FIRST).alias("tie")))
-            sliced = sliced.withColumn("_slice", F.struct(F.col("_slice").alias("at"), F.lit(_FIRST).alias("tie")))
-        heavy = written(sizes.where(overfull).select("_series", "_slice", one_instant.alias("instant")), "overfull_slices")
+            sizes, sliced = (x.withColumn("_slice", _begin(F.col("_slice"), F.lit(_FIRST))) for x in (sizes, sliced))
+        parts = F.least(F.ceil(F.col("n") / _SLICE_ROWS), F.lit(_CUTS)).alias("parts")
+        heavy = written(sizes.where(overfull).select("_series", "_slice", one_instant.alias("instant"), parts), "overfull_slices")
         if heavy.isEmpty():
             return slices
         by = F.when(F.col("instant"), known_tie).otherwise(known_at)
         quantiles = F.percentile_approx(by, [k / _CUTS for k in range(1, _CUTS)])
-        cut = sliced.join(heavy, ["_series", "_slice"]).groupBy("_series", "_slice", "instant").agg(F.min(known_at).alias("_at"), quantiles.alias("q"))
+        cut = sliced.join(heavy, ["_series", "_slice"]).groupBy("_series", "_slice", "instant", "parts").agg(F.min(known_at).alias("_at"), quantiles.alias("q"))
+        # As many of the quantiles as parts are wanted: each row is compared with all marks of its slice.
+        share = lambda k: F.floor(k * F.col("parts") / _CUTS)
+        cut = cut.withColumn("q", F.filter("q", lambda _, k: share(k + 1) > share(k)))
         # A value that holds many rows is cut off on both sides.
-        marks = F.array_union("q", F.transform("q", lambda v: F.least(v, F.lit(2**63 - 2)) + 1))
-        cuts = F.transform(
-            marks,
-            lambda v: F.when(F.col("instant"), F.struct(F.col("_at").alias("at"), v.alias("tie"))).otherwise(
-                F.struct(v.alias("at"), F.lit(_FIRST).alias("tie"))
-            ),
-        )
-        level = written(cut.select("_series", "_slice", cuts.alias("_cuts")), "slice_cuts")
+        marks = F.array_union("q", F.transform("q", lambda v: F.least(v, F.lit(_LAST - 1)) + 1))
+        level = cut.select("_series", "_slice", F.when(F.col("instant"), F.col("_at")).alias("_instant"), marks.alias("_marks"))
+        level = written(level, "slice_cuts")
         slices = replace(slices, levels=(*slices.levels, level))
 
 
