@@ -104,8 +104,8 @@ def _counted(values: Iterator[np.ndarray], slots: int) -> Iterator[pa.RecordBatc
             yield pa.RecordBatch.from_pydict({"segment": pa.array([k], pa.int32()), "at": [at.astype("<u2").tobytes()], "n": [part[at].astype("<i4").tobytes()]})
 
 
-def _summed(parts: DataFrame, slots: int) -> np.ndarray:
-    """The sum of all tasks' counts, as logarithms. The driver receives slots numbers, however large the input."""
+def _summed(parts: DataFrame, slots: int, pack, size: int, kind: str) -> np.ndarray:
+    """The sum of all tasks' counts, each segment packed by pack into size numbers in its task. The driver receives these, however large the input."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -113,17 +113,26 @@ def _summed(parts: DataFrame, slots: int) -> np.ndarray:
             for k, at, count in zip(*(batch.column(c).to_pylist() for c in ("segment", "at", "n")), strict=True):
                 total = sums.setdefault(k, np.zeros(_SEGMENT, np.int64))
                 total[np.frombuffer(at, "<u2")] += np.frombuffer(count, "<i4")
-        # Logarithms keep the order well enough and take two bytes each.
-        packed = [np.round(np.log2(1 + x) * 1024).clip(0, 65535).astype("<u2").tobytes() for x in sums.values()]
+        packed = [pack(x).tobytes() for x in sums.values()]
         yield pa.RecordBatch.from_pydict({"segment": pa.array(list(sums), pa.int32()), "n": pa.array(packed, pa.binary())})
 
-    out = np.zeros(slots, np.uint16)
+    out = np.zeros(slots // _SEGMENT * size, kind)
     many = parts.repartition(min(parallelism(parts.sparkSession), slots // _SEGMENT), "segment")
     for row in many.mapInArrow(add, "segment int, n binary").collect():
-        out[row.segment * _SEGMENT : (row.segment + 1) * _SEGMENT] = np.frombuffer(row.n, "<u2")
+        out[row.segment * size : (row.segment + 1) * size] = np.frombuffer(row.n, kind)
     return out
 
 
+def _logarithms(counts: np.ndarray) -> np.ndarray:
+    """They keep the order well enough and take two bytes each."""
+    return np.round(np.log2(1 + counts) * 1024).clip(0, 65535).astype("<u2")
+
+
+def _marks(counts: np.ndarray) -> np.ndarray:
+    """A bit for each count, set where it is not 0."""
+    return np.packbits(counts > 0, bitorder="little")
+
+
 def _least_shared(size: np.ndarray | int, percent: int):
     return (size * percent + 99) // 100
 
@@ -177,8 +186,8 @@ def _suspect_sets(texts: DataFrame, known: DataFrame, settings: Settings) -> Dat
     def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _counted((b.column("class").to_numpy().view(np.uint64) for b in batches), bits)
 
-    marks = _summed(known.select("class").mapInArrow(names, "segment int, at binary, n binary"), bits) > 0
-    held = texts.sparkSession.sparkContext.broadcast(np.packbits(marks, bitorder="little"))
+    marks = _summed(known.select("class").mapInArrow(names, "segment int, at binary, n binary"), bits, _marks, _SEGMENT // 8, "u1")
+    held = texts.sparkSession.sparkContext.broadcast(marks)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = Numbered(lambda _: None, 300_000)
@@ -205,7 +214,7 @@ def _shared_prefixes(held: DataFrame, known: DataFrame, settings: Settings) -> D
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _counted((np.frombuffer(b"".join(b.column("grams").to_pylist()), np.uint64) for b in batches), slots)
 
-    counts = held.sparkSession.sparkContext.broadcast(_summed(held.mapInArrow(count, "segment int, at binary, n binary"), slots))
+    counts = held.sparkSession.sparkContext.broadcast(_summed(held.mapInArrow(count, "segment int, at binary, n binary"), slots, _logarithms, _SEGMENT, "<u2"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
