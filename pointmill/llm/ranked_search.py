@@ -33,7 +33,7 @@ class Settings:
 
     top: int = 10
     owners: int = 4
-    block_postings: int = 1_000_000
+    block_postings: int = 250_000
     least_postings: int = 50_000
     part_queries: int = 500
 
