@@ -32,6 +32,10 @@ COMMITS = [
 DATASETS = {"lineitem": 4, "orders": 2, "events": 3}
 SMALL_FILES = 200
 INTAKE_FILES, INTAKE_PER_BATCH = 6, 2
+# Each file of the intake is landed in parts by tasks that read about so many points.
+LANDING_ROWS = 6_000_000
+# JSON points take several times their size in the tables; so coded, landed and cleaned files take less.
+JSON_CODEC = "gzip"
 
 # Fixed values of a network that is not trained: what each input is divided by, the sizes of its layers, its classes.
 NETWORK_INPUTS = dict(zip(VOXEL_ML_FEATURES, (8, 64, 16, 256, 256, 256), strict=True))
@@ -264,12 +268,23 @@ def stream_restart(spark, sf_dir):
 
 
 def stream_bounded(spark, sf_dir):
-    """Rows of each micro-batch of a cleaning stream that takes a stated number of files at a time, oldest first."""
+    """Rows of each micro-batch of a cleaning stream that takes a stated number of files at a time, oldest first.
+
+    Every file comes in as many parts as the table's size asks for, so no task reads the whole table.
+    """
     source, target = scratch_path(spark, "landing"), scratch_path(spark, "batches")
     rows = views.points(spark, sf_dir)
+    parts = max(1, min(-(-rows.count() // LANDING_ROWS), rows.rdd.getNumPartitions()))
+    landed = spark.read.schema(POINT).json
     for k in range(INTAKE_FILES):
-        rows.where(F.col("timestamp") % INTAKE_FILES == k).coalesce(1).write.mode("append").json(source)
-    cleaning.bounded_intake(spark, source, target, scratch_path(spark, "stream"), INTAKE_PER_BATCH).awaitTermination()
+        mine = rows.where(F.col("timestamp") % INTAKE_FILES == k).coalesce(parts)
+        mine.write.mode("append").json(source, compression=JSON_CODEC)
+        # A task without rows writes no file: an empty one keeps the number of parts, which the stream counts.
+        for _ in range((k + 1) * parts - len(landed(source).inputFiles())):
+            mine.limit(0).coalesce(1).write.mode("append").json(source, compression=JSON_CODEC)
+    cleaning.bounded_intake(
+        spark, source, target, scratch_path(spark, "stream"), INTAKE_PER_BATCH * parts, compression=JSON_CODEC
+    ).awaitTermination()
     return cleaning.read_batches(spark, target).groupBy("batch").agg(F.count("*").alias("row_count"), F.sum("label").alias("labels"))
 
 

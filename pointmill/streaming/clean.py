@@ -44,16 +44,20 @@ def write_points_stream(
     every: str | None = None,
     fmt: str = "json",
     max_records: int | None = None,
+    compression: str | None = None,
 ) -> StreamingQuery:
     """Append to files, a batch every interval ("5 seconds"); without one, take what is there and stop.
 
     The checkpoint holds the read positions, so a restart neither loses nor
-    repeats rows. Files are rolled with every batch and after max_records.
+    repeats rows. Files are rolled with every batch and after max_records;
+    compression names a codec in place of the format's own.
     """
     trigger = {"processingTime": every} if every else {"availableNow": True}
     writer = points.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
     if max_records:
         writer = writer.option("maxRecordsPerFile", max_records)
+    if compression:
+        writer = writer.option("compression", compression)
     return writer.trigger(**trigger).start(path)
 
 
@@ -74,14 +78,15 @@ def stream_clean(
     per_trigger: int | None = None,
     fmt: str = "json",
     max_records: int | None = None,
+    compression: str | None = None,
 ) -> StreamingQuery:
     """Clean a JSON folder into another folder."""
     points = read_points_stream(spark, source, per_trigger=per_trigger)
-    return write_points_stream(clean_stream(points), target, checkpoint, every, fmt, max_records)
+    return write_points_stream(clean_stream(points), target, checkpoint, every, fmt, max_records, compression)
 
 
 def bounded_intake(
-    spark: SparkSession, source: str, target: str, checkpoint: str, per_trigger: int, max_records: int | None = None
+    spark: SparkSession, source: str, target: str, checkpoint: str, per_trigger: int, max_records: int | None = None, compression: str | None = None
 ) -> StreamingQuery:
     """Clean a JSON folder in micro-batches of per_trigger files, each into a folder batch=<number> of the target.
 
@@ -93,6 +98,8 @@ def bounded_intake(
         writer = batch.write.mode("overwrite")
         if max_records:
             writer = writer.option("maxRecordsPerFile", max_records)
+        if compression:
+            writer = writer.option("compression", compression)
         writer.json(f"{target.rstrip('/')}/batch={number}")
 
     cleaned = clean_stream(read_points_stream(spark, source, per_trigger=per_trigger))
