@@ -172,11 +172,19 @@ def glob_scan(spark, sf_dir):
     return files.read_parquet_glob(spark, path)
 
 
+def _in_files(rows, number):
+    """rows in so many tasks that all have some: parts of the scan put together if that gives them, else dealt out by a shuffle."""
+    together = rows.coalesce(number)
+    if together.groupBy(F.spark_partition_id()).count().count() == number:
+        return together
+    return rows.repartition(number)
+
+
 def file_inventory(spark, sf_dir):
     """Files, rows and skipped files of the datasets of a folder tree, and whether every listed file has a size."""
     root = scratch_path(spark, "tree")
     for name, number in DATASETS.items():
-        views.table(spark, sf_dir, name).repartition(number).write.parquet(f"{root}/{name}")
+        _in_files(views.table(spark, sf_dir, name), number).write.parquet(f"{root}/{name}")
     listed = files.tree_inventory(spark, root)
     return listed.groupBy("dataset").agg(
         F.count_if(~F.col("skipped")).alias("files"),

@@ -48,3 +48,14 @@ def test_bounded_intake_lands_in_parts(spark, tmp_path, folder, monkeypatch):
     wanted = {b: (sum(k % 6 // 2 == b for k in kept), sum(k % 3 for k in kept if k % 6 // 2 == b)) for b in {k % 6 // 2 for k in kept}}
     assert found == wanted
     assert len(data_files(folder / "landing-1")) == 6 * 3
+
+
+def test_inventory_writes_files_of_whole_scan_parts(spark, tmp_path, folder):
+    # Sixteen files of lineitem for four, and one of each other table for more, which a shuffle has to deal out.
+    write_files(spark, f"{tmp_path}/sf/lineitem.parquet", "k long, part int", *[[(10 * f + i, f) for i in range(10)] for f in range(16)])
+    for name in ("orders", "events"):
+        write_files(spark, f"{tmp_path}/sf/{name}.parquet", "k long", [(i,) for i in range(50)])
+    found = {r.dataset: (r.files, r.row_count, r.skipped_files, r.all_sized) for r in queries.file_inventory(spark, f"{tmp_path}/sf").collect()}
+    assert found == {"lineitem": (4, 160, 1, True), "orders": (2, 50, 1, True), "events": (3, 50, 1, True)}
+    written = spark.read.parquet(f"{folder}/tree-1/lineitem").selectExpr("part", "_metadata.file_name AS name").distinct().collect()
+    assert len(written) == 16
