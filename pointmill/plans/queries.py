@@ -257,8 +257,8 @@ def ply_limit(spark, sf_dir):
 
 def stream_clean(spark, sf_dir):
     source, target = scratch_path(spark, "landing"), scratch_path(spark, "cleaned")
-    views.points(spark, sf_dir).write.json(source)
-    cleaning.stream_clean(spark, source, target, scratch_path(spark, "stream")).awaitTermination()
+    views.points(spark, sf_dir).write.json(source, compression=JSON_CODEC)
+    cleaning.stream_clean(spark, source, target, scratch_path(spark, "stream"), compression=JSON_CODEC).awaitTermination()
     return files.read_points_json(spark, target)
 
 
@@ -268,9 +268,9 @@ def stream_restart(spark, sf_dir):
     resumed, replayed = scratch_path(spark, "cleaned"), scratch_path(spark, "cleaned")
     rows = views.points(spark, sf_dir)
     for half in (0, 1):
-        rows.where(F.col("timestamp") % 2 == half).write.mode("append").json(source)
-        cleaning.stream_clean(spark, source, resumed, checkpoint, per_trigger=4).awaitTermination()
-    cleaning.stream_clean(spark, source, replayed, scratch_path(spark, "stream")).awaitTermination()
+        rows.where(F.col("timestamp") % 2 == half).write.mode("append").json(source, compression=JSON_CODEC)
+        cleaning.stream_clean(spark, source, resumed, checkpoint, per_trigger=4, compression=JSON_CODEC).awaitTermination()
+    cleaning.stream_clean(spark, source, replayed, scratch_path(spark, "stream"), compression=JSON_CODEC).awaitTermination()
     both = [files.read_points_json(spark, path).withColumn("run", F.lit(run)) for run, path in (("resumed", resumed), ("replayed", replayed))]
     return both[0].unionAll(both[1])
 

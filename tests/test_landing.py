@@ -59,3 +59,12 @@ def test_inventory_writes_files_of_whole_scan_parts(spark, tmp_path, folder):
     assert found == {"lineitem": (4, 160, 1, True), "orders": (2, 50, 1, True), "events": (3, 50, 1, True)}
     written = spark.read.parquet(f"{folder}/tree-1/lineitem").selectExpr("part", "_metadata.file_name AS name").distinct().collect()
     assert len(written) == 16
+
+
+def test_landed_and_cleaned_json_is_coded(spark, tmp_path, folder):
+    write_files(spark, f"{tmp_path}/sf/lineitem.parquet", LINEITEM, lines(*range(40)), lines(*range(40, 60)))
+    for query, targets in ((queries.stream_restart, ["cleaned-1", "cleaned-2"]), (queries.stream_clean, ["cleaned-3"])):
+        assert query(spark, f"{tmp_path}/sf").count() == 40 * len(targets)
+        for name in (f"landing-{1 + (targets != ['cleaned-1', 'cleaned-2'])}", *targets):
+            found = data_files(folder / name)
+            assert found and all(f.endswith(".json.gz") for f in found if os.path.getsize(f) and "_spark_metadata" not in f)
