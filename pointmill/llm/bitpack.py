@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pointmill.llm.common import dealt, saved
-from pointmill.llm.tokens import encoder
+from pointmill.llm.tokens import encoder, slices
 from pointmill.workspace import file_system, qualified, scratch_path
 
 MAGIC = b"BITIDS01"
@@ -24,7 +24,6 @@ BLOCK = 1 << 16
 #: Ids and documents after which a task begins another file.
 FILE_IDS = 1 << 24
 _FILE_DOCS = 200_000
-_TEXTS = 500
 
 
 def width_of(vocabulary: int) -> int:
@@ -142,8 +141,7 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, id_column: str = "doc
 
         for batch in batches:
             id_kind = batch.column("id").type
-            for start in range(0, batch.num_rows, _TEXTS):
-                part = batch.slice(start, _TEXTS)
+            for part in slices(batch, "text"):
                 ids, lengths = encode.encode(part.column("text").to_pylist())
                 ids = np.insert(ids, np.cumsum(lengths), end_id)
                 out.add(ids, lengths + 1)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pointmill.llm.common import saved
-from pointmill.llm.tokens import encoder
+from pointmill.llm.tokens import encoder, slices
 
 _CELL = 1 << 20
 _TEXTS = 500
@@ -122,8 +122,7 @@ def encoded(docs: DataFrame, vocabulary: str, id_column: str, text_column: str,
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary)
         for batch in batches:
-            for start in range(0, batch.num_rows, _TEXTS):
-                part = batch.slice(start, _TEXTS)
+            for part in slices(batch, "text"):
                 ids, lengths = encode.encode(part.column("text").to_pylist())
                 ends = np.cumsum(lengths)
                 ids = np.insert(ids, ends, end_id).astype(_stored(encode.size))

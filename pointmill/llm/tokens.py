@@ -2,18 +2,23 @@
 
 import gc
 import itertools
-import operator
 import os
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: In a text with longer white space: a line end between words, a word with one blank before it, longer white space with the word after it.
 _PIECES = re.compile(r"\n(?=[^ \n])| ?[^ \n]+|[ \n]+[^ \n]*")
 #: A word of plain letters with at most one mark after it, which every vocabulary here splits the same way.
 _PLAIN = re.compile(r"([\n\t]?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
-_TEXTS = 256
+#: Between the words of a text handed to Arrow; texts with controls are encoded whole.
+_CUT = "\0"
+#: Texts of about so many characters are cut into words together: the more, the more seldom a word is looked up again.
+_CHARACTERS = 6_000_000
 
 
 def _odd(text: str) -> bool:
@@ -32,15 +37,13 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in visible} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in visible)}
 
 
-class _Numbers(dict):
-    """Numbers of the words met so far; new gets those that are met first."""
-
-    new: list[str]
-
-    def __missing__(self, word: str) -> int:
-        self[word] = number = len(self)
-        self.new.append(word)
-        return number
+def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """The batch in slices whose texts have about as many bytes as the encoder takes together."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    cuts = [0, *(np.flatnonzero(np.diff(ends // _CHARACTERS)) + 1).tolist(), batch.num_rows]
+    for low, high in itertools.pairwise(cuts):
+        if high > low:
+            yield batch.slice(low, high - low)
 
 
 def _grown(array: np.ndarray, size: int) -> np.ndarray:
@@ -87,7 +90,7 @@ class Encoder:
                 break
         else:
             self.plain = False
-        self.numbers, self.uses = _Numbers(), np.zeros(0, np.int64)
+        self.numbers, self.uses = {}, np.zeros(0, np.int64)
         self.ids, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     def _thin(self) -> None:
@@ -97,7 +100,7 @@ class Encoder:
         ends = np.cumsum(sizes)
         self.ids = self.ids[np.repeat(self.ends[kept] - (ends - sizes), sizes) + np.arange(ends[-1])]
         self.ends, self.uses = np.concatenate([[0], ends]), self.uses[kept] // 2
-        self.numbers = _Numbers((words[old], new) for new, old in enumerate(kept.tolist()))
+        self.numbers = {words[old]: new for new, old in enumerate(kept.tolist())}
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -147,31 +150,40 @@ class Encoder:
         collecting = gc.isenabled()
         gc.disable()
         try:
-            parts = [self._encode(texts[k : k + _TEXTS]) for k in range(0, len(texts), _TEXTS)]
+            sizes = np.cumsum([len(t) if t else 0 for t in texts])
+            cuts = [0, *(np.flatnonzero(np.diff(sizes // _CHARACTERS)) + 1).tolist(), len(texts)]
+            parts = [self._encode(texts[low:high]) for low, high in itertools.pairwise(cuts) if high > low]
         finally:
             if collecting:
                 gc.enable()
         return (np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])) if parts else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
 
     @staticmethod
-    def _words(text: str) -> list[str]:
+    def _cut(text: str) -> str:
+        """The words of a text, cuts between them."""
         if not _wide(text):
-            return ("\t" + text).replace("\n", " \n").split(" ")
-        return [p[1:] if p[0] == " " and len(p) > 1 and p[1] not in " \n" else "\t" + p for p in _PIECES.findall(text)]
+            return ("\t" + text).replace("\n", " \n").replace(" ", _CUT)
+        return _CUT.join(p[1:] if p[0] == " " and len(p) > 1 and p[1] not in " \n" else "\t" + p for p in _PIECES.findall(text))
+
+    def _number(self, words: list[str]) -> np.ndarray:
+        """The numbers of words, each given once; those that are met first are learnt."""
+        found = np.fromiter(map(self.numbers.get, words, itertools.repeat(-1)), np.int64, len(words))
+        unmet = np.flatnonzero(found < 0)
+        if len(unmet):
+            known, new = len(self.numbers), [words[k] for k in unmet.tolist()]
+            found[unmet] = np.arange(known, known + len(new))
+            self.numbers.update(zip(new, range(known, known + len(new))))
+            self._learn(new)
+        return found
 
     def _encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         odd = {k: t for k, t in enumerate(texts) if t and (_odd(t) or any(a in t for a in self.added))}
-        split = [[] if not t or k in odd else self._words(t) for k, t in enumerate(texts)]
-        flat = list(itertools.chain.from_iterable(split))
+        split = pc.split_pattern(pa.array([None if not t or k in odd else self._cut(t) for k, t in enumerate(texts)], pa.large_string()), _CUT)
+        counts = pc.fill_null(pc.list_value_length(split), 0).to_numpy(zero_copy_only=False)
+        coded = split.flatten().dictionary_encode()
         if len(self.numbers) > self.limit:
             self._thin()
-        self.numbers.new = []
-        if len(flat) > 1:
-            which = np.array(operator.itemgetter(*flat)(self.numbers))
-        else:
-            which = np.array([self.numbers[p] for p in flat], np.int64)
-        if self.numbers.new:
-            self._learn(self.numbers.new)
+        which = self._number(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy()]
         uses = np.bincount(which, minlength=len(self.numbers))
         uses[: len(self.uses)] += self.uses
         self.uses = uses
@@ -179,7 +191,7 @@ class Encoder:
         sizes = self.ends[which + 1] - first
         ends = np.cumsum(sizes)
         ids = self.ids[np.repeat(first - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
-        bounds = np.concatenate([[0], ends])[np.cumsum([0] + [len(x) for x in split])]
+        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
         lengths = np.diff(bounds)
         if odd:
             runs = np.split(ids, bounds[1:-1])

@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -573,3 +574,24 @@ def test_stages_take_odd_rows_and_no_rows(spark, docs, none, labels, benchmark,
     else:
         assert made.select("doc_id").distinct().count() == len({i for i, _ in TEXTS})
     assert json.dumps(name)
+
+
+def test_words_of_texts_taken_together_are_looked_up_once():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    made, asked = tokens.Encoder(path), []
+    number = made._number
+    made._number = lambda words: asked.extend(words) or number(words)
+    texts = [f"one two  three\n{k % 3} été\n\n" for k in range(600)] + [None, "", " ", "\n", "one\x00two", "one\ttwo", "<|endoftext|> one"]
+    ids, lengths = made.encode(texts)
+    assert len(asked) == len(set(asked)) < 20
+    whole = made._whole([t or "" for t in texts])
+    assert [x.tolist() for x in np.split(ids, np.cumsum(lengths)[:-1])] == whole
+
+
+def test_slices_hold_every_row_in_order(monkeypatch):
+    monkeypatch.setattr(tokens, "_CHARACTERS", 10)
+    texts = ["a" * 4, None, "b" * 30, "", "c" * 4, "d" * 4, "é" * 5, None]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts)})
+    found = [part.column("text").to_pylist() for part in tokens.slices(batch, "text")]
+    assert [t for part in found for t in part] == texts and len(found) > 2
+    assert list(tokens.slices(batch.slice(0, 0), "text")) == []
