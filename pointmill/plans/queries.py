@@ -35,7 +35,7 @@ INTAKE_FILES, INTAKE_PER_BATCH = 6, 2
 # Each file of the intake is landed in parts by tasks that read about so many points.
 LANDING_ROWS = 6_000_000
 # JSON points take several times their size in the tables; so coded, landed and cleaned files take less.
-JSON_CODEC = "gzip"
+JSON_CODEC = "lz4"
 
 # Fixed values of a network that is not trained: what each input is divided by, the sizes of its layers, its classes.
 NETWORK_INPUTS = dict(zip(VOXEL_ML_FEATURES, (8, 64, 16, 256, 256, 256), strict=True))

@@ -67,4 +67,4 @@ def test_landed_and_cleaned_json_is_coded(spark, tmp_path, folder):
         assert query(spark, f"{tmp_path}/sf").count() == 40 * len(targets)
         for name in (f"landing-{1 + (targets != ['cleaned-1', 'cleaned-2'])}", *targets):
             found = data_files(folder / name)
-            assert found and all(f.endswith(".json.gz") for f in found if os.path.getsize(f) and "_spark_metadata" not in f)
+            assert found and all(f.endswith(".json.lz4") for f in found if os.path.getsize(f) and "_spark_metadata" not in f)
